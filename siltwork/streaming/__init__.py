@@ -1,0 +1 @@
+"""Intentionally empty: every load is a full batch refresh, there is no stream."""
