@@ -14,12 +14,13 @@ from contract.registry import query
 from siltwork.functions import dates
 from siltwork.operators import constraints, keys, lookups
 from siltwork.operators.lineage import stamp_lineage
+from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans import gold
 from siltwork.plans.bronze import load_bronze
 from siltwork.plans.load_job import ALL_TABLES
-from siltwork.plans.silver import SilverOptions, load_silver, silver_rows
+from siltwork.plans.silver import SilverOptions, load_silver, silver_rows, stage_checked
 from siltwork.schemas import LINEAGE_COLUMNS, SPECS
-from siltwork.session import scratch_path
+from siltwork.session import scratch_path, write_out
 from siltwork.sources.delimited import BAD_LINE, stage_delimited, write_delimited
 from siltwork.sources.warehouse import Warehouse
 
@@ -30,8 +31,11 @@ OPTIONS = SilverOptions(
     marital_labels={"S": "Single", "M": "Married"},
     line_labels={"M": "Mountain", "R": "Road", "S": "Other Sales", "T": "Touring"},
 )
+# Lists 30 of the product keys as hot; the others take the plain plan.
 SPREAD_OPTIONS = SilverOptions(
-    as_of=AS_OF, line_labels=OPTIONS.line_labels, skew=type(SPREAD)(small_bytes=0, hot_rows=2)
+    as_of=AS_OF,
+    line_labels=OPTIONS.line_labels,
+    skew=SkewPolicy(small_bytes=0, hot_rows=3, max_hot=30),
 )
 BRONZE_VIEWS = {
     "crm_cust_info": "dirty_customers",
@@ -189,7 +193,7 @@ def length_limit_quarantine(spark, sf_dir):
     rules = constraints.length_rules({"cid": 10})
     tagged = constraints.tag_violations(view(spark, sf_dir, "dirty_erp_customers"), rules)
     found = constraints.quarantined(tagged)
-    return found.select("cid", "bdate", "gen", F.explode(constraints.VIOLATIONS).alias("violation"))
+    return found.withColumnRenamed(constraints.VIOLATIONS, "violation")
 
 
 # -- silver --------------------------------------------------------------------
@@ -246,8 +250,9 @@ CATEGORIES_SQL = "select id, cat, subcat, maintenance from dirty_categories"
 
 
 def silver(spark, sf_dir, table, options=OPTIONS):
-    """Accepted silver rows, straight from the derived bronze rows."""
-    return constraints.accepted(silver_rows(table, bronze(spark, sf_dir, table), options))
+    """Accepted silver rows, staged from the derived bronze rows as a load does."""
+    rows = silver_rows(table, bronze(spark, sf_dir, table), options)
+    return stage_checked(rows, scratch_path(spark, f"silver-{table}")).good_rows()
 
 
 @query(with_views("dirty_customers", CUSTOMERS_SQL))
@@ -365,9 +370,9 @@ def stacked(query_text):
     return with_views(views, f", {definitions}\n{query_text}")
 
 
-def dim_customers(spark, sf_dir, skew=OPTIONS.skew):
+def dim_customers(spark, sf_dir):
     tables = ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")
-    return gold.customer_dimension(*[silver(spark, sf_dir, t) for t in tables], skew)
+    return gold.customer_dimension(*[silver(spark, sf_dir, t) for t in tables])
 
 
 def dim_products(spark, sf_dir):
@@ -375,6 +380,15 @@ def dim_products(spark, sf_dir):
     return gold.product_dimension(*[silver(spark, sf_dir, t) for t in tables])
 
 
+def fact(spark, sf_dir, skew):
+    return gold.sales_fact(
+        silver(spark, sf_dir, "crm_sales_details"),
+        write_out(dim_customers(spark, sf_dir), "dim-customers"),
+        write_out(dim_products(spark, sf_dir), "dim-products"),
+        skew,
+    )
+
+
 @query(stacked("select * from dim_customers"))
 def gold_customers(spark, sf_dir):
     return dim_customers(spark, sf_dir)
@@ -387,21 +401,12 @@ def gold_products(spark, sf_dir):
 
 @query(stacked(FACT_SQL))
 def gold_sales(spark, sf_dir):
-    return gold.sales_fact(
-        silver(spark, sf_dir, "crm_sales_details"),
-        dim_customers(spark, sf_dir),
-        dim_products(spark, sf_dir),
-    )
+    return fact(spark, sf_dir, DEFAULT_POLICY)
 
 
 @query(stacked(FACT_SQL))
 def gold_sales_spread(spark, sf_dir):
-    return gold.sales_fact(
-        silver(spark, sf_dir, "crm_sales_details"),
-        dim_customers(spark, sf_dir),
-        dim_products(spark, sf_dir),
-        SPREAD,
-    )
+    return fact(spark, sf_dir, SPREAD)
 
 
 @query(
@@ -428,3 +433,18 @@ def product_next_start(spark, sf_dir):
         view(spark, sf_dir, "dirty_products"), "prd_key", "prd_start_dt", "prd_start_dt",
         "next_start",
     )
+
+
+@query(
+    with_views(
+        "dirty_products",
+        """select prd_id, prd_line, prd_start_dt, lead(prd_id) over (partition by prd_line
+             order by prd_start_dt, prd_id) as next_id from dirty_products""",
+    )
+)
+def product_next_in_line(spark, sf_dir):
+    """Few keys with very many rows each, NULL among them: all of them are spread."""
+    products = view(spark, sf_dir, "dirty_products").select("prd_id", "prd_line", "prd_start_dt")
+    return keys.following_value(
+        products, "prd_line", "prd_start_dt", "prd_id", "next_id", ["prd_id"], SPREAD
+    )

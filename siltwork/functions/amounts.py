@@ -32,18 +32,27 @@ def raw_amounts(df: DataFrame, sales: str, quantity: str, price: str) -> Amounts
     return Amounts(*columns, whole=all(isinstance(kind, T.IntegralType) for kind in kinds))
 
 
-def _missing(col: Column) -> Column:
-    return col.isNull() | (col <= 0)
+def not_true(condition: Column) -> Column:
+    """True where ``condition`` is false or NULL.
+
+    Rules are written as "not known to be right": one mention of each column is
+    enough, where listing every way to be wrong needs several.
+    """
+    return ~F.coalesce(condition, F.lit(False))
+
+
+def _all_positive(raw: Amounts) -> Column:
+    return (raw.sales > 0) & (raw.quantity > 0) & (raw.price > 0)
 
 
 def any_missing(raw: Amounts) -> Column:
     """Some amount is NULL, zero or negative."""
-    return _missing(raw.sales) | _missing(raw.quantity) | _missing(raw.price)
+    return not_true(_all_positive(raw))
 
 
 def inconsistent(raw: Amounts) -> Column:
     """Some amount is missing, or sales is not quantity x price."""
-    return any_missing(raw) | (raw.sales != raw.quantity * raw.price)
+    return not_true(_all_positive(raw) & (raw.sales == raw.quantity * raw.price))
 
 
 def _quotient(raw: Amounts, over: Column, under: Column) -> Column:
@@ -54,18 +63,16 @@ def _quotient(raw: Amounts, over: Column, under: Column) -> Column:
 def recompute(raw: Amounts) -> Amounts:
     """Trust whatever is usable and derive the rest from it.
 
-    Sales that is missing or differs from |quantity| x |price| becomes that
-    product; a missing quantity or price is derived from the raw sales. The
-    price divides by the signed quantity, so it can come out negative.
+    Sales becomes |quantity| x |price| wherever that is known and otherwise
+    stays if positive. A missing quantity or price is derived from the raw
+    sales. The price divides by the signed quantity, so it can come out negative.
     """
-    product = F.abs(raw.quantity) * F.abs(raw.price)
-    sales_off = _missing(raw.sales) | (raw.sales != product)
     return Amounts(
-        F.when(sales_off, product).otherwise(raw.sales),
-        F.when(_missing(raw.quantity), _quotient(raw, raw.sales, F.abs(raw.price))).otherwise(
-            raw.quantity
+        F.coalesce(F.abs(raw.quantity * raw.price), F.when(raw.sales > 0, raw.sales)),
+        F.when(raw.quantity > 0, raw.quantity).otherwise(
+            _quotient(raw, raw.sales, F.abs(raw.price))
         ),
-        F.when(_missing(raw.price), _quotient(raw, raw.sales, raw.quantity)).otherwise(raw.price),
+        F.when(raw.price > 0, raw.price).otherwise(_quotient(raw, raw.sales, raw.quantity)),
         raw.whole,
     )
 
@@ -80,10 +87,10 @@ def trust_inputs(raw: Amounts) -> Amounts:
 def business(raw: Amounts) -> Amounts:
     """The sign of a quantity is noise; sales is derived; only a missing price is."""
     usable = (raw.quantity > 0) & (raw.price > 0)
-    derived = _quotient(raw, F.abs(raw.sales), F.abs(raw.quantity))
+    derived = F.abs(_quotient(raw, raw.sales, raw.quantity))
     return Amounts(
         F.when(usable, raw.quantity * raw.price),
         F.abs(raw.quantity),
-        F.when(_missing(raw.price), derived).otherwise(raw.price),
+        F.when(raw.price > 0, raw.price).otherwise(derived),
         raw.whole,
     )

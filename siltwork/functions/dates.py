@@ -14,9 +14,19 @@ EARLIEST_BIRTH = dt.date(1924, 1, 1)
 
 
 def int_to_date(col: Column | str) -> Column:
-    """``20100228`` as a date; NULL when the digits are no calendar date."""
+    """The integer ``20100228`` as a date; NULL when its digits are no calendar date.
+
+    Built from its parts, which takes a fraction of the time a date pattern does.
+    """
     value = F.col(col) if isinstance(col, str) else col
-    return F.try_to_date(value.cast("string"), "yyyyMMdd")
+
+    def without_last(digits: int) -> Column:
+        return F.call_function("div", value, F.lit(10**digits)).cast("int")
+
+    midnight = F.try_make_timestamp_ntz(
+        without_last(4), without_last(2) % 100, value % 100, F.lit(0), F.lit(0), F.lit(0)
+    )
+    return F.when(value.between(10000101, 99991231), midnight.cast("date"))
 
 
 def not_eight_digits(col: Column | str) -> Column:

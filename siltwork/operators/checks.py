@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,11 +69,10 @@ def invalid_int_date(
     low: int = dates.EARLIEST_ORDER,
     high: int = dates.LATEST_ORDER,
 ) -> Column:
-    return any_of(
-        [F.col(c).isNull() for c in cols]
-        + [dates.not_eight_digits(c) for c in cols]
-        + [dates.outside(c, low, high) for c in bounded]
-    )
+    plausible = [~dates.not_eight_digits(c) for c in cols] + [
+        F.coalesce(F.col(c).between(low, high), F.lit(True)) for c in bounded
+    ]
+    return amounts.not_true(reduce(and_, plausible))
 
 
 def date_order_violations(df: DataFrame, first: str, later: Sequence[str]) -> DataFrame:

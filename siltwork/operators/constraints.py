@@ -42,23 +42,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` in ``schema``'s column order and types, with the rules each row breaks."""
     rules = declared_rules(schema, schema.names) | fit_rules(df, schema)
     typed = [
-        F.col(f.name) if isinstance(f.dataType, T.VarcharType) else F.col(f.name).try_cast(f.dataType).alias(f.name)
+        F.col(f.name)
+        if isinstance(f.dataType, T.VarcharType)
+        else F.col(f.name).try_cast(f.dataType).alias(f.name)
         for f in schema
     ]
     return tag_violations(df, rules).select(*typed, VIOLATIONS)
 
 
 def tag_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """``df`` with the names of the broken rules; an empty array when none is."""
-    if not rules:
-        return df.withColumn(VIOLATIONS, F.array().cast("array<string>"))
-    broken = [F.when(rule, F.lit(name)) for name, rule in rules.items()]
-    return df.withColumn(VIOLATIONS, F.array_compact(F.array(*broken)))
+    """``df`` with the broken rules in one text column, NULL when all are kept."""
+    broken = F.concat_ws("; ", *[F.when(rule, F.lit(name)) for name, rule in rules.items()])
+    return df.withColumn(VIOLATIONS, F.nullif(broken, F.lit("")))
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+    return tagged.where(F.col(VIOLATIONS).isNull()).drop(VIOLATIONS)
 
 
 def quarantined(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size(VIOLATIONS) > 0)
+    return tagged.where(F.col(VIOLATIONS).isNotNull())

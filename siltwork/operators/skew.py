@@ -66,6 +66,9 @@ def keyed_join(
 ) -> DataFrame:
     """Equi-join that keeps ``left``'s columns and appends ``right``'s other ones."""
     payload = [c for c in right.columns if c not in key]
+    shared = set(payload) & set(left.columns)
+    if shared and how not in ("left_semi", "left_anti"):
+        raise ValueError(f"columns on both sides: {sorted(shared)}")
     other = right.select(*[F.col(k).alias(f"__right_{k}") for k in key], *payload)
     pairs = [(F.col(k), F.col(f"__right_{k}")) for k in key]
     matches = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
@@ -122,12 +125,12 @@ def spread_join(
     hot: HotKeys | None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Join to a ``right`` that has one row per key, spreading the hot keys of ``left``.
+    """Join that spreads the hot keys of ``left``; ``right`` has few rows per key.
 
     Rows of a hot key are cut into slices by a hash of the row and the matching
-    right row is repeated once per slice, so the slices join in different tasks.
-    ``how`` is any type that keeps or drops left rows: left, inner, left_semi,
-    left_anti. Right columns other than the key are appended by left and inner.
+    right rows are repeated once per slice, so the slices join in different
+    tasks. ``how`` is a type that never adds unmatched right rows: left, inner,
+    left_semi or left_anti.
     """
     key = key_columns(key)
     if hot is None:

@@ -6,12 +6,16 @@ table in order for no gain in a join.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.functions.codes import UNKNOWN
 from siltwork.operators.lookups import lookup
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
+from siltwork.plans.load_job import Loaded, batch_tag, run_batch
+from siltwork.sources.warehouse import Warehouse
 
 
 def customer_dimension(
@@ -101,3 +105,42 @@ def sales_fact(
     return lookup(
         with_product, customer_dimension.select("customer_id", "customer_key"), "customer_id", skew
     )
+
+
+def load_gold(
+    warehouse: Warehouse,
+    batch_id: int,
+    skew: SkewPolicy = DEFAULT_POLICY,
+    on_error: str = "raise",
+) -> DataFrame:
+    """Replace the gold tables by what the silver ones give, dimensions first."""
+    warehouse.create_layers()
+    tag = batch_tag(batch_id)
+
+    def silver(table: str) -> DataFrame:
+        return warehouse.table("silver", table)
+
+    def save(table: str, build: Callable[[], DataFrame]) -> Loaded:
+        rows = build()
+        path = warehouse.batch_path("gold", table, tag)
+        rows.write.parquet(path)
+        ddl = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+        warehouse.publish("gold", table, path, ddl)
+        return Loaded(warehouse.table("gold", table).count(), 0)
+
+    builds = {
+        "dim_customers": lambda: customer_dimension(
+            silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101"), skew
+        ),
+        "dim_products": lambda: product_dimension(
+            silver("crm_prd_info"), silver("erp_px_cat_g1v2"), skew
+        ),
+        "fact_sales": lambda: sales_fact(
+            silver("crm_sales_details"),
+            warehouse.table("gold", "dim_customers"),
+            warehouse.table("gold", "dim_products"),
+            skew,
+        ),
+    }
+    loads = {t: (lambda t=t, b=b: save(t, b)) for t, b in builds.items()}
+    return run_batch(warehouse, "gold", batch_id, loads, on_error)

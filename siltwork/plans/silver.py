@@ -22,7 +22,7 @@ from siltwork.operators.repair import POLICIES
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans.load_job import Loaded, batch_tag, now, run_batch
 from siltwork.schemas import SPECS, TABLES
-from siltwork.sources.staging import stage
+from siltwork.sources.staging import StagedBatch, stage
 from siltwork.sources.warehouse import Warehouse
 
 
@@ -122,6 +122,11 @@ def silver_rows(table: str, bronze: DataFrame, options: SilverOptions) -> DataFr
     return conform(TRANSFORMS[table](bronze, options), SPECS[table].declared("silver"))
 
 
+def stage_checked(rows: DataFrame, path: str) -> StagedBatch:
+    """Write checked rows once, those that break a rule apart from the others."""
+    return stage(rows, VIOLATIONS, path)
+
+
 def load_silver(
     warehouse: Warehouse,
     batch_id: int,
@@ -142,12 +147,7 @@ def load_silver(
     def load(table: str) -> Loaded:
         rows = silver_rows(table, warehouse.table("bronze", table), options)
         stamped = stamp_lineage(rows, loaded_at, SPECS[table].source_system, batch_id)
-        staged = stage(
-            stamped,
-            VIOLATIONS,
-            F.size(VIOLATIONS) > 0,
-            warehouse.batch_path("silver", table, tag),
-        )
+        staged = stage_checked(stamped, warehouse.batch_path("silver", table, tag))
         warehouse.publish("silver", table, staged.good_path)
         return Loaded(staged.good_rows().count(), staged.rejects().count())
 

@@ -66,7 +66,7 @@ def stage_delimited(
         fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema]
         joined = F.when(F.coalesce(any_of(too_long), F.lit(False)), F.concat_ws(",", *fields))
         parsed = parsed.withColumn(BAD_LINE, F.coalesce(BAD_LINE, joined))
-    return stage(parsed, BAD_LINE, F.col(BAD_LINE).isNotNull(), target)
+    return stage(parsed, BAD_LINE, target)
 
 
 def _limit(field: T.StructField) -> int | None:

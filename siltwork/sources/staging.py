@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltwork.session import session_setting
+
 REJECTED = "_rejected"
 
 
@@ -30,13 +32,15 @@ class StagedBatch:
         return self.written.where(F.col(REJECTED)).drop(REJECTED)
 
 
-def stage(df: DataFrame, reason: str, rejected: Column, path: str) -> StagedBatch:
-    """Write ``df`` once, split by ``rejected``; ``reason`` is the column telling why.
+def stage(df: DataFrame, reason: str, path: str) -> StagedBatch:
+    """Write ``df`` once, rows with a ``reason`` apart from those where it is NULL.
 
     Everything after this, counts included, reads the written files, so the
     source is parsed and transformed a single time.
     """
-    routed = df.withColumn(REJECTED, F.coalesce(rejected, F.lit(False)))
-    routed.write.partitionBy(REJECTED).parquet(path)
+    routed = df.withColumn(REJECTED, F.col(reason).isNotNull())
+    # Two open files per task are cheap; sorting every row by the flag is not.
+    with session_setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        routed.write.partitionBy(REJECTED).parquet(path)
     layout = T.StructType([*df.schema.fields, T.StructField(REJECTED, T.BooleanType())])
     return StagedBatch(path, df.sparkSession.read.schema(layout).parquet(path), reason)

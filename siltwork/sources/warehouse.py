@@ -65,15 +65,16 @@ class Warehouse:
         for table in SPECS:
             self.recreate_table(layer, table)
 
-    def publish(self, layer: str, table: str, path: str) -> None:
+    def publish(self, layer: str, table: str, path: str, ddl: str | None = None) -> None:
         """Point the table at a completely written batch.
 
         Readers see the old batch until this catalog update and the new one
-        after it; a load that fails earlier leaves the table as it was.
+        after it; a load that fails earlier leaves the table as it was. ``ddl``
+        lays out tables that are not in the registry.
         """
         name = self.table_name(layer, table)
         if not self.spark.catalog.tableExists(name):
-            self._create(name, SPECS[table].ddl(layer), path)
+            self._create(name, ddl or SPECS[table].ddl(layer), path)
             return
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
