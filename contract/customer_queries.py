@@ -12,9 +12,6 @@ from siltwork.operators.skew import SkewPolicy
 from siltwork.plans.customers import cleanse_customers
 from siltwork.plans.quality import customer_report
 
-# Treats keys with 20 or more rows as hot, so that small tables take the plans
-# that very large tables need.
-SPREAD = SkewPolicy(small_bytes=0, hot_rows=20)
 KEY, NEWEST, TIES = "cst_id", "cst_create_date", ["src_row"]
 
 LABEL = """case upper(trim(cst_gndr)) when 'F' then 'Female' when 'M' then 'Male'
@@ -48,6 +45,15 @@ def dirty(spark, sf_dir):
     return view(spark, sf_dir, "dirty_customers")
 
 
+def spreading(df, parts):
+    """A policy under which a key with more than one in ``parts`` rows is hot.
+
+    Small tables then take the plans that very large ones need: the NULL key of
+    the dirty customers, one row in 101, is hot for 200 parts.
+    """
+    return SkewPolicy(small_bytes=0, hot_rows=max(2, df.count() // parts))
+
+
 @query(CLEANSED_SQL)
 def cust_cleansed(spark, sf_dir):
     return cleanse_customers(dirty(spark, sf_dir), TIES)
@@ -71,7 +77,8 @@ def cust_stale_versions(spark, sf_dir):
 
 @query(STALE_SQL)
 def cust_stale_versions_spread(spark, sf_dir):
-    return keys.superseded_rows(dirty(spark, sf_dir), KEY, NEWEST, TIES, skew=SPREAD)
+    rows = dirty(spark, sf_dir)
+    return keys.superseded_rows(rows, KEY, NEWEST, TIES, skew=spreading(rows, 200))
 
 
 @query(
@@ -92,7 +99,9 @@ def dup_rows_in(spark, sf_dir):
 
 @query(REPEATED_SQL)
 def dup_rows_in_spread(spark, sf_dir):
-    return keys.duplicate_rows(dirty(spark, sf_dir), KEY, skew=SPREAD)
+    rows = dirty(spark, sf_dir)
+    # Cut finer, for the NULL key is left out here.
+    return keys.duplicate_rows(rows, KEY, skew=spreading(rows, 900))
 
 
 @query(
@@ -103,7 +112,8 @@ def dup_rows_in_spread(spark, sf_dir):
     )
 )
 def dup_rows_or_null(spark, sf_dir):
-    return keys.duplicate_rows(dirty(spark, sf_dir), KEY, include_null=True, skew=SPREAD)
+    rows = dirty(spark, sf_dir)
+    return keys.duplicate_rows(rows, KEY, include_null=True, skew=spreading(rows, 200))
 
 
 @query(RANKED_SQL)
@@ -113,7 +123,8 @@ def dup_rows_ranked(spark, sf_dir):
 
 @query(RANKED_SQL)
 def dup_rows_ranked_spread(spark, sf_dir):
-    return keys.ranked_duplicates(dirty(spark, sf_dir), KEY, NEWEST, TIES, skew=SPREAD)
+    rows = dirty(spark, sf_dir)
+    return keys.ranked_duplicates(rows, KEY, NEWEST, TIES, skew=spreading(rows, 200))
 
 
 @query(

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from contract.customer_queries import SPREAD
+from contract.customer_queries import spreading
 from contract.erp_queries import AS_OF
 from contract.fixtures import base, view, with_views
 from contract.registry import query
@@ -380,12 +380,13 @@ def dim_products(spark, sf_dir):
     return gold.product_dimension(*[silver(spark, sf_dir, t) for t in tables])
 
 
-def fact(spark, sf_dir, skew):
+def fact(spark, sf_dir, skew_of):
+    sales = silver(spark, sf_dir, "crm_sales_details")
     return gold.sales_fact(
-        silver(spark, sf_dir, "crm_sales_details"),
+        sales,
         write_out(dim_customers(spark, sf_dir), "dim-customers"),
         write_out(dim_products(spark, sf_dir), "dim-products"),
-        skew,
+        skew_of(sales),
     )
 
 
@@ -401,12 +402,12 @@ def gold_products(spark, sf_dir):
 
 @query(stacked(FACT_SQL))
 def gold_sales(spark, sf_dir):
-    return fact(spark, sf_dir, DEFAULT_POLICY)
+    return fact(spark, sf_dir, lambda sales: DEFAULT_POLICY)
 
 
 @query(stacked(FACT_SQL))
 def gold_sales_spread(spark, sf_dir):
-    return fact(spark, sf_dir, SPREAD)
+    return fact(spark, sf_dir, lambda sales: spreading(sales, 2000))
 
 
 @query(
@@ -418,7 +419,7 @@ def gold_sales_spread(spark, sf_dir):
 def orphan_products(spark, sf_dir):
     products = silver(spark, sf_dir, "crm_prd_info").select("prd_id", "prd_key", "cat_id")
     categories = silver(spark, sf_dir, "erp_px_cat_g1v2").select(F.col("id").alias("cat_id"))
-    return lookups.orphans(products, categories, "cat_id", SPREAD)
+    return lookups.orphans(products, categories, "cat_id", spreading(products, 200))
 
 
 @query(
@@ -446,5 +447,11 @@ def product_next_in_line(spark, sf_dir):
     """Few keys with very many rows each, NULL among them: all of them are spread."""
     products = view(spark, sf_dir, "dirty_products").select("prd_id", "prd_line", "prd_start_dt")
     return keys.following_value(
-        products, "prd_line", "prd_start_dt", "prd_id", "next_id", ["prd_id"], SPREAD
+        products,
+        "prd_line",
+        "prd_start_dt",
+        "prd_id",
+        "next_id",
+        ["prd_id"],
+        spreading(products, 20),
     )

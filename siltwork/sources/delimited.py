@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltwork.operators.checks import any_of
+from siltwork.session import session_setting
 from siltwork.sources.staging import StagedBatch, stage
 
 BAD_LINE = "_bad_line"
+SPLIT_BYTES = "512m"
 
 
 class RejectLimitExceeded(RuntimeError):
@@ -66,7 +68,10 @@ def stage_delimited(
         fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema]
         joined = F.when(F.coalesce(any_of(too_long), F.lit(False)), F.concat_ws(",", *fields))
         parsed = parsed.withColumn(BAD_LINE, F.coalesce(BAD_LINE, joined))
-    return stage(parsed, BAD_LINE, target)
+    # Larger splits than for scans, so that each task writes a file worth reading;
+    # Spark still cuts a small input into one split per core.
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT_BYTES):
+        return stage(parsed, BAD_LINE, target)
 
 
 def _limit(field: T.StructField) -> int | None:

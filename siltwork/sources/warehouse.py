@@ -79,5 +79,24 @@ class Warehouse:
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
+    def remove_old_batches(self, layer: str, table: str) -> list[str]:
+        """Delete the table's batches other than the published one; returns their paths.
+
+        A refresh leaves the replaced batch in place, since queries may still be
+        reading it. Call this once they are done.
+        """
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table_name(layer, table)}")
+        current = details.where("col_name = 'Location'").first()["data_type"]
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(f"{self.layer_path(layer)}/{table}")
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        removed = []
+        for entry in files.listStatus(folder):
+            batch = entry.getPath()
+            if batch.getName() not in current.split("/"):
+                files.delete(batch, True)
+                removed.append(batch.toString())
+        return removed
+
     def _create(self, name: str, ddl: str, path: str) -> None:
         self.spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{path}'")

@@ -95,6 +95,8 @@ def test_refresh_replaces_and_a_failed_load_keeps_the_old_rows(warehouse, tmp_pa
     assert warehouse.table("bronze", "erp_cust_az12").count() == 5
     load(4, customers(9, bad=11), max_rejects=11)
     assert warehouse.table("bronze", "erp_cust_az12").count() == 9
+    assert len(warehouse.remove_old_batches("bronze", "erp_cust_az12")) == 3
+    assert warehouse.table("bronze", "erp_cust_az12").count() == 9
     audit = read_audit(warehouse).where(F.col("table_name") != ALL_TABLES)
     assert {(r.batch_id, r.status, r.rows, r.rejects) for r in audit.collect()} == {
         (1, "SUCCEEDED", 3, 0),
