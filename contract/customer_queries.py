@@ -212,6 +212,21 @@ def head_sample(spark, sf_dir):
     return ordering.head_sample(base(spark, sf_dir, "customer"), cols, order=["c_custkey"])
 
 
+@query(
+    with_views(
+        "dirty_customers",
+        """select cst_id, cst_key, src_row from dirty_customers
+           order by cst_key, src_row limit 1000""",
+    )
+)
+def head_sample_spread(spark, sf_dir):
+    cols = ["cst_id", "cst_key", "src_row"]
+    order = ["cst_key", "src_row"]
+    return ordering.head_sample(
+        dirty(spark, sf_dir), cols, order=order, skew=SkewPolicy(small_bytes=0)
+    )
+
+
 @query(
     with_views(
         "dirty_customers",

@@ -1,6 +1,8 @@
 """Compare a Spark result with DuckDB's, ignoring row order."""
 
+import contextlib
 import glob
+import io
 import os
 
 import duckdb
@@ -28,3 +30,11 @@ def duck_rows(connection, sql):
     cursor = connection.execute(sql)
     columns = [d[0] for d in cursor.description]
     return sorted(columns), canonical(columns, cursor.fetchall())
+
+
+def plan(df):
+    """The formatted physical plan of ``df``."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from contract.load_queries import BRONZE_VIEWS, OPTIONS, bronze, extract
 from siltwork.operators import constraints
 from siltwork.operators.lineage import stamp_lineage
+from siltwork.plans import profiles
 from siltwork.plans.bronze import load_bronze
 from siltwork.plans.gold import load_gold
 from siltwork.plans.load_job import ALL_TABLES, LoadFailed, _with_seconds, read_audit
@@ -222,6 +223,26 @@ def test_whole_load_from_extracts_to_gold(spark, warehouse):
     assert warehouse.table("gold", "dim_customers").count() == kept["crm_cust_info"][0]
 
 
+def test_profiles_agree_with_the_operators_and_each_other(spark):
+    day = dt.date(2026, 1, 1)
+    rows = bronze(spark, SF_DIR, "crm_cust_info")
+    found = profiles.customer_checks(rows)
+    report = found["report"].first()
+    assert report.rows == rows.count()
+    assert found["latest"].count() == found["cleansed"].count()
+    assert report.blanks_cst_firstname == found["blanks_firstname"].count()
+    assert found["superseded"].count() + found["latest"].count() + 1 == report.rows
+    sales = profiles.sales_checks(bronze(spark, SF_DIR, "crm_sales_details"))
+    assert sales["amount_report"].first().any_violation == sales["invalid_amounts"].count()
+    assert sales["repair_recompute"].count() == sales["invalid_amounts"].count()
+    assert sales["date_report"].first().invalid_dates == sales["invalid_dates"].count()
+    assert sales["date_report"].first().order_after_later == sales["date_order"].count()
+    erp = profiles.erp_customer_checks(bronze(spark, SF_DIR, "erp_cust_az12"), day)
+    assert erp["gender_mapping"].count() == erp["gender_values"].count()
+    for checked in (*found.values(), *sales.values(), *erp.values()):
+        checked.write.format("noop").mode("overwrite").save()
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

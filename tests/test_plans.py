@@ -1,29 +1,20 @@
 """The physical plans large tables depend on."""
 
-import contextlib
-import io
 import re
 
 import pytest
 
-import __spark_entry__ as contract
 from contract.customer_queries import dirty
 from siltwork.operators import checks, keys
 from siltwork.plans.customers import cleanse_customers
 from siltwork.plans.quality import customer_report
 from siltwork.session import write_out
 from siltwork.sources.staging import stage
+from tests.oracle import plan
 
 SF_DIR = "/root/testdata/sf0.01"
 
 
-def plan(df):
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()
-
-
 def exchanges(text):
     return len(re.findall(r"^\(\d+\) Exchange", text, re.M))
 
@@ -75,10 +66,3 @@ def test_staging_splits_all_rows_and_restores_the_setting(spark, tmp_path, custo
     assert staged.good_rows().count() == customers.where("cst_id is not null").count()
     assert staged.rejects().count() == customers.where("cst_id is null").count()
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
-
-
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_query_crosses_rows_or_runs_python(spark, name):
-    text = plan(contract.queries()[name](spark, "/root/testdata/sf0.001"))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas"):
-        assert node not in text

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from tests.oracle import connect, duck_rows, spark_rows
+from tests.oracle import connect, duck_rows, plan, spark_rows
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -21,12 +21,16 @@ def test_every_query_has_a_check():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_agrees_with_sql(spark, duck, name):
-    columns, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
+    result = contract.queries()[name](spark, SF_DIR)
+    columns, rows = spark_rows(result)
     expected_columns, expected = duck_rows(duck, contract.oracle_sql()[name])
     assert columns == expected_columns
     assert len(rows) == len(expected)
     assert len(rows) > 0
     assert rows == expected
+    text = plan(result)
+    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas"):
+        assert node not in text
 
 
 def test_entry(spark):
