@@ -1,6 +1,7 @@
 """Every registered query against its SQL, at the scale of the driver's check."""
 
 import os
+from collections import Counter
 
 import pytest
 
@@ -25,11 +26,13 @@ def test_query_agrees_with_sql(spark, duck, name):
     columns, rows = spark_rows(result)
     expected_columns, expected = duck_rows(duck, contract.oracle_sql()[name])
     assert columns == expected_columns
-    assert len(rows) == len(expected)
     assert len(rows) > 0
-    assert rows == expected
+    wrong, lacking = Counter(rows) - Counter(expected), Counter(expected) - Counter(rows)
+    assert (sum(wrong.values()), sum(lacking.values())) == (0, 0), (
+        f"{columns}\nwrong: {list(wrong)[:5]}\nlacking: {list(lacking)[:5]}"
+    )
     text = plan(result)
-    for node in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas"):
+    for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "PythonUDF", "InPandas"):
         assert node not in text
 
 
