@@ -22,10 +22,10 @@ def map_codes(
     codes_by_label: dict[str, list[str]] = {}
     for known, label in labels.items():
         codes_by_label.setdefault(label, []).append(known)
-    mapped = F
+    mapped = F.when(code.isNull(), F.lit(default))
     for label, codes in codes_by_label.items():
         mapped = mapped.when(code.isin(codes), F.lit(label))
-    return F.lit(default) if mapped is F else mapped.otherwise(F.lit(default))
+    return mapped.otherwise(F.lit(default))
 
 
 def strip_prefix(col: Column | str, prefix: str = ERP_KEY_PREFIX) -> Column:

@@ -1,4 +1,4 @@
-"""Joins of rows to tables with one row per key."""
+"""Joins of rows to tables with one row, or few, per key."""
 
 from __future__ import annotations
 
@@ -6,7 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy, find_hot, spread_join
+from siltwork.operators.skew import (
+    DEFAULT_POLICY,
+    HotKeys,
+    SkewPolicy,
+    find_hot,
+    key_columns,
+    spread_join,
+)
+from siltwork.session import broadcast_limit, estimated_bytes
 
 
 def lookup(
@@ -15,12 +23,8 @@ def lookup(
     key: str | Sequence[str],
     skew: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """``rows`` with the columns of their ``table`` row, NULL where there is none.
-
-    ``table`` must have one row per key. The planner broadcasts it when its size
-    allows; otherwise hot keys of ``rows`` are spread.
-    """
-    return spread_join(rows, table, key, "left", find_hot(rows, key, skew))
+    """``rows`` with the columns of their ``table`` row, NULL where there is none."""
+    return spread_join(rows, table, key, "left", _hot_keys(rows, table, key, skew))
 
 
 def orphans(
@@ -30,5 +34,14 @@ def orphans(
     skew: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """``rows`` whose key is not in ``table``; a NULL key is in no table."""
-    keys = table.select(key).distinct() if isinstance(key, str) else table.select(*key).distinct()
-    return spread_join(rows, keys, key, "left_anti", find_hot(rows, key, skew))
+    keys = table.select(*key_columns(key)).distinct()
+    return spread_join(rows, keys, key, "left_anti", _hot_keys(rows, keys, key, skew))
+
+
+def _hot_keys(
+    rows: DataFrame, table: DataFrame, key: str | Sequence[str], skew: SkewPolicy
+) -> HotKeys | None:
+    """Hot keys of ``rows``, unless Spark will broadcast ``table`` and move no row."""
+    if estimated_bytes(table) <= min(broadcast_limit(rows.sparkSession), skew.small_bytes):
+        return None
+    return find_hot(rows, key, skew)

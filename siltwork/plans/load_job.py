@@ -56,23 +56,33 @@ def run_batch(
     if on_error not in ("raise", "record"):
         raise ValueError("on_error is 'raise' or 'record'")
     audit, failure = [], None
+
+    def record(table: str, status: str, **details) -> None:
+        audit.append(
+            {"batch_id": batch_id, "layer": layer, "table_name": table, "status": status, **details}
+        )
+
     batch_started = now()
     for table, load in loads.items():
-        started = now()
         if failure is not None:
-            audit.append((batch_id, layer, table, None, None, None, None, None, "SKIPPED", None, None, None))
+            record(table, "SKIPPED")
             continue
+        started = now()
         try:
             loaded = load()
-            outcome = (loaded.rows, loaded.rejects, "SUCCEEDED", None, None, None)
+            record(
+                table,
+                "SUCCEEDED",
+                started=started,
+                ended=now(),
+                rows=loaded.rows,
+                rejects=loaded.rejects,
+            )
         except Exception as error:  # noqa: BLE001 - recorded, and raised again below
             failure = error
-            outcome = (None, None, "FAILED", *_describe(error))
-        audit.append((batch_id, layer, table, started, now(), None, *outcome))
+            record(table, "FAILED", started=started, ended=now(), **_describe(error))
     status = "SUCCEEDED" if failure is None else "FAILED"
-    audit.append(
-        (batch_id, layer, ALL_TABLES, batch_started, now(), None, None, None, status, None, None, None)
-    )
+    record(ALL_TABLES, status, started=batch_started, ended=now())
     rows = _with_seconds(warehouse.spark.createDataFrame(audit, AUDIT_SCHEMA))
     rows.coalesce(1).write.mode("append").parquet(audit_path(warehouse))
     if failure is not None and on_error == "raise":
@@ -99,7 +109,9 @@ def _with_seconds(audit: DataFrame) -> DataFrame:
     return audit.withColumn("seconds", epoch("ended") - epoch("started"))
 
 
-def _describe(error: Exception) -> tuple[str, str | None, str | None]:
+def _describe(error: Exception) -> dict[str, str | None]:
     if isinstance(error, PySparkException):
-        return str(error), error.getCondition(), error.getSqlState()
-    return str(error), type(error).__name__, None
+        condition, state = error.getCondition(), error.getSqlState()
+    else:
+        condition, state = type(error).__name__, None
+    return {"error": str(error), "error_condition": condition, "sql_state": state}

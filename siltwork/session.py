@@ -67,5 +67,10 @@ def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None
             spark.conf.set(name, before)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Size up to which Spark broadcasts a join side by itself; negative when never."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -246,3 +246,21 @@ def test_profiles_agree_with_the_operators_and_each_other(spark):
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class ClusterWithoutSetting:
+    """Just enough of a session to ask where its shared folder is."""
+
+    class conf:
+        @staticmethod
+        def get(name, default=None):
+            return default
+
+    class sparkContext:
+        master = "yarn"
+        applicationId = "app-1"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(ClusterWithoutSetting)

@@ -6,6 +6,8 @@ import pytest
 
 from contract.customer_queries import dirty
 from siltwork.operators import checks, keys
+from siltwork.operators.lookups import lookup
+from siltwork.operators.skew import SkewPolicy
 from siltwork.plans.customers import cleanse_customers
 from siltwork.plans.quality import customer_report
 from siltwork.session import write_out
@@ -66,3 +68,15 @@ def test_staging_splits_all_rows_and_restores_the_setting(spark, tmp_path, custo
     assert staged.good_rows().count() == customers.where("cst_id is not null").count()
     assert staged.rejects().count() == customers.where("cst_id is null").count()
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_lookup_of_a_small_table_is_broadcast_without_counting_keys(spark, customers):
+    labels = write_out(
+        spark.createDataFrame([("F", "Female"), ("M", "Male")], "cst_gndr string, label string"),
+        "labels",
+    )
+    tracker = spark.sparkContext.statusTracker()
+    jobs = len(tracker.getJobIdsForGroup(None))
+    joined = lookup(customers, labels, "cst_gndr", SkewPolicy(small_bytes=1 << 20, hot_rows=5))
+    assert len(tracker.getJobIdsForGroup(None)) == jobs
+    assert "BroadcastHashJoin LeftOuter" in plan(joined)
