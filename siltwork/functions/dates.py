@@ -29,9 +29,18 @@ def int_to_date(col: Column | str) -> Column:
     return F.when(value.between(10000101, 99991231), midnight.cast("date"))
 
 
-def not_eight_digits(col: Column | str) -> Column:
+def eight_characters(col: Column | str) -> Column:
+    """True when the integer is written with eight characters, a sign included.
+
+    Told by the leading digit, without making a text of every number: eight
+    digits when positive, seven when negative.
+    """
     value = F.col(col) if isinstance(col, str) else col
-    return F.length(value.cast("string")) != 8
+
+    def leading(digits: int) -> Column:
+        return F.call_function("div", value, F.lit(10 ** (digits - 1)))
+
+    return leading(8).isin(*range(1, 10)) | leading(7).isin(*range(-9, 0))
 
 
 def outside(col: Column | str, low, high) -> Column:

@@ -69,7 +69,7 @@ def invalid_int_date(
     low: int = dates.EARLIEST_ORDER,
     high: int = dates.LATEST_ORDER,
 ) -> Column:
-    plausible = [~dates.not_eight_digits(c) for c in cols] + [
+    plausible = [dates.eight_characters(c) for c in cols] + [
         F.coalesce(F.col(c).between(low, high), F.lit(True)) for c in bounded
     ]
     return amounts.not_true(reduce(and_, plausible))

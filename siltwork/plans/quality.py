@@ -34,7 +34,7 @@ def sales_amount_report(df: DataFrame, sales: str, quantity: str, price: str) ->
 
 def sales_date_report(df: DataFrame, order: str, ship: str, due: str) -> DataFrame:
     rules = {f"null_{c}": F.col(c).isNull() for c in (order, ship, due)}
-    rules |= {f"not_eight_{c}": dates.not_eight_digits(c) for c in (order, ship, due)}
+    rules |= {f"not_eight_{c}": ~dates.eight_characters(c) for c in (order, ship, due)}
     rules[f"outside_{due}"] = dates.outside(due, dates.EARLIEST_ORDER, dates.LATEST_ORDER)
     rules["invalid_dates"] = invalid_int_date((order, ship, due), (due,))
     rules["order_after_later"] = date_order_violated(order, (ship, due))

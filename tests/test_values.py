@@ -76,6 +76,14 @@ def test_invalid_int_dates_bounds_are_exclusive_and_calendar_is_not_checked(spar
     assert sorted(r.id for r in found.collect()) == [2, 4, 5, 6, 8]
 
 
+def test_eight_characters_are_counted_as_in_the_text(spark):
+    edges = [s * (10**e + d) for s in (1, -1) for e in range(10) for d in (-1, 0, 1)]
+    edges = [x for x in edges if -(2**31) <= x < 2**31] + [2**31 - 1, -(2**31), 20100101, None]
+    df = column(spark, edges, "int")
+    got = values(df.select(dates.eight_characters("x")))
+    assert got == [None if x is None else len(str(x)) == 8 for x in edges]
+
+
 def test_date_order_never_flags_null(spark):
     rows = [(1, 5, 4, 9), (2, 5, 9, 4), (3, 5, 5, 5), (4, None, 1, 1), (5, 5, None, 4), (6, 5, None, None)]
     df = spark.createDataFrame(rows, "id int, o int, s int, d int")
