@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from contract.fixtures import base, view, with_views
 from contract.registry import query
 from siltwork.functions import codes, text

@@ -72,8 +72,10 @@ VIEWS = {
         select cast(p_partkey as int) as prd_id,
                concat(case cast(floor(p_partkey / 3) as int) % 4
                            when 0 then 'AC' when 1 then 'BI' when 2 then 'CL' else 'CO' end,
-                      '-', lpad(cast(cast(floor(p_partkey / 3) as int) % 30 as varchar(20)), 2, '0'),
-                      '-', 'P', lpad(cast(cast(floor(p_partkey / 3) as int) as varchar(20)), 8, '0'))
+                      '-',
+                      lpad(cast(cast(floor(p_partkey / 3) as int) % 30 as varchar(20)), 2, '0'),
+                      '-P',
+                      lpad(cast(cast(floor(p_partkey / 3) as int) as varchar(20)), 8, '0'))
                     as prd_key,
                concat(p_name, ' ', p_brand) as prd_nm,
                cast(case when p_partkey % 50 = 0 then null else floor(p_retailprice) end as int)
@@ -83,7 +85,8 @@ VIEWS = {
                cast(date '2003-07-01' + cast((p_partkey * 17) % 3650 as int) as date)
                     as prd_start_dt,
                case when p_partkey % 2 = 0 then null
-                    else cast(date '2003-07-01' + cast((p_partkey * 17) % 3650 - 400 as int) as date)
+                    else cast(date '2003-07-01'
+                              + cast((p_partkey * 17) % 3650 - 400 as int) as date)
                     end as prd_end_dt
         from {part}""",
     # Categories of those products; some ids are spelled so that no product finds them.

@@ -35,7 +35,7 @@ class SkewPolicy:
     same rows; the list only decides which one handles a key.
     """
 
-    small_bytes: int = 1 << 30
+    small_bytes: int = 256 << 20
     hot_rows: int = 2_000_000
     max_hot: int = 100_000
 

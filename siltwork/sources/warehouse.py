@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.schemas import LAYERS, SPECS
+from siltwork.sources.staging import REJECTED
 
 
 @dataclass(frozen=True)
@@ -79,14 +80,18 @@ class Warehouse:
         self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
 
+    def rejects(self, layer: str, table: str) -> DataFrame:
+        """Rows set aside when the published batch was loaded, with the reason."""
+        batch = self._location(layer, table).rsplit("/", 1)[0]
+        return self.spark.read.parquet(batch).where(REJECTED).drop(REJECTED)
+
     def remove_old_batches(self, layer: str, table: str) -> list[str]:
         """Delete the table's batches other than the published one; returns their paths.
 
         A refresh leaves the replaced batch in place, since queries may still be
         reading it. Call this once they are done.
         """
-        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table_name(layer, table)}")
-        current = details.where("col_name = 'Location'").first()["data_type"]
+        current = self._location(layer, table)
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         folder = hadoop.Path(f"{self.layer_path(layer)}/{table}")
         files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -98,5 +103,9 @@ class Warehouse:
                 removed.append(batch.toString())
         return removed
 
+    def _location(self, layer: str, table: str) -> str:
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table_name(layer, table)}")
+        return details.where("col_name = 'Location'").first()["data_type"]
+
     def _create(self, name: str, ddl: str, path: str) -> None:
         self.spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{path}'")

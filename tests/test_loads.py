@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contract.load_queries import BRONZE_VIEWS, OPTIONS, bronze, extract
-from siltwork.operators import constraints
+from siltwork.operators import constraints, keys
 from siltwork.operators.lineage import stamp_lineage
+from siltwork.operators.skew import SkewPolicy
 from siltwork.plans import profiles
 from siltwork.plans.bronze import load_bronze
 from siltwork.plans.gold import load_gold
@@ -88,7 +89,10 @@ def test_refresh_replaces_and_a_failed_load_keeps_the_old_rows(warehouse, tmp_pa
         return load_bronze(warehouse, {"erp_cust_az12": path}, batch, **options)
 
     load(1, customers(3))
+    assert warehouse.rejects("bronze", "erp_cust_az12").isEmpty()
     load(2, customers(5, bad=10))
+    bad = warehouse.rejects("bronze", "erp_cust_az12")
+    assert {r[BAD_LINE] for r in bad.collect()} == {f"AW{i},no date,M" for i in range(10)}
     table = warehouse.table("bronze", "erp_cust_az12")
     assert table.count() == 5
     with pytest.raises(LoadFailed, match="11 bad lines, limit 10"):
@@ -195,7 +199,10 @@ def test_lineage_is_one_value_per_batch(spark):
 
 def test_products_split_keys_and_end_before_the_next_version(spark):
     start = [dt.datetime(2011, 7, 1), dt.datetime(2012, 7, 1)]
-    rows = [(i, "AC-HE-HL-U509-R", "Helmet", 12, "S ", s, dt.datetime(2007, 1, 1)) for i, s in enumerate(start)]
+    rows = [
+        (i, "AC-HE-HL-U509-R", "Helmet", 12, "S ", s, dt.datetime(2007, 1, 1))
+        for i, s in enumerate(start)
+    ]
     raw = spark.createDataFrame(rows, SPECS["crm_prd_info"].readable("bronze"))
     got = silver_rows("crm_prd_info", raw, SilverOptions(dt.date(2026, 1, 1))).collect()
     assert {(r.prd_id, r.cat_id, r.prd_key, r.prd_line, r.prd_end_dt) for r in got} == {
@@ -243,6 +250,21 @@ def test_profiles_agree_with_the_operators_and_each_other(spark):
         checked.write.format("noop").mode("overwrite").save()
 
 
+def test_tables_with_declared_lengths_take_the_spreading_plans(spark, warehouse):
+    load_bronze(warehouse, {"crm_cust_info": extract(spark, SF_DIR, "crm_cust_info")}, 1)
+    table = warehouse.table("bronze", "crm_cust_info")
+    skew = SkewPolicy(small_bytes=0, hot_rows=10)
+    for key in ("cst_id", "cst_key", "cst_marital_status"):
+        for operator in (keys.number_rows, keys.ranked_duplicates):
+            plain = operator(table, key, "cst_create_date")
+            spread = operator(table, key, "cst_create_date", skew=skew)
+            assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+        assert (
+            keys.duplicate_rows(table, key, skew=skew).count()
+            == keys.duplicate_rows(table, key).count()
+        )
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

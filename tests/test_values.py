@@ -53,7 +53,8 @@ def test_domain_under_collation_shows_one_spelling(spark):
 
 
 def test_int_dates(spark):
-    df = column(spark, [20100228, 20100232, 0, 5489, None, 20240229, 20230229, -2010011, 201001011], "int")
+    numbers = [20100228, 20100232, 0, 5489, None, 20240229, 20230229, -2010011, 201001011]
+    df = column(spark, numbers, "int")
     assert values(df.select(dates.int_to_date("x"))) == [
         dt.date(2010, 2, 28), None, None, None, None, dt.date(2024, 2, 29), None, None, None,
     ]
@@ -85,7 +86,14 @@ def test_eight_characters_are_counted_as_in_the_text(spark):
 
 
 def test_date_order_never_flags_null(spark):
-    rows = [(1, 5, 4, 9), (2, 5, 9, 4), (3, 5, 5, 5), (4, None, 1, 1), (5, 5, None, 4), (6, 5, None, None)]
+    rows = [
+        (1, 5, 4, 9),
+        (2, 5, 9, 4),
+        (3, 5, 5, 5),
+        (4, None, 1, 1),
+        (5, 5, None, 4),
+        (6, 5, None, None),
+    ]
     df = spark.createDataFrame(rows, "id int, o int, s int, d int")
     found = checks.date_order_violations(df, "o", ["s", "d"])
     assert sorted(r.id for r in found.collect()) == [1, 2, 5]
