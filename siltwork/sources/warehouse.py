@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltwork.schemas import LAYERS, SPECS
 from siltwork.sources.staging import REJECTED
@@ -83,7 +84,8 @@ class Warehouse:
     def rejects(self, layer: str, table: str) -> DataFrame:
         """Rows set aside when the published batch was loaded, with the reason."""
         batch = self._location(layer, table).rsplit("/", 1)[0]
-        return self.spark.read.parquet(batch).where(REJECTED).drop(REJECTED)
+        rejected = F.col(REJECTED).cast("boolean")
+        return self.spark.read.parquet(batch).where(rejected).drop(REJECTED)
 
     def remove_old_batches(self, layer: str, table: str) -> list[str]:
         """Delete the table's batches other than the published one; returns their paths.
