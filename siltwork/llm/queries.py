@@ -1,4 +1,4 @@
 """All queries of the subpackage."""
 
-from siltwork.llm import licenses_query, mixing_query, quality_query  # noqa: F401
+from siltwork.llm import licenses_query, mixing_query, packing_query, quality_query  # noqa: F401
 from siltwork.llm.registry import RUN, SQL  # noqa: F401
