@@ -1,4 +1,10 @@
 """All queries of the subpackage."""
 
-from siltwork.llm import licenses_query, mixing_query, packing_query, quality_query  # noqa: F401
+from siltwork.llm import (  # noqa: F401
+    licenses_query,
+    mixing_query,
+    near_duplicates_query,
+    packing_query,
+    quality_query,
+)
 from siltwork.llm.registry import RUN, SQL  # noqa: F401
