@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltwork.llm.samples import first_rows
 from siltwork.llm.text import whole, words
 from siltwork.session import write_out
 
@@ -171,16 +172,14 @@ class Estimate:
 
 
 def estimate(
-    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 1000
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 500
 ) -> list[Estimate]:
     """Cost and share of rejections of each rule on at most ``sample_rows`` rows.
 
     The sample serves to choose an order only, so any rows do. Each rule is run
     alone, twice; the faster run counts, less that of reading the sample.
     """
-    # A limit in a plan would move so many rows of every partition; this reads few.
-    taken = docs.select(F.col(text).alias(text)).take(sample_rows)
-    sample = docs.sparkSession.createDataFrame(taken, docs.select(text).schema)
+    sample = first_rows(docs.select(F.col(text)), sample_rows)
     sample = write_out(sample, "quality-sample")
 
     def timed(rows: DataFrame, rejects: Column) -> tuple[float, float]:
@@ -227,7 +226,7 @@ def cascade(
 
 
 def passing(
-    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 1000
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 500
 ) -> DataFrame:
     """The rows of ``docs`` that no rule rejects."""
     order = in_order(estimate(docs, rules, text, sample_rows))
@@ -238,7 +237,7 @@ def passing(
 
 
 def judged(
-    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 1000
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 500
 ) -> DataFrame:
     """Per row: id, the base measures, ``base_failed`` and the cascade's ``kept``."""
     order = in_order(estimate(docs, rules, text, sample_rows))

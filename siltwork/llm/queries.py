@@ -5,6 +5,7 @@ from siltwork.llm import (  # noqa: F401
     mixing_query,
     near_duplicates_query,
     packing_query,
+    personal_data_query,
     quality_query,
 )
 from siltwork.llm.registry import RUN, SQL  # noqa: F401
