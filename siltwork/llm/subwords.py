@@ -7,17 +7,20 @@ those of its words in turn. Words repeat, so their ids are kept: up to
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-WORD_END = "</w>"
-MOST_WORDS = 300_000
-_AT_ONCE = 2000
+MOST_WORDS = 700_000
 _MARKS = ".,;:!?"
+_AFTER_LATIN = "\u0250"
+# Byte-level tokens write a byte as the Latin-1 character of its number where that
+# is printable, and the others, in order, as the characters from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Subwords:
@@ -26,49 +29,37 @@ class Subwords:
     def __init__(self, path: str = TOKENIZER):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self._ends = np.zeros(self.size, dtype=bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            self._ends[number] = token.endswith(WORD_END)
+        self._model = self.tokenizer.model
         self._known: dict[bytes, bytes] = {}
+        self._plain: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
 
     def _alone(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: Iterable[bytes]) -> None:
-        """Ids of words not seen yet. Plain words of letters are encoded together."""
-        known = self._known
-        if len(known) > MOST_WORDS:
-            known.clear()
-        split = []
-        for word in words:
-            text = word.decode()
-            core = text.rstrip(_MARKS)
-            if core.isalpha():
-                split.append((word, core.encode(), text[len(core) :]))
-            else:
-                known[word] = self._alone(text)
-        cores = [c for c in {core for _, core, _ in split} if c not in known]
-        for at in range(0, len(cores), _AT_ONCE):
-            some = cores[at : at + _AT_ONCE]
-            joined = b" ".join(some).decode()
-            ids = np.array(
-                self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4"
-            )
-            ends = np.flatnonzero(self._ends[ids]) + 1
-            if len(ends) == len(some):
-                raw, start = ids.tobytes(), 0
-                for core, end in zip(some, (ends * 4).tolist()):
-                    known[core], start = raw[start:end], end
-            else:
-                for core in some:
-                    known[core] = self._alone(core.decode())
-        for word, core, marks in split:
-            if marks:
-                tail = marks.encode()
-                if tail not in known:
-                    known[tail] = self._alone(marks)
-                known[word] = known[core] + known[tail]
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of Latin letters, which its normalizer only lower-cases."""
+        if word not in self._plain:
+            if len(self._plain) > MOST_WORDS:
+                self._plain.clear()
+            spelled = word.lower().encode().decode("latin-1").translate(_BYTES)
+            ids = [token.id for token in self._model.tokenize(spelled)]
+            self._plain[word] = np.array(ids, dtype="<u4").tobytes()
+        return self._plain[word]
+
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of one word; letters and the marks after them never share a token."""
+        text = word.decode()
+        core = text.rstrip(_MARKS)
+        if not (core.isalpha() and max(core) < _AFTER_LATIN and "\u0130" not in core):
+            return self._alone(text)
+        marks = text[len(core) :]
+        if not marks:
+            return self._letters(core)
+        if marks not in self._marks:
+            self._marks[marks] = self._alone(marks)
+        return self._letters(core) + self._marks[marks]
 
     def words(self, texts: list[str | None]) -> list[list[bytes]]:
         """Per text, the ids of its words; None counts as empty."""
@@ -79,7 +70,7 @@ class Subwords:
             if len(known) + len(new) > MOST_WORDS:
                 known.clear()
                 new = {word for words in split for word in words}
-            self._learn(new)
+            known.update((word, self._ids(word)) for word in new)
         return [list(map(known.__getitem__, words)) for words in split]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
