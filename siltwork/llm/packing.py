@@ -37,6 +37,8 @@ from siltwork.session import write_out
 
 WINDOW = 4096
 END_ID = 2
+#: Cut documents up to this number are broadcast, each with at most a few ranges.
+MOST_BROADCAST = 100_000
 _PASSES = 300
 _PARTNERS = 12
 
@@ -325,8 +327,11 @@ def _cut(texts: DataFrame, pieces: DataFrame, tokenizer: str, end_id: int) -> Da
             "__ranges"
         )
     )
+    ranges = write_out(ranges.withColumnRenamed("__text", "__key"), "pack-cuts")
     same = texts["doc_id"].eqNullSafe(F.col("__id")) & (texts["__text"] == F.col("__key"))
-    rows = texts.join(ranges.withColumnRenamed("__text", "__key"), same).drop("doc_id", "__key")
+    # Few documents are cut; joined by a shuffle, all texts would move for them.
+    few = ranges.count() <= MOST_BROADCAST
+    rows = texts.join(F.broadcast(ranges) if few else ranges, same).drop("doc_id", "__key")
     made = rows.select("__id", "__text", "text", "__ranges").mapInArrow(
         _digested(tokenizer, end_id),
         "__id bigint, __text bigint, __ranges array<struct<s:bigint,n:bigint>>, "
