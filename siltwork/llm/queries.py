@@ -1,11 +1,13 @@
 """All queries of the subpackage."""
 
 from siltwork.llm import (  # noqa: F401
+    language_query,
     licenses_query,
     mixing_query,
     near_duplicates_query,
     packing_query,
     personal_data_query,
     quality_query,
+    toxicity_query,
 )
 from siltwork.llm.registry import RUN, SQL  # noqa: F401

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,9 @@ def first_rows(rows: DataFrame, n: int) -> DataFrame:
     kind = f"array<{rows.schema.simpleString()}>"
     listed = F.from_json(F.lit(json.dumps(taken)), kind)
     return rows.sparkSession.range(1).select(F.inline(listed))
+
+
+def share_of(identifier: str, seed: int) -> Column:
+    """A number from 0 to 1 that depends on a row's id only."""
+    hashed = F.xxhash64(F.lit(seed), F.col(identifier))
+    return F.pmod(hashed, F.lit(1 << 30)) / F.lit(float(1 << 30))
