@@ -37,7 +37,8 @@ from siltwork.session import write_out
 
 MOST_TEXTS = 20_000
 MOST_STEMS = 400
-LEAST_TEXTS = 12
+#: A stem must occur in so many toxic texts, and in that share of them.
+LEAST_TEXTS, LEAST_SHARE = 12, 0.02
 LEAST_RATIO = 100.0
 PREDICTED_FROM = 0.3
 _FOLDS, _HELD_OUT = 4, 2
@@ -194,8 +195,9 @@ def learned_stems(texts: DataFrame, most: int = MOST_STEMS) -> dict[str, float]:
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     )
     ratio = ((F.col("bad") + 0.5) / sizes[1]) / ((F.col("good") + 0.5) / sizes[0])
+    least = max(LEAST_TEXTS, LEAST_SHARE * sizes[1])
     rows = (
-        by_stem.where((F.col("bad") >= LEAST_TEXTS) & (ratio >= LEAST_RATIO))
+        by_stem.where((F.col("bad") >= least) & (ratio >= LEAST_RATIO))
         .select("stem", F.log(ratio).alias("weight"), "bad")
         .orderBy(F.desc("bad"), F.length("stem"), "stem")
         .limit(most * _LONGEST)
