@@ -5,6 +5,7 @@ from siltwork.llm import (  # noqa: F401
     licenses_query,
     mixing_query,
     near_duplicates_query,
+    neighbours_query,
     packing_query,
     personal_data_query,
     quality_query,
