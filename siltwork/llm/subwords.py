@@ -34,6 +34,13 @@ class Subwords:
         self._plain: dict[str, bytes] = {}
         self._marks: dict[str, bytes] = {}
 
+    def ends(self) -> np.ndarray:
+        """For each id 1 if it ends a word, else 0."""
+        found = np.zeros(self.size, dtype=np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            found[number] = token.endswith("</w>")
+        return found
+
     def _alone(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
