@@ -9,9 +9,12 @@ with the rarest first, two such sketches then share one of the first
 documents have in common is hardly listed at all, without any cap.
 
 A list is not turned into pairs. First all its members are compared with its
-smallest one; that links large groups. Only members of lists that then still
-hold several components are compared with each other. Each pair of candidates is
-estimated from the sketch of the union and then confirmed on the full sets.
+head, the one with the fewest values of its own; that links large groups to the
+text they were made from. Where members of a head then still belong to several
+components, those outside the head's are compared with the others in blocks:
+numpy multiplies incidence matrices of sketches, then of the full sets of those
+that are likely, and only links come out. The sketch of the union estimates a
+pair's similarity; all links are confirmed on the full sets.
 
 Null and empty texts have no shingles and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Rows with equal texts share a group;
@@ -114,7 +117,10 @@ def _similar_sizes(a: Column, b: Column, threshold: float) -> Column:
 
 
 def _listed(nodes: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Rows (v, node, n): the rarest values of each sketch that others have, too."""
+    """Rows (v, node, n, own): the rarest values of each sketch that others have, too.
+
+    ``own`` is how many values of the sketch no other has.
+    """
     values = nodes.select("node", "n", F.explode("sketch").alias("v"))
     shared = write_out(
         values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-shared"
@@ -130,11 +136,12 @@ def _listed(nodes: DataFrame, k: int, threshold: float) -> DataFrame:
     few = F.floor((100 - t) * F.col("n") / 100) + 1
     first = F.when(F.col("n") <= k, few).otherwise(k - least_shared(k, threshold) + 1)
     # Values that no other set has are the rarest of all.
-    rest = (first - (F.col("size") - F.size("by"))).cast("int")
+    own = F.col("size") - F.size("by")
+    rest = (first - own).cast("int")
     return write_out(
         found.where(rest > 0)
-        .select("node", "n", F.explode(F.slice("by", F.lit(1), rest)).alias("x"))
-        .select(F.col("x.v").alias("v"), "node", "n"),
+        .select("node", "n", own.alias("own"), F.explode(F.slice("by", F.lit(1), rest)).alias("x"))
+        .select(F.col("x.v").alias("v"), "node", "n", "own"),
         "near-lists",
     )
 
@@ -215,6 +222,194 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def _blocks(members: DataFrame, main: DataFrame, block: int) -> DataFrame:
+    """Rows of ``members`` (a, node, component) in blocks (a, i, j) of strays and others.
+
+    Strays are the members outside the component of their head ``a``, in
+    ``main``. Each block of strays meets each block of members, in a row of its
+    own, so a block's size does not depend on how many members a head has.
+    """
+    rows = members.join(main, "a").withColumn("stray", F.col("component") != F.col("main"))
+    sizes = rows.groupBy("a").agg(
+        F.ceil(F.count_if("stray") / block).alias("ni"),
+        F.ceil(F.count(F.lit(1)) / block).alias("nj"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    sizes = write_out(sizes.where("low <> high and ni > 0").select("a", "ni", "nj"), "near-sizes")
+    rows = rows.join(sizes, "a")
+    zero = F.lit(0).cast("bigint")
+    number = F.xxhash64("node")
+    kept = [c for c in members.columns if c != "a"]
+    strays = rows.where("stray").select(
+        "a",
+        F.pmod(number, F.col("ni")).alias("i"),
+        F.explode(F.sequence(zero, F.col("nj") - 1)).alias("j"),
+        F.lit(True).alias("first"),
+        "stray",
+        *kept,
+    )
+    others = rows.select(
+        "a",
+        F.explode(F.sequence(zero, F.col("ni") - 1)).alias("i"),
+        F.pmod(number, F.col("nj")).alias("j"),
+        F.lit(False).alias("first"),
+        "stray",
+        *kept,
+    )
+    return strays.unionByName(others)
+
+
+def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of rows with the same (a, i, j); such rows follow each other."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in ("a", "i", "j")], axis=1)
+        if not len(keys):
+            continue
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            key = tuple(keys[start].tolist())
+            if held and key != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _overlaps(values: pa.Array, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets of ``first`` rows with those of the others."""
+    flat = values.to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.cumsum(first) - 1
+    other_place = np.cumsum(~first) - 1
+    found = np.zeros((int(first.sum()), int((~first).sum())), dtype=np.float32)
+    distinct, column = np.unique(flat, return_inverse=True)
+    left = first[row]
+    both = (np.bincount(column[left], minlength=len(distinct)) > 0) & (
+        np.bincount(column[~left], minlength=len(distinct)) > 0
+    )
+    number = np.cumsum(both) - 1
+    keep = both[column]
+    row, column, left = row[keep], number[column[keep]], left[keep]
+    for start in range(0, int(both.sum()), 4096):
+        here = (column >= start) & (column < start + 4096)
+        width = min(4096, int(both.sum()) - start)
+        x = np.zeros((found.shape[0], width), dtype=np.float32)
+        y = np.zeros((found.shape[1], width), dtype=np.float32)
+        x[place[row[here & left]], column[here & left] - start] = 1
+        y[other_place[row[here & ~left]], column[here & ~left] - start] = 1
+        found += x @ y.T
+    return found
+
+
+def _compared(block: pa.Table, column: str):
+    """Of a block: strays and others as (node, n, component), overlaps, and pairs to look at."""
+    first = block.column("first").to_numpy()
+    sets = block.column(column).combine_chunks()
+    lengths = np.diff(sets.offsets.to_numpy())
+    overlaps = _overlaps(sets.flatten(), lengths, first)
+    x, y = (
+        {c: block.column(c).to_numpy()[side] for c in ("node", "n", "component", "stray")}
+        for side in (first, ~first)
+    )
+    wanted = x["component"][:, None] != y["component"][None, :]
+    # Two strays meet twice; once is enough.
+    wanted &= ~y["stray"][None, :] | (x["node"][:, None] < y["node"][None, :])
+    return x, y, overlaps, wanted
+
+
+def _first_links(x, y, linked: np.ndarray) -> tuple[list[int], list[int]]:
+    """A link of each stray to each component, of those in the matrix ``linked``."""
+    rows, columns = np.nonzero(linked)
+    pairs = np.stack([x["node"][rows], y["component"][columns]], axis=1)
+    _, kept = np.unique(pairs, axis=0, return_index=True)
+    return x["node"][rows[kept]].tolist(), y["node"][columns[kept]].tolist()
+
+
+def _among_members(
+    members: DataFrame,
+    found: DataFrame,
+    nodes: DataFrame,
+    documents: DataFrame,
+    size: int,
+    threshold: float,
+    k: int,
+) -> DataFrame:
+    """Links between members of a head that lie in different components."""
+    t = round(threshold * 100)
+    least = least_shared(k, threshold)
+    placed = _with_component(members.select("a", "node", "n"), found)
+    main = members.select(F.col("a").alias("node")).distinct()
+    main = _with_component(main, found).select(
+        F.col("node").alias("a"), F.col("component").alias("main")
+    )
+    main = write_out(main, "near-main")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _each_block(batches):
+            x, y, overlaps, wanted = _compared(block, "sketch")
+            a, b = x["n"][:, None], y["n"][None, :]
+            wanted &= 100 * np.minimum(a, b) >= t * np.maximum(a, b)
+            whole = (a <= k) & (b <= k)
+            one, other = _first_links(x, y, wanted & whole & (100 * overlaps >= t * (a + b - overlaps)))
+            possible = wanted & ~whole & (overlaps >= least)
+            open_nodes = [
+                *x["node"][possible.any(axis=1)].tolist(),
+                *y["node"][possible.any(axis=0)].tolist(),
+            ]
+            head = block.column("a")[0].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([True] * len(one) + [False] * len(open_nodes), pa.bool_()),
+                    pa.array(one + [head] * len(open_nodes), pa.int64()),
+                    pa.array(other + open_nodes, pa.int64()),
+                ],
+                names=["link", "a", "b"],
+            )
+
+    sketches = nodes.select("node", "sketch")
+    rows = _blocks(placed, main, 1024).join(sketches, "node")
+    key = ("a", "i", "j")
+    rows = rows.repartition(*key).sortWithinPartitions(*key)
+    first = write_out(rows.mapInArrow(likely, "link boolean, a bigint, b bigint").distinct(), "near-likely")
+    sure = first.where("link").select("a", "b")
+
+    # The full sets of those that a sketch cannot rule out.
+    active = first.where("not link").select("a", F.col("b").alias("node")).distinct()
+    active = write_out(active.join(placed, ["a", "node"]), "near-active")
+    wanted = write_out(active.select(F.col("node").alias("__uid")).distinct(), "near-wanted")
+    few = wanted.count() <= MOST_BROADCAST
+    texts = documents.select("__uid", "text").join(
+        F.broadcast(wanted) if few else wanted, "__uid", "left_semi"
+    )
+
+    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, "text"):
+            sets = [shingles(text.as_py(), size).view(np.int64) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__uid"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"]
+            )
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _each_block(batches):
+            x, y, overlaps, wanted = _compared(block, "set")
+            union = x["n"][:, None] + y["n"][None, :] - overlaps
+            one, other = _first_links(x, y, wanted & (100 * overlaps >= t * union))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one, pa.int64()), pa.array(other, pa.int64())], names=["a", "b"]
+            )
+
+    sets = texts.mapInArrow(as_sets, "node bigint, set array<bigint>")
+    rows = _blocks(active, main, 512).join(sets, "node")
+    rows = rows.repartition(*key).sortWithinPartitions(*key)
+    more = rows.mapInArrow(linked, "a bigint, b bigint").distinct()
+    return write_out(more.unionByName(sure), "near-links")
+
+
 def grouped(
     docs: DataFrame, size: int = 5, threshold: float = 0.8, k: int = K
 ) -> DataFrame:
@@ -235,54 +430,26 @@ def grouped(
     )
     lists = _listed(nodes, k, threshold)
 
-    # Every member of a list against its smallest one.
+    # Every member of a list against its head.
     heads = write_out(
         lists.groupBy("v")
-        .agg(F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("members"))
+        .agg(F.min(F.struct("own", "node", "n")).alias("head"), F.count(F.lit(1)).alias("members"))
         .where("members > 1")
         .select("v", F.col("head.node").alias("a"), F.col("head.n").alias("na")),
         "near-heads",
     )
-    stars = (
+    members = write_out(
         lists.join(heads, "v")
-        .where((F.col("a") != F.col("node")) & _similar_sizes(F.col("na"), F.col("n"), threshold))
-        .select("a", F.col("node").alias("b"))
-        .distinct()
+        .where(F.col("a") != F.col("node"))
+        .select("a", "na", "node", "n")
+        .distinct(),
+        "near-members",
     )
+    stars = members.where(_similar_sizes(F.col("na"), F.col("n"), threshold))
+    stars = stars.select("a", F.col("node").alias("b"))
     links = _confirmed(_likely(stars, nodes, k, threshold), documents, size, threshold)
     found = write_out(components(links), "near-components")
-
-    # Members of lists that hold several components against the others.
-    placed = write_out(_with_component(lists.join(heads.select("v", "a"), "v"), found), "near-placed")
-    mixed = write_out(
-        placed.groupBy("v")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.max(F.when(F.col("node") == F.col("a"), F.col("component"))).alias("main"),
-            F.count(F.lit(1)).alias("members"),
-        )
-        .where("low <> high and members > 2")
-        .select("v", "main"),
-        "near-mixed",
-    )
-    members = write_out(placed.join(mixed, "v"), "near-members")
-    strays = members.where("component <> main").select(
-        "v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb")
-    )
-    # The head of the list has been compared with all; others of its component
-    # meet every stray, strays meet each other once.
-    rest = (
-        strays.join(members.where("node <> a").drop("a"), "v")
-        .where(
-            (F.col("component") != F.col("cb"))
-            & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("b")))
-            & _similar_sizes(F.col("n"), F.col("nb"), threshold)
-        )
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
-    )
-    more = _confirmed(_likely(rest, nodes, k, threshold), documents, size, threshold)
+    more = _among_members(members, found, nodes, documents, size, threshold, k)
     found = write_out(components(links.unionByName(more)), "near-components")
 
     # From classes back to rows.
