@@ -7,7 +7,7 @@ those of its words in turn. Words repeat, so their ids are kept: up to
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -23,6 +23,20 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+class _Known(dict):
+    """Ids of words; a word not seen yet is encoded when it is looked up."""
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        ids = self[word] = self._encode(word)
+        return ids
+
+
 class Subwords:
     """Ids of texts by the tokenizer in the file at ``path``, as little-endian uint32."""
 
@@ -30,7 +44,7 @@ class Subwords:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self._model = self.tokenizer.model
-        self._known: dict[bytes, bytes] = {}
+        self._known = _Known(self._ids)
         self._plain: dict[str, bytes] = {}
         self._marks: dict[str, bytes] = {}
 
@@ -70,15 +84,8 @@ class Subwords:
 
     def words(self, texts: list[str | None]) -> list[list[bytes]]:
         """Per text, the ids of its words; None counts as empty."""
-        split = [(text or "").encode("utf-8", "replace").split() for text in texts]
-        known = self._known
-        new = {word for words in split for word in words if word not in known}
-        if new:
-            if len(known) + len(new) > MOST_WORDS:
-                known.clear()
-                new = {word for words in split for word in words}
-            known.update((word, self._ids(word)) for word in new)
-        return [list(map(known.__getitem__, words)) for words in split]
+        of = self._known.__getitem__
+        return [list(map(of, (text or "").encode("utf-8", "replace").split())) for text in texts]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Per text, its ids."""
