@@ -41,7 +41,7 @@ from siltwork.llm.components import components
 from siltwork.llm.subwords import small_slices
 from siltwork.session import write_out
 
-K = 32
+K = 64
 MISS = 1e-7
 #: Ids of candidates up to this number are broadcast, 16 bytes each at most.
 MOST_BROADCAST = 1_000_000

@@ -178,9 +178,9 @@ def test_blocks_of_any_size_find_the_same(spark, monkeypatch):
 
 
 def test_least_shared_has_the_stated_chance():
-    s = near_duplicates.least_shared(32, 0.8)
-    below = sum(math.comb(32, i) * 0.8**i * 0.2 ** (32 - i) for i in range(s))
-    assert below <= near_duplicates.MISS < below + math.comb(32, s) * 0.8**s * 0.2 ** (32 - s)
+    s = near_duplicates.least_shared(64, 0.8)
+    below = sum(math.comb(64, i) * 0.8**i * 0.2 ** (64 - i) for i in range(s))
+    assert below <= near_duplicates.MISS < below + math.comb(64, s) * 0.8**s * 0.2 ** (64 - s)
 
 
 def test_components_of_chains_and_stars(spark):
