@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contract.fixtures import base, view, with_views
 from contract.registry import query
+from contract.values import label
 from siltwork.functions import codes, text
 from siltwork.operators import checks, keys, ordering
 from siltwork.operators.skew import SkewPolicy
@@ -12,8 +13,7 @@ from siltwork.plans.quality import customer_report
 
 KEY, NEWEST, TIES = "cst_id", "cst_create_date", ["src_row"]
 
-LABEL = """case upper(trim(cst_gndr)) when 'F' then 'Female' when 'M' then 'Male'
-           else 'N/A' end"""
+LABEL = label("cst_gndr", codes.GENDER_CODES)
 NUMBERED = """row_number() over (partition by cst_id
               order by cst_create_date desc nulls last, src_row desc)"""
 CLEANSED_SQL = with_views(
@@ -49,7 +49,7 @@ def spreading(df, parts):
     Small tables then take the plans that very large ones need: the NULL key of
     the dirty customers, one row in 101, is hot for 200 parts.
     """
-    return SkewPolicy(small_bytes=0, hot_rows=max(2, df.count() // parts))
+    return SkewPolicy(hot_rows=max(2, df.count() // parts))
 
 
 @query(CLEANSED_SQL)
@@ -220,9 +220,7 @@ def head_sample(spark, sf_dir):
 def head_sample_spread(spark, sf_dir):
     cols = ["cst_id", "cst_key", "src_row"]
     order = ["cst_key", "src_row"]
-    return ordering.head_sample(
-        dirty(spark, sf_dir), cols, order=order, skew=SkewPolicy(small_bytes=0)
-    )
+    return ordering.head_sample(dirty(spark, sf_dir), cols, order=order)
 
 
 @query(

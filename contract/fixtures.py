@@ -27,7 +27,8 @@ VIEWS = {
                cast(o_orderdate as date) as cst_create_date,
                o_orderkey as src_row
         from {orders}""",
-    # Raw ERP customers: prefixed keys, implausible birth dates, mixed gender codes.
+    # Raw ERP customers: prefixed keys, some keys in both spellings, implausible birth
+    # dates, mixed gender codes.
     "dirty_erp_customers": """
         select case when c_custkey % 3 = 0
                     then concat('NASAW', lpad(cast(c_custkey as varchar(20)), 8, '0'))
@@ -36,7 +37,11 @@ VIEWS = {
                case c_custkey % 8 when 0 then 'F' when 1 then 'Female' when 2 then 'M'
                     when 3 then 'Male' when 4 then ' f' when 5 then 'MALE '
                     when 6 then null else '' end as gen
-        from {customer}""",
+        from {customer}
+        union all
+        select concat('AW', lpad(cast(c_custkey as varchar(20)), 8, '0')),
+               cast(date '1960-01-01' + cast((c_custkey * 7) % 9000 as int) as date), 'm'
+        from {customer} where c_custkey % 15 = 0""",
     # Sales dates as integers: missing, zero, too short, far out.
     "dirty_sales_dates": """
         select l_orderkey, l_linenumber,
@@ -67,11 +72,15 @@ VIEWS = {
                          when l_suppkey % 10 = 0 then floor(l_extendedprice)+1
                          else floor(l_extendedprice/l_quantity)*l_quantity end as int) as s
         from {lineitem}""",
-    # Raw products: three versions per key, ends before starts, padded line codes.
+    # Raw products: three versions per key, some starting together, some under a second
+    # category; ends before starts, padded line codes.
     "dirty_products": """
         select cast(p_partkey as int) as prd_id,
-               concat(case cast(floor(p_partkey / 3) as int) % 4
-                           when 0 then 'AC' when 1 then 'BI' when 2 then 'CL' else 'CO' end,
+               concat(case when p_partkey % 39 = 2 then 'ZZ'
+                           when cast(floor(p_partkey / 3) as int) % 4 = 0 then 'AC'
+                           when cast(floor(p_partkey / 3) as int) % 4 = 1 then 'BI'
+                           when cast(floor(p_partkey / 3) as int) % 4 = 2 then 'CL'
+                           else 'CO' end,
                       '-',
                       lpad(cast(cast(floor(p_partkey / 3) as int) % 30 as varchar(20)), 2, '0'),
                       '-P',
@@ -82,8 +91,9 @@ VIEWS = {
                     as prd_cost,
                case p_partkey % 5 when 0 then 'R ' when 1 then 'M ' when 2 then 'S '
                     when 3 then 'T ' else null end as prd_line,
-               cast(date '2003-07-01' + cast((p_partkey * 17) % 3650 as int) as date)
-                    as prd_start_dt,
+               cast(date '2003-07-01'
+                    + cast(((p_partkey - case when p_partkey % 21 = 1 then 1 else 0 end) * 17)
+                           % 3650 as int) as date) as prd_start_dt,
                case when p_partkey % 2 = 0 then null
                     else cast(date '2003-07-01'
                               + cast((p_partkey * 17) % 3650 - 400 as int) as date)
@@ -134,7 +144,7 @@ VIEWS = {
                               then -floor(l_extendedprice/l_quantity)
                          else floor(l_extendedprice/l_quantity) end as int) as sls_price
         from {lineitem} join {orders} on l_orderkey = o_orderkey""",
-    # Lines of an extract: half of them broken in one of four ways, some quoted.
+    # Lines of an extract: half of them broken in one of four ways, some blank, some quoted.
     "extract_lines": """
         select case c_custkey % 10
                     when 0 then concat(cid, ',', born, ',M,extra')
@@ -143,8 +153,9 @@ VIEWS = {
                     when 3 then concat(cid, ',', born, ',', repeat('x', 51))
                     when 4 then concat('"', cid, ',', born, ',M"')
                     when 5 then concat(cid, ',,')
-                    else concat(cid, ',', born, ', m ') end as line,
-               c_custkey % 10 < 4 as broken,
+                    else case c_custkey % 40 when 6 then ' ' when 7 then '   '
+                         else concat(cid, ',', born, ', m ') end end as line,
+               c_custkey % 10 < 4 or c_custkey % 40 in (6, 7) as broken,
                case when c_custkey % 10 = 4 then concat('"', cid) else cid end as cid,
                case when c_custkey % 10 = 5 then null else cast(born as date) end as bdate,
                case c_custkey % 10 when 4 then 'M"' when 5 then null else ' m ' end as gen

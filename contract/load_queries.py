@@ -11,13 +11,14 @@ from contract.customer_queries import spreading
 from contract.erp_queries import AS_OF
 from contract.fixtures import base, view, with_views
 from contract.registry import query
-from siltwork.functions import dates
+from contract.values import label, repaired
+from siltwork.functions import codes, dates
 from siltwork.operators import constraints, keys, lookups
 from siltwork.operators.lineage import stamp_lineage
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans import gold
 from siltwork.plans.bronze import load_bronze
-from siltwork.plans.load_job import ALL_TABLES
+from siltwork.plans.load_job import ALL_TABLES, read_audit
 from siltwork.plans.silver import SilverOptions, load_silver, silver_rows, stage_checked
 from siltwork.schemas import LINEAGE_COLUMNS, SPECS
 from siltwork.session import scratch_path, write_out
@@ -31,11 +32,11 @@ OPTIONS = SilverOptions(
     marital_labels={"S": "Single", "M": "Married"},
     line_labels={"M": "Mountain", "R": "Road", "S": "Other Sales", "T": "Touring"},
 )
-# Lists 30 of the product keys as hot; the others take the plain plan.
+# Every product key with three versions is hot.
 SPREAD_OPTIONS = SilverOptions(
     as_of=AS_OF,
     line_labels=OPTIONS.line_labels,
-    skew=SkewPolicy(small_bytes=0, hot_rows=3, max_hot=30),
+    skew=SkewPolicy(hot_rows=3),
 )
 BRONZE_VIEWS = {
     "crm_cust_info": "dirty_customers",
@@ -221,15 +222,29 @@ def silver_column_default(spark, sf_dir):
     )
 
 
+@query(with_views("dirty_locations", "select cid from dirty_locations where cntry is null"))
+def recreated_table(spark, sf_dir):
+    """All rows are inserted, the table is recreated, then some are: only those are left."""
+    warehouse = new_warehouse(spark)
+    warehouse.create_layers()
+    warehouse.recreate_table("silver", "erp_loc_a101")
+    rows = silver(spark, sf_dir, "erp_loc_a101")
+    insert = f"""insert into {warehouse.table_name("silver", "erp_loc_a101")}
+                   (cid, cntry, dwh_source_system, dwh_batch_id)
+                 select cid, cntry, 'ERP', 5 from {{rows}}"""
+    spark.sql(insert, rows=rows)
+    warehouse.recreate_table("silver", "erp_loc_a101")
+    spark.sql(insert, rows=rows.where("cntry is null"))
+    return warehouse.table("silver", "erp_loc_a101").select("cid")
+
+
 # -- silver --------------------------------------------------------------------
 
-CUSTOMERS_SQL = """
+CUSTOMERS_SQL = f"""
     select cst_id, cst_key, trim(cst_firstname) as cst_firstname,
            trim(cst_lastname) as cst_lastname,
-           case trim(cst_marital_status) when 'S' then 'Single' when 'M' then 'Married'
-                else 'N/A' end as cst_marital_status,
-           case upper(trim(cst_gndr)) when 'F' then 'Female' when 'M' then 'Male'
-                else 'N/A' end as cst_gndr,
+           {label("cst_marital_status", OPTIONS.marital_labels)} as cst_marital_status,
+           {label("cst_gndr", codes.GENDER_CODES)} as cst_gndr,
            cst_create_date
     from dirty_customers where cst_id is not null
     qualify row_number() over (
@@ -237,38 +252,31 @@ CUSTOMERS_SQL = """
       order by cst_create_date desc nulls last, cst_key desc nulls last,
                cst_firstname desc nulls last, cst_lastname desc nulls last,
                cst_marital_status desc nulls last, cst_gndr desc nulls last) = 1"""
-PRODUCTS_SQL = """
+PRODUCTS_SQL = f"""
     select prd_id, replace(left(prd_key, 5), '-', '_') as cat_id,
            substr(prd_key, 7) as prd_key, trim(prd_nm) as prd_nm,
            cast(prd_cost as decimal(18,2)) as prd_cost,
-           case trim(prd_line) when 'M' then 'Mountain' when 'R' then 'Road'
-                when 'S' then 'Other Sales' when 'T' then 'Touring' else 'N/A' end as prd_line,
+           {label("prd_line", OPTIONS.line_labels)} as prd_line,
            prd_start_dt,
-           cast(lead(prd_start_dt) over (partition by dirty_products.prd_key
-                order by prd_start_dt) - 1 as date) as prd_end_dt
+           cast(min(prd_start_dt) over (partition by dirty_products.prd_key order by prd_start_dt
+                range between interval 1 day following and unbounded following)
+                - interval 1 day as date) as prd_end_dt
     from dirty_products"""
-SALES_SQL = """
+_SALES, _QUANTITY, _PRICE = repaired("sls_sales", "sls_quantity", "sls_price")
+SALES_SQL = f"""
     select sls_ord_num, sls_prd_key, sls_cust_id,
            cast(try_strptime(cast(sls_order_dt as varchar), '%Y%m%d') as date) as sls_order_dt,
            cast(try_strptime(cast(sls_ship_dt as varchar), '%Y%m%d') as date) as sls_ship_dt,
            cast(try_strptime(cast(sls_due_dt as varchar), '%Y%m%d') as date) as sls_due_dt,
-           cast(case when coalesce(sls_sales, 0) <= 0
-                       or sls_sales <> abs(sls_quantity) * cast(abs(sls_price) as bigint)
-                     then abs(sls_quantity) * cast(abs(sls_price) as bigint)
-                     else sls_sales end as decimal(18,2)) as sls_sales,
-           cast(case when coalesce(sls_quantity, 0) <= 0
-                     then sls_sales // nullif(abs(sls_price), 0)
-                     else sls_quantity end as int) as sls_quantity,
-           cast(case when coalesce(sls_price, 0) <= 0
-                     then sls_sales // nullif(sls_quantity, 0)
-                     else sls_price end as decimal(18,2)) as sls_price
+           cast({_SALES} as decimal(18,2)) as sls_sales,
+           cast({_QUANTITY} as int) as sls_quantity,
+           cast({_PRICE} as decimal(18,2)) as sls_price
     from dirty_crm_sales where sls_cust_id is not null"""
-ERP_CUSTOMERS_SQL = """
+ERP_CUSTOMERS_SQL = f"""
     select regexp_replace(cid, '^NAS', '') as cid,
            case when bdate between date '1924-01-01' and date '2026-01-01' then bdate end
              as bdate,
-           case when upper(trim(gen)) in ('F', 'FEMALE') then 'Female'
-                when upper(trim(gen)) in ('M', 'MALE') then 'Male' else 'N/A' end as gen
+           {label("gen", codes.GENDER_CODES_AND_WORDS)} as gen
     from dirty_erp_customers"""
 LOCATIONS_SQL = "select cid, trim(cntry) as cntry from dirty_locations"
 CATEGORIES_SQL = "select id, cat, subcat, maintenance from dirty_categories"
@@ -354,20 +362,28 @@ def silver_load(spark, sf_dir):
 
 # -- gold ----------------------------------------------------------------------
 
-DIM_CUSTOMERS_SQL = """
+DIM_CUSTOMERS_SQL = f"""
     select cst_id as customer_id, cst_key as customer_key, cst_firstname as first_name,
            cst_lastname as last_name, cst_marital_status as marital_status,
            case when cst_gndr <> 'N/A' then cst_gndr else coalesce(gen, 'N/A') end as gender,
            bdate as birth_date, cntry as country, cst_create_date as created
     from silver_customers
-    left join silver_erp_customers e on cst_key = e.cid
-    left join silver_locations l on cst_key = l.cid"""
-DIM_PRODUCTS_SQL = """
+    left join (select * from silver_erp_customers qualify row_number() over (
+                 partition by cid order by bdate desc nulls last, gen desc nulls last) = 1) e
+      on cst_key = e.cid
+    left join (select * from silver_locations qualify row_number() over (
+                 partition by cid order by cntry desc nulls last) = 1) l
+      on cst_key = l.cid"""
+DIM_PRODUCTS_SQL = f"""
     select prd_key as product_key, prd_id as product_id, prd_nm as product_name,
            cat_id as category_id, prd_line as product_line, prd_cost as cost,
            prd_start_dt as start_date, cat as category, subcat as subcategory, maintenance
-    from silver_products left join silver_categories on cat_id = id
-    where prd_end_dt is null"""
+    from (select * from silver_products where prd_end_dt is null
+          qualify row_number() over (
+            partition by prd_key order by prd_start_dt desc, prd_id desc) = 1)
+    left join (select * from silver_categories qualify row_number() over (
+                 partition by id order by cat desc, subcat desc, maintenance desc) = 1)
+      on cat_id = id"""
 FACT_SQL = """
     select sls_ord_num as order_number, sls_prd_key as product_key, sls_cust_id as customer_id,
            sls_order_dt as order_date, sls_ship_dt as ship_date, sls_due_dt as due_date,
@@ -435,6 +451,48 @@ def gold_sales_spread(spark, sf_dir):
     return fact(spark, sf_dir, lambda sales: spreading(sales, 2000))
 
 
+SILVER_VIEWS = {
+    "crm_cust_info": "silver_customers",
+    "crm_prd_info": "silver_products",
+    "crm_sales_details": "silver_sales",
+    "erp_loc_a101": "silver_locations",
+    "erp_cust_az12": "silver_erp_customers",
+    "erp_px_cat_g1v2": "silver_categories",
+}
+# A sales line keeps its row in the fact table, whatever the dimensions hold.
+GOLD_VIEWS = {
+    "dim_customers": "dim_customers", "dim_products": "dim_products", "fact_sales": "silver_sales",
+}
+
+
+def _counts_sql():
+    """Rows and rejects per layer and table, as the audit of a whole load has them."""
+    nobody = "(select count(*) from dirty_crm_sales where sls_cust_id is null)"
+    layers = {"bronze": BRONZE_VIEWS, "silver": SILVER_VIEWS, "gold": GOLD_VIEWS}
+    selects = [
+        f"""select '{layer}' as layer, '{table}' as table_name, count(*) as rows,
+              cast({nobody if (layer, table) == ("silver", "crm_sales_details") else 0} as bigint)
+                as rejects from {name}"""
+        for layer, views in layers.items()
+        for table, name in views.items()
+    ]
+    return " union all ".join(selects)
+
+
+@query(stacked(_counts_sql()))
+def warehouse_load(spark, sf_dir):
+    """Six extracts to bronze, silver and gold; rows per layer and table from the audit."""
+    warehouse = new_warehouse(spark)
+    load_bronze(warehouse, {t: extract(spark, sf_dir, t) for t in BRONZE_VIEWS}, 1)
+    load_silver(warehouse, 2, OPTIONS, loaded_at=LOADED_AT)
+    gold.load_gold(warehouse, 3)
+    return (
+        read_audit(warehouse)
+        .where(F.col("table_name") != ALL_TABLES)
+        .select("layer", "table_name", "rows", "rejects")
+    )
+
+
 @query(
     stacked(
         """select prd_id, prd_key, cat_id from silver_products
@@ -450,7 +508,7 @@ def orphan_products(spark, sf_dir):
 @query(
     with_views(
         "dirty_products",
-        """select *, lead(prd_start_dt) over (partition by prd_key order by prd_start_dt)
+        """select *, lead(prd_start_dt) over (partition by prd_key order by prd_start_dt, prd_id)
              as next_start from dirty_products""",
     )
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contract.fixtures import view, with_views
 from contract.registry import query
+from contract.values import repaired
 from siltwork.operators import checks
 from siltwork.operators.repair import repair_amounts
 from siltwork.plans.quality import sales_amount_report, sales_date_report
@@ -14,6 +15,7 @@ LINE = ("l_orderkey", "l_linenumber")
 
 # Conditions on the raw amounts, for the SQL side.
 MISSING = "(s is null or q is null or p is null or least(s, q, p) <= 0)"
+S, Q, P = repaired("s", "q", "p")
 INCONSISTENT = f"({MISSING} or s <> cast(q as bigint) * p)"
 RAW = "l_orderkey, l_linenumber, s as old_sales, q as old_qty, p as old_price"
 
@@ -72,12 +74,7 @@ def sales_distinct_invalid(spark, sf_dir):
     with_views(
         "dirty_sales",
         f"""select {RAW},
-                   cast(case when coalesce(s, 0) <= 0 or s <> abs(q) * cast(abs(p) as bigint)
-                        then abs(q) * cast(abs(p) as bigint) else s end as bigint) as s,
-                   cast(case when coalesce(q, 0) <= 0 then s // nullif(abs(p), 0)
-                        else q end as bigint) as q,
-                   cast(case when coalesce(p, 0) <= 0 then s // nullif(q, 0)
-                        else p end as bigint) as p
+                   cast({S} as bigint) as s, cast({Q} as bigint) as q, cast({P} as bigint) as p
             from dirty_sales where {INCONSISTENT}""",
     )
 )

@@ -28,8 +28,16 @@ def map_codes(
     return mapped.otherwise(F.lit(default))
 
 
-def strip_prefix(col: Column | str, prefix: str = ERP_KEY_PREFIX) -> Column:
-    """``col`` without ``prefix``; values that do not start with it stay as they are."""
+def strip_prefix(
+    col: Column | str, prefix: str = ERP_KEY_PREFIX, any_case: bool = False
+) -> Column:
+    """``col`` without ``prefix``; values that do not start with it stay as they are.
+
+    ``any_case`` takes the prefix in upper or lower case, as engines do whose
+    comparison ignores case.
+    """
     value = F.col(col) if isinstance(col, str) else col
     rest = F.substring(value, len(prefix) + 1, 2**31 - 1)
-    return F.when(value.startswith(prefix), rest).otherwise(value)
+    head = F.substring(value, 1, len(prefix))
+    starts = F.upper(head) == prefix.upper() if any_case else value.startswith(prefix)
+    return F.when(starts, rest).otherwise(value)

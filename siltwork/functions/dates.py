@@ -32,15 +32,11 @@ def int_to_date(col: Column | str) -> Column:
 def eight_characters(col: Column | str) -> Column:
     """True when the integer is written with eight characters, a sign included.
 
-    Told by the leading digit, without making a text of every number: eight
-    digits when positive, seven when negative.
+    Two ranges, without making a text of every number: eight digits, or a sign
+    and seven.
     """
     value = F.col(col) if isinstance(col, str) else col
-
-    def leading(digits: int) -> Column:
-        return F.call_function("div", value, F.lit(10 ** (digits - 1)))
-
-    return leading(8).isin(*range(1, 10)) | leading(7).isin(*range(-9, 0))
+    return value.between(10**7, 10**8 - 1) | value.between(1 - 10**7, -(10**6))
 
 
 def outside(col: Column | str, low, high) -> Column:

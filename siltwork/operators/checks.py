@@ -31,21 +31,28 @@ def domain_values(df: DataFrame, col: str, collation: str | None = None) -> Data
     """
     if collation is None:
         return df.select(col).distinct()
+    # Bytewise distinct first, by hash; few values are left for the collated step,
+    # which sorts. A plain distinct would be taken out as redundant; a filter on the
+    # count keeps it.
     return (
-        df.groupBy(F.collate(F.col(col), collation).alias("__same"))
+        df.groupBy(col)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where("__n > 0")
+        .groupBy(F.collate(F.col(col), collation).alias("__same"))
         .agg(F.min(col).alias(col))
         .select(col)
     )
 
 
 def mapping_preview(
-    df: DataFrame, col: str, labels: Mapping[str, str], name: str
+    df: DataFrame, col: str, labels: Mapping[str, str], name: str, collation: str | None = None
 ) -> DataFrame:
     """Each distinct raw value beside the label it would get.
 
     Distinct first: the label is computed once per value, not once per row.
+    Under a collation equal values are shown once.
     """
-    return df.select(col).distinct().withColumn(name, codes.map_codes(col, labels))
+    return domain_values(df, col, collation).withColumn(name, codes.map_codes(col, labels))
 
 
 def invalid_int_dates(

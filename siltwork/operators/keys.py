@@ -20,7 +20,7 @@ from siltwork.operators.skew import (
     split_hot,
     spread_join,
 )
-from siltwork.session import estimated_bytes, shuffle_partitions, write_out
+from siltwork.session import shuffle_partitions, write_out
 
 ROW_NUMBER = "flag_latest_date"
 _PLACE = "__place"
@@ -173,8 +173,6 @@ def _repeated_keys(
     null_key = _any_null(key)
     wanted = ((F.col("n") > 1) | null_key) if include_null else ((F.col("n") > 1) & ~null_key)
     counts = count_keys(df, key).where(wanted)
-    if estimated_bytes(df) < skew.small_bytes:
-        return counts.select(*key), None
     written = write_out(counts, "repeated-keys")
     return written.select(*key), list_hot(written, key, skew)
 
@@ -231,13 +229,14 @@ def _number_by_range(
         Window.unboundedPreceding, -1
     )
     # One row per hot key and range it reaches: at most hot keys + ranges rows.
-    spans = (
+    spans = write_out(
         placed.groupBy(*hot.key, "__range")
         .agg(F.min(_PLACE).alias("__first"), F.count(F.lit(1)).alias("__n"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-        .drop("__n")
+        .drop("__n"),
+        "spans",
     )
     number = F.col(_PLACE) - F.col("__first") + F.col("__before") + 1
     return keyed_join(
-        placed, F.broadcast(spans), (*hot.key, "__range"), "inner", null_safe=True
+        placed, spans, (*hot.key, "__range"), "inner", null_safe=True
     ).select(*heavy.columns, number.alias(name))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from siltwork.operators.skew import (
     DEFAULT_POLICY,
@@ -22,9 +23,32 @@ def lookup(
     table: DataFrame,
     key: str | Sequence[str],
     skew: SkewPolicy = DEFAULT_POLICY,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """``rows`` with the columns of their ``table`` row, NULL where there is none."""
-    return spread_join(rows, table, key, "left", _hot_keys(rows, table, key, skew))
+    """``rows`` with the columns of their ``table`` row, NULL where there is none.
+
+    ``table`` has one row per key; ``one_per_key`` makes it so.
+    """
+    return spread_join(rows, table, key, "left", _hot_keys(rows, table, key, skew), null_safe)
+
+
+def one_per_key(table: DataFrame, key: str | Sequence[str], first: Sequence[str] = ()) -> DataFrame:
+    """One row of ``table`` per key: the highest by ``first``, then by all other columns.
+
+    Rows with a NULL key are dropped, as no lookup finds them. Each input
+    partition keeps one row per key before any row moves.
+    """
+    key = key_columns(key)
+    others = [c for c in table.columns if c not in key and c not in first]
+    window = Window.partitionBy(*key).orderBy(
+        *[F.col(c).desc_nulls_last() for c in (*first, *others)]
+    )
+    return (
+        table.na.drop(subset=list(key))
+        .withColumn("__place", F.row_number().over(window))
+        .where("__place = 1")
+        .drop("__place")
+    )
 
 
 def orphans(
@@ -42,6 +66,6 @@ def _hot_keys(
     rows: DataFrame, table: DataFrame, key: str | Sequence[str], skew: SkewPolicy
 ) -> HotKeys | None:
     """Hot keys of ``rows``, unless Spark will broadcast ``table`` and move no row."""
-    if estimated_bytes(table) <= min(broadcast_limit(rows.sparkSession), skew.small_bytes):
+    if estimated_bytes(table) <= broadcast_limit(rows.sparkSession):
         return None
     return find_hot(rows, key, skew)

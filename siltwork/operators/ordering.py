@@ -4,15 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
-from siltwork.session import estimated_bytes
-
-# Groups of input partitions whose first rows are found before the final sort.
-_GROUPS = 200
-
 
 def ordered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``df`` sorted by ``cols``, NULLs first.
@@ -28,27 +22,11 @@ def ordered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def head_sample(
-    df: DataFrame,
-    cols: Sequence[str],
-    n: int = 1000,
-    order: Sequence[str] = (),
-    skew: SkewPolicy = DEFAULT_POLICY,
+    df: DataFrame, cols: Sequence[str], n: int = 1000, order: Sequence[str] = ()
 ) -> DataFrame:
     """The first ``n`` rows, arbitrary ones unless ``order`` is given.
 
-    A sort with a limit sends ``n`` rows of every input partition to one task.
-    With very many partitions that is too much for it, so groups of partitions
-    pick their first ``n`` rows in a step before.
+    Each input partition keeps its own first ``n`` rows; only those move.
     """
     rows = df.select(*cols)
-    if not order:
-        return rows.limit(n)
-    if estimated_bytes(df) >= skew.small_bytes:
-        group = Window.partitionBy("__group").orderBy(*order)
-        rows = (
-            rows.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(_GROUPS)))
-            .withColumn("__place", F.row_number().over(group))
-            .where(F.col("__place") <= n)
-            .select(*cols)
-        )
-    return rows.orderBy(*order).limit(n)
+    return rows.orderBy(*order).limit(n) if order else rows.limit(n)

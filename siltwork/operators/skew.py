@@ -14,9 +14,8 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from siltwork.session import estimated_bytes
+from siltwork.session import write_out
 
 SLICES = "__slices"
 SLICE = "__slice"
@@ -24,20 +23,14 @@ SLICE = "__slice"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When to look for hot keys and what counts as one.
-
-    ``small_bytes``: inputs estimated below this fit in one task whole, so no
-    key in them needs spreading and no job is run to look for one.
-    ``hot_rows``: rows of one key that a task should take at most.
-    ``max_hot``: size bound of the list of hot keys, which is broadcast. The
-    keys with most rows are listed first, so a key left off holds at most
-    ``total rows / max_hot`` rows and takes the plain plan. Both plans give the
-    same rows; the list only decides which one handles a key.
+    """What counts as a hot key: more than ``hot_rows`` rows, which one task should take.
+
+    Whether a table has such keys is always counted. A list of them has at most
+    ``rows / hot_rows`` entries and is written, so its size tells the planner how
+    to join it.
     """
 
-    small_bytes: int = 256 << 20
     hot_rows: int = 2_000_000
-    max_hot: int = 100_000
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -85,32 +78,27 @@ def count_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def list_hot(counts: DataFrame, key: Sequence[str], policy: SkewPolicy) -> HotKeys | None:
     """Hot keys among ``counts`` (key columns and ``n``), or None. Runs a job."""
-    heaviest = (
-        counts.where(F.col("n") >= policy.hot_rows).orderBy(F.desc("n")).limit(policy.max_hot)
+    slices = F.ceil(F.col("n") / policy.hot_rows).alias(SLICES)
+    hot = write_out(
+        counts.where(F.col("n") >= policy.hot_rows).select(*key, "n", slices), "hot-keys"
     )
-    found = heaviest.select(*key, "n").collect()
-    if not found:
+    rows = hot.agg(F.sum("n").alias("rows")).first()["rows"]
+    if rows is None:
         return None
-    schema = T.StructType([counts.schema[name] for name in key]).add(SLICES, T.LongType())
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    rows = [(*row[:-1], -(-row["n"] // policy.hot_rows)) for row in found]
-    frame = counts.sparkSession.createDataFrame(rows, schema)
-    return HotKeys(frame, tuple(key), sum(row["n"] for row in found), policy)
+    return HotKeys(hot.select(*key, SLICES), tuple(key), rows, policy)
 
 
 def find_hot(
     df: DataFrame, key: str | Sequence[str], policy: SkewPolicy = DEFAULT_POLICY
 ) -> HotKeys | None:
-    """Hot keys of ``df``; None without running a job when the input is small."""
-    if estimated_bytes(df) < policy.small_bytes:
-        return None
+    """Hot keys of ``df``, from one pre-aggregated count of its key columns."""
     key = key_columns(key)
     return list_hot(count_keys(df, key), key, policy)
 
 
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys and rows of hot keys, without a shuffle."""
-    keys = F.broadcast(hot.frame.select(*hot.key))
+    keys = hot.frame.select(*hot.key)
     return (
         keyed_join(df, keys, hot.key, "left_anti", null_safe=True),
         keyed_join(df, keys, hot.key, "left_semi", null_safe=True),
@@ -136,7 +124,7 @@ def spread_join(
     if hot is None:
         return keyed_join(left, right, key, how, null_safe)
 
-    keys = F.broadcast(hot.frame)
+    keys = hot.frame
     # Exact copies hash alike, so the input partition is part of the hash: one
     # task then gets at most an input partition's worth of them.
     hashed = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])

@@ -43,8 +43,9 @@ def load_bronze(
         rejects = staged.rejects().count()
         if rejects > max_rejects:
             raise RejectLimitExceeded(f"{table}: {rejects} bad lines, limit {max_rejects}")
+        loaded = Loaded(staged.good_rows().count(), rejects)
         warehouse.publish("bronze", table, staged.good_path)
-        return Loaded(staged.good_rows().count(), rejects)
+        return loaded
 
     loads = {t: (lambda t=t: load(t)) for t in TABLES if t in extracts}
     return run_batch(warehouse, "bronze", batch_id, loads, on_error)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.functions.codes import UNKNOWN
-from siltwork.operators.lookups import lookup
+from siltwork.operators.lookups import lookup, one_per_key
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans.load_job import Loaded, batch_tag, run_batch
 from siltwork.sources.warehouse import Warehouse
@@ -24,7 +24,11 @@ def customer_dimension(
     locations: DataFrame,
     skew: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """One row per customer; the CRM gender counts, the ERP fills in for unknown."""
+    """One row per customer; the CRM gender counts, the ERP fills in for unknown.
+
+    Two spellings of an ERP key may become one key. The row with the latest
+    birth date then counts, and of several countries the last by name.
+    """
     people = customers.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_key"),
@@ -42,6 +46,8 @@ def customer_dimension(
     countries = locations.select(
         F.col("cid").alias("customer_key"), F.col("cntry").alias("country")
     )
+    births = one_per_key(births, "customer_key", ["birth_date"])
+    countries = one_per_key(countries, "customer_key", ["country"])
     joined = lookup(lookup(people, births, "customer_key", skew), countries, "customer_key", skew)
     gender = F.when(F.col("crm_gender") != UNKNOWN, F.col("crm_gender")).otherwise(
         F.coalesce("erp_gender", F.lit(UNKNOWN))
@@ -62,7 +68,11 @@ def customer_dimension(
 def product_dimension(
     products: DataFrame, categories: DataFrame, skew: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """Products in their current version, with their category where it is known."""
+    """One row per product: its current version, with its category where it is known.
+
+    Products of two categories may share a key once the category is split off,
+    and versions may start on one day. The latest start counts, then the highest id.
+    """
     current = products.where(F.col("prd_end_dt").isNull()).select(
         F.col("prd_key").alias("product_key"),
         F.col("prd_id").alias("product_id"),
@@ -78,7 +88,8 @@ def product_dimension(
         F.col("subcat").alias("subcategory"),
         "maintenance",
     )
-    return lookup(current, named, "category_id", skew)
+    current = one_per_key(current, "product_key", ["start_date", "product_id"])
+    return lookup(current, one_per_key(named, "category_id"), "category_id", skew)
 
 
 def sales_fact(
@@ -87,7 +98,10 @@ def sales_fact(
     product_dimension: DataFrame,
     skew: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Sales lines with the customer and product they belong to, NULL where unknown."""
+    """Sales lines with the customer and product they belong to, NULL where unknown.
+
+    As many rows as ``sales`` has; the dimensions hold each key once.
+    """
     lines = sales.select(
         F.col("sls_ord_num").alias("order_number"),
         F.col("sls_prd_key").alias("product_key"),
@@ -125,8 +139,9 @@ def load_gold(
         path = warehouse.batch_path("gold", table, tag)
         rows.write.parquet(path)
         ddl = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+        loaded = Loaded(warehouse.spark.read.schema(rows.schema).parquet(path).count(), 0)
         warehouse.publish("gold", table, path, ddl)
-        return Loaded(warehouse.table("gold", table).count(), 0)
+        return loaded
 
     builds = {
         "dim_customers": lambda: customer_dimension(

@@ -18,6 +18,7 @@ from siltwork.functions import amounts, codes, dates
 from siltwork.operators.constraints import VIOLATIONS, conform
 from siltwork.operators.keys import following_value, latest_per_key
 from siltwork.operators.lineage import stamp_lineage
+from siltwork.operators.lookups import lookup
 from siltwork.operators.repair import POLICIES
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans.load_job import Loaded, batch_tag, now, run_batch
@@ -60,10 +61,20 @@ def customers(bronze: DataFrame, options: SilverOptions) -> DataFrame:
 
 
 def products(bronze: DataFrame, options: SilverOptions) -> DataFrame:
-    """Split the key into category and product; a version ends before the next starts."""
-    versions = following_value(
-        bronze, "prd_key", "prd_start_dt", "prd_start_dt", "__next_start", skew=options.skew
+    """Split the key into category and product; a version ends before the next later one.
+
+    Versions that start on the same day all end before the next later day.
+    """
+    day = bronze.withColumn("__day", F.to_date("prd_start_dt"))
+    days = following_value(
+        day.select("prd_key", "__day").distinct(),
+        "prd_key",
+        "__day",
+        "__day",
+        "__next_start",
+        skew=options.skew,
     )
+    versions = lookup(day, days, ["prd_key", "__day"], options.skew, null_safe=True)
     return versions.select(
         "prd_id",
         F.replace(F.substring("prd_key", 1, 5), F.lit("-"), F.lit("_")).alias("cat_id"),
@@ -72,7 +83,7 @@ def products(bronze: DataFrame, options: SilverOptions) -> DataFrame:
         "prd_cost",
         _label("prd_line", options.line_labels).alias("prd_line"),
         F.to_date("prd_start_dt").alias("prd_start_dt"),
-        F.date_sub(F.to_date("__next_start"), 1).alias("prd_end_dt"),
+        F.date_sub("__next_start", 1).alias("prd_end_dt"),
     )
 
 
@@ -148,8 +159,9 @@ def load_silver(
         rows = silver_rows(table, warehouse.table("bronze", table), options)
         stamped = stamp_lineage(rows, loaded_at, SPECS[table].source_system, batch_id)
         staged = stage_checked(stamped, warehouse.batch_path("silver", table, tag))
+        loaded = Loaded(staged.good_rows().count(), staged.rejects().count())
         warehouse.publish("silver", table, staged.good_path)
-        return Loaded(staged.good_rows().count(), staged.rejects().count())
+        return loaded
 
     loads = {t: (lambda t=t: load(t)) for t in tables}
     return run_batch(warehouse, "silver", batch_id, loads, on_error)

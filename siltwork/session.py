@@ -36,6 +36,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/siltwork-{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder, once nothing reads it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/siltwork-{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_out(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 

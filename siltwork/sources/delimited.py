@@ -12,6 +12,7 @@ from siltwork.sources.staging import StagedBatch, stage
 
 BAD_LINE = "_bad_line"
 SPLIT_BYTES = "512m"
+_BLANK = r"^[\x00-\x20]*$"
 
 
 class RejectLimitExceeded(RuntimeError):
@@ -57,7 +58,8 @@ def stage_delimited(
     """Parse ``source`` once; write good rows and bad lines side by side.
 
     ``schema`` may declare ``varchar`` lengths. A line with a longer field is
-    bad too and is set aside as its fields, joined again.
+    bad too and is set aside as its fields, joined again. The parser passes over
+    blank lines, so these are set aside from a second look at the text.
     """
     plain = [
         T.StructField(f.name, T.StringType() if _limit(f) else f.dataType) for f in schema
@@ -68,6 +70,10 @@ def stage_delimited(
         fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema]
         joined = F.when(F.coalesce(any_of(too_long), F.lit(False)), F.concat_ws(",", *fields))
         parsed = parsed.withColumn(BAD_LINE, F.coalesce(BAD_LINE, joined))
+    blank = spark.read.text(source).where(F.col("value").rlike(_BLANK))
+    parsed = parsed.unionByName(
+        blank.select(F.col("value").alias(BAD_LINE)), allowMissingColumns=True
+    )
     # Larger splits than for scans, so that each task writes a file worth reading;
     # Spark still cuts a small input into one split per core.
     with session_setting(spark, "spark.sql.files.maxPartitionBytes", SPLIT_BYTES):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from siltwork.operators.constraints import VIOLATIONS
 from siltwork.schemas import LAYERS, SPECS
+from siltwork.sources.delimited import BAD_LINE
 from siltwork.sources.staging import REJECTED
 
 
@@ -56,10 +60,11 @@ class Warehouse:
     def recreate_table(self, layer: str, table: str, path: str | None = None) -> None:
         """Drop the table if it exists and create it empty with its declared layout.
 
-        Published batches keep their files; only the table is replaced.
+        Published batches keep their files; only the table is replaced. Its
+        folder is a new one, so rows inserted before do not come back.
         """
         name = self.table_name(layer, table)
-        path = path or f"{self.layer_path(layer)}/{table}/empty"
+        path = path or f"{self.layer_path(layer)}/{table}/empty-{uuid.uuid4().hex[:12]}"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self._create(name, SPECS[table].ddl(layer), path)
 
@@ -84,8 +89,12 @@ class Warehouse:
     def rejects(self, layer: str, table: str) -> DataFrame:
         """Rows set aside when the published batch was loaded, with the reason."""
         batch = self._location(layer, table).rsplit("/", 1)[0]
-        rejected = F.col(REJECTED).cast("boolean")
-        return self.spark.read.parquet(batch).where(rejected).drop(REJECTED)
+        reason = BAD_LINE if layer == "bronze" else VIOLATIONS
+        # Declared, since a batch without rows has no file to tell its layout.
+        layout = T.StructType(list(self.table(layer, table).schema.fields))
+        layout = layout.add(reason, T.StringType()).add(REJECTED, T.BooleanType())
+        rows = self.spark.read.schema(layout).parquet(batch)
+        return rows.where(F.col(REJECTED)).drop(REJECTED)
 
     def remove_old_batches(self, layer: str, table: str) -> list[str]:
         """Delete the table's batches other than the published one; returns their paths.

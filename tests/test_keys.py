@@ -11,9 +11,9 @@ from siltwork.operators.skew import SkewPolicy, find_hot, spread_join
 from siltwork.session import write_out
 
 PLAIN = SkewPolicy()
-SPREAD = SkewPolicy(small_bytes=0, hot_rows=25)
-FEW_HOT = SkewPolicy(small_bytes=0, hot_rows=3, max_hot=2)
-POLICIES = pytest.mark.parametrize("skew", [PLAIN, SPREAD, FEW_HOT], ids=["plain", "spread", "few"])
+SPREAD = SkewPolicy(hot_rows=25)
+MANY_HOT = SkewPolicy(hot_rows=3)
+POLICIES = pytest.mark.parametrize("skew", [PLAIN, SPREAD, MANY_HOT], ids=["plain", "spread", "many"])
 
 # key, order, payload: NULL holds a third of the rows, one key is mostly copies.
 RANDOM = random.Random(7)
@@ -152,25 +152,27 @@ def test_join_refuses_columns_on_both_sides(df):
         spread_join(df, df, "k", "left", None)
 
 
-def test_hot_keys_are_the_heaviest_and_bounded(df):
-    hot = find_hot(df, "k", SPREAD)
-    assert {r.k for r in hot.frame.collect()} == {k for k, n in COUNTS.items() if n >= 25}
-    few = find_hot(df, "k", FEW_HOT)
-    assert {r.k for r in few.frame.collect()} == {k for k, _ in COUNTS.most_common(2)}
-    assert few.rows == sum(n for _, n in COUNTS.most_common(2))
+@pytest.mark.parametrize("skew", [SPREAD, MANY_HOT])
+def test_all_hot_keys_are_listed(df, skew):
+    hot = find_hot(df, "k", skew)
+    expected = {k: n for k, n in COUNTS.items() if n >= skew.hot_rows}
+    assert {r.k for r in hot.frame.collect()} == set(expected)
+    assert hot.rows == sum(expected.values())
 
 
-def test_small_inputs_are_not_searched_for_hot_keys(spark, df):
-    stored = write_out(df, "small")
-    tracker = spark.sparkContext.statusTracker()
-    jobs = len(tracker.getJobIdsForGroup(None))
-    assert find_hot(stored, "k") is None
-    assert len(tracker.getJobIdsForGroup(None)) == jobs
+def test_a_table_of_one_key_is_spread_however_well_it_compresses(spark):
+    stored = write_out(spark.range(200_000).selectExpr("cast(null as int) k", "1 o"), "one-key")
+    assert find_hot(stored, "k") is None  # less than the default for a task
+    hot = find_hot(stored, "k", SkewPolicy(hot_rows=50_000))
+    assert (hot.rows, hot.slices) == (200_000, 4)
+    numbers = keys.number_rows(stored, "k", "o", skew=SkewPolicy(hot_rows=50_000))
+    assert len(numbers.inputFiles()) > 1
+    assert numbers.agg({"flag_latest_date": "max"}).first()[0] == 200_000
 
 
 def test_numbering_cuts_copies_of_one_row_into_many_ranges(spark):
     copies = spark.range(0, 4000, 1, 8).selectExpr("cast(null as int) k", "1 o", "2 v")
-    skew = SkewPolicy(small_bytes=0, hot_rows=500)
+    skew = SkewPolicy(hot_rows=500)
     got = keys.number_rows(copies, "k", "o", skew=skew)
     assert sorted(r.flag_latest_date for r in got.collect()) == list(range(1, 4001))
     scan = got.inputFiles()

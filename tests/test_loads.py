@@ -253,7 +253,7 @@ def test_profiles_agree_with_the_operators_and_each_other(spark):
 def test_tables_with_declared_lengths_take_the_spreading_plans(spark, warehouse):
     load_bronze(warehouse, {"crm_cust_info": extract(spark, SF_DIR, "crm_cust_info")}, 1)
     table = warehouse.table("bronze", "crm_cust_info")
-    skew = SkewPolicy(small_bytes=0, hot_rows=10)
+    skew = SkewPolicy(hot_rows=10)
     for key in ("cst_id", "cst_key", "cst_marital_status"):
         for operator in (keys.number_rows, keys.ranked_duplicates):
             plain = operator(table, key, "cst_create_date")
@@ -286,3 +286,53 @@ class ClusterWithoutSetting:
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(ClusterWithoutSetting)
+
+
+def test_every_line_is_accepted_or_rejected(spark, tmp_path):
+    lines = ["1,a", "", "   ", "2,b", "x,c", "\t", "3"]
+    path = save(tmp_path / "blank.csv", "\r\n".join(["id,k", *lines]) + "\r\n")
+    staged = stage_delimited(
+        spark, path, T.StructType.fromDDL("id int, k string"), scratch_path(spark, "t")
+    )
+    assert staged.good_rows().count() == 2
+    assert {r[BAD_LINE] for r in staged.rejects().collect()} == {"", "   ", "\t", "x,c", "3"}
+
+
+def test_rejects_of_an_empty_extract_are_none(warehouse, tmp_path):
+    load_bronze(warehouse, {"erp_cust_az12": save(tmp_path / "none.csv", "CID,BDATE,GEN")}, 1)
+    assert warehouse.table("bronze", "erp_cust_az12").count() == 0
+    assert warehouse.rejects("bronze", "erp_cust_az12").count() == 0
+
+
+def test_a_load_whose_count_fails_keeps_the_old_rows(warehouse, tmp_path, monkeypatch):
+    load_bronze(warehouse, {"erp_cust_az12": save(tmp_path / "a.csv", customers(3))}, 1)
+
+    def fails(self):
+        raise RuntimeError("no count")
+
+    monkeypatch.setattr("siltwork.sources.staging.StagedBatch.good_rows", fails)
+    again = {"erp_cust_az12": save(tmp_path / "b.csv", customers(9))}
+    audit = load_bronze(warehouse, again, 2, on_error="record")
+    assert {r.status for r in audit.collect()} == {"FAILED"}
+    assert warehouse.table("bronze", "erp_cust_az12").count() == 3
+
+
+def test_versions_that_start_together_end_together(spark):
+    day = dt.datetime(2020, 1, 1)
+    rows = [(i, "AC-01-X", "n", 1, "R", start, None) for i, start in enumerate(
+        [day, day, day + dt.timedelta(days=10), None])]
+    df = spark.createDataFrame(rows, SPECS["crm_prd_info"].readable("bronze"))
+    got = {r.prd_id: (r.prd_start_dt, r.prd_end_dt) for r in
+           silver_rows("crm_prd_info", df, OPTIONS).collect()}
+    ends = dt.date(2020, 1, 10)
+    assert got[0] == got[1] == (day.date(), ends)
+    assert got[2][1] is None
+
+
+def test_lookup_tables_give_one_row_per_key(spark):
+    from siltwork.operators.lookups import one_per_key
+
+    rows = [("k", 1, "a"), ("k", 2, "a"), ("k", 2, "b"), (None, 9, "z"), ("m", None, None)]
+    df = spark.createDataFrame(rows, "k string, n int, s string")
+    got = {tuple(r) for r in one_per_key(df, "k", ["n"]).collect()}
+    assert got == {("k", 2, "b"), ("m", None, None)}

@@ -6,7 +6,9 @@ import pytest
 
 from contract.customer_queries import dirty
 from siltwork.operators import checks, keys
+from siltwork.operators.checks import domain_values
 from siltwork.operators.lookups import lookup
+from siltwork.operators.ordering import head_sample
 from siltwork.operators.skew import SkewPolicy
 from siltwork.plans.customers import cleanse_customers
 from siltwork.plans.quality import customer_report
@@ -77,6 +79,18 @@ def test_lookup_of_a_small_table_is_broadcast_without_counting_keys(spark, custo
     )
     tracker = spark.sparkContext.statusTracker()
     jobs = len(tracker.getJobIdsForGroup(None))
-    joined = lookup(customers, labels, "cst_gndr", SkewPolicy(small_bytes=1 << 20, hot_rows=5))
+    joined = lookup(customers, labels, "cst_gndr", SkewPolicy(hot_rows=5))
     assert len(tracker.getJobIdsForGroup(None)) == jobs
     assert "BroadcastHashJoin LeftOuter" in plan(joined)
+
+
+def test_head_sample_moves_only_the_first_rows(spark, customers):
+    for n in (1000, 100_000):
+        text = plan(head_sample(customers, ["cst_id", "cst_key"], n, ["cst_key"]))
+        assert "TakeOrderedAndProject" in text and "Window" not in text
+
+
+def test_collated_values_are_made_distinct_by_hash_first(spark, customers):
+    text = plan(domain_values(customers, "cst_gndr", "UTF8_LCASE_RTRIM"))
+    nodes = re.findall(r"(HashAggregate|SortAggregate|Scan parquet)", text.split("(1)")[0])
+    assert nodes[-3:] == ["HashAggregate", "HashAggregate", "Scan parquet"]
