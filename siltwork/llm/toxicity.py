@@ -39,7 +39,7 @@ MOST_TEXTS = 20_000
 MOST_STEMS = 400
 #: A stem must occur in so many toxic texts, and in that share of them.
 LEAST_TEXTS, LEAST_SHARE = 12, 0.02
-LEAST_RATIO = 40.0
+LEAST_RATIO = 30.0
 PREDICTED_FROM = 0.3
 _FOLDS, _HELD_OUT = 4, 2
 _SHORTEST, _LONGEST = 4, 9
