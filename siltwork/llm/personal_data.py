@@ -97,15 +97,21 @@ def matches(text: Column, pattern: str, original: Column | None = None) -> Colum
         steps = F.transform(
             strings, lambda s, i: F.get(between, i) + F.when(i > 0, F.length(F.get(strings, i - 1))).otherwise(0)
         )
-        before = _sums_before(steps)
-        return F.transform(
-            strings,
-            lambda s, i: F.struct(
-                s.alias("s"),
-                (F.get(before, i) + F.get(steps, i)).alias("start"),
-                (F.get(before, i) + F.get(steps, i) + F.length(s)).alias("end"),
-            ),
-        )
+        # Bound to names of lambdas, the arrays are computed once and not per match.
+        def from_steps(step: Column) -> Column:
+            def from_sums(before: Column) -> Column:
+                return F.transform(
+                    strings,
+                    lambda s, i: F.struct(
+                        s.alias("s"),
+                        (F.get(before, i) + F.get(step, i)).alias("start"),
+                        (F.get(before, i) + F.get(step, i) + F.length(s)).alias("end"),
+                    ),
+                )
+
+            return F.transform(F.array(_sums_before(step)), from_sums)[0]
+
+        return F.transform(F.array(steps), from_steps)[0]
 
     one = F.array(F.struct(found.alias("found"), gaps.alias("gaps")))
     return F.transform(one, placed)[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.llm import personal_data
@@ -14,10 +14,11 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = personal_data.spans(docs)
     sure = F.filter("__spans", lambda c: c["sure"])
-    counts = [
-        F.size(F.filter(sure, lambda c, k=k: c["kind"] == k)).cast("bigint").alias(f"n_{kind}")
-        for k, kind in enumerate(personal_data.KINDS)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(sure, lambda c: c["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
     return rows.select(
         "doc_id",
         *counts,
