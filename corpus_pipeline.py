@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.llm import mixing, near_duplicates, packing, personal_data, quality
+from siltwork.llm.registry import ship
 from siltwork.session import write_out
 
 
@@ -20,6 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near duplicates."""
+    ship(spark)
     return near_duplicates.deduplicated(docs, size=5, threshold=0.8)
 
 
@@ -35,6 +37,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences."""
+    ship(spark)
     return packing.packed(docs)
 
 

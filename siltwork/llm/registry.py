@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +14,39 @@ RUN: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, which may lie elsewhere.
+
+    Spark serves the archive from the driver; once per application.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="siltwork-package-"), "siltwork")
+        context.addPyFile(
+            shutil.make_archive(
+                archive, "zip", os.path.dirname(package), os.path.basename(package)
+            )
+        )
+        _shipped.add(context.applicationId)
+
+
 def query(sql: str | None = None):
     """Register a function under its name."""
 
     def register(run):
-        RUN[run.__name__] = run
+        @functools.wraps(run)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        RUN[run.__name__] = shipped
         if sql:
             SQL[run.__name__] = sql
-        return run
+        return shipped
 
     return register
 
