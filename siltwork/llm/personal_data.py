@@ -3,11 +3,12 @@
 Generators propose spans of four kinds, with more of them, and looser, than the
 strict forms; they may overlap. A span is described by its format (digits, parts,
 check digit, separators) and by what stands around it. Boosted trees are fitted
-on at most ``MOST_SPANS`` strict spans of the corpus: these, and the same values
-in looser writing, are positive; the same values with a broken check digit,
-impossible parts or a wrong number of digits are negative, as are candidates that
-fail the strict rules. On spans kept from the fit each kind gets the lowest
-threshold at which ``PRECISION`` of the accepted spans are right. Strict spans
+on at most ``MOST_SPANS`` spans of each kind that hold by the strict rules, and as
+many that fail them, drawn by hash from the whole table. The former, and the same
+values in looser writing, are positive; the same values with a broken check digit,
+impossible parts or a wrong number of digits are negative, as are those that
+fail. On values kept from the fit, counted in the whole table, each kind gets the
+lowest threshold at which ``PRECISION`` of the accepted spans are right. Strict spans
 are always accepted; the trees add others. The trees become one SQL expression,
 so scoring is part of the scan.
 
@@ -27,7 +28,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.llm.samples import first_rows
 from siltwork.llm.text import whole
 from siltwork.session import write_out
 
@@ -320,26 +320,44 @@ def _examples(spans: DataFrame) -> DataFrame:
     )
 
 
+def sampled(spans: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` distinct spans per kind and ``sure``, whatever their order.
+
+    Of each bucket of hashes the span with the lowest one is kept, so a partition
+    sends at most ``most`` rows per kind and ``sure``.
+    """
+    span = F.struct("s", "before", "after")
+    hashed = F.xxhash64("s", "before", "after")
+    rows = spans.select("kind", "sure", span.alias("span"), hashed.alias("hash"))
+    bucket = F.pmod("hash", F.lit(most)).alias("bucket")
+    kept = rows.groupBy("kind", "sure", bucket).agg(
+        F.min(F.struct("hash", "span")).alias("lowest")
+    )
+    return kept.select("kind", "sure", "lowest.span.*")
+
+
 def fitted(docs: DataFrame, text: str = "text", most_spans: int = MOST_SPANS) -> Model | None:
-    """Trees and thresholds from spans of the corpus; None without strict spans."""
+    """Trees from a sample of the corpus, thresholds from all of it; None without strict spans."""
     source = F.col(text)
     found = docs.where(source.rlike(ANY)).select(F.explode(candidates(source)).alias("c"))
     strict_forms = found.where("length(c.s) <= 200").select(
         "c.kind", "c.s", "c.before", "c.after", "c.sure"
     )
-    spans = first_rows(strict_forms, most_spans)
     # The looser generators' spans have no label.
-    rows = write_out(_examples(spans.where(~_loose())), "pii-examples")
-    classes = rows.where("fold <> 0").agg(F.min("label"), F.max("label")).first()
+    spans = strict_forms.where(~_loose())
+    rows = write_out(_examples(sampled(spans, most_spans)).where("fold <> 0"), "pii-examples")
+    classes = rows.agg(F.min("label"), F.max("label")).first()
     if classes[0] != 0.0 or classes[1] != 1.0:
         return None
     learner = GBTClassifier(
         maxIter=12, maxDepth=4, stepSize=0.3, seed=7, labelCol="label", featuresCol="vector"
     )
-    vectors = rows.where("fold <> 0").select("label", array_to_vector("features").alias("vector"))
-    trees = learner.fit(vectors.coalesce(1)).toDebugString
+    # In one order, so that the same table gives the same trees.
+    rows = rows.coalesce(1).sortWithinPartitions("kind", "label", "features")
+    vectors = rows.select("label", array_to_vector("features").alias("vector"))
+    trees = learner.fit(vectors).toDebugString
     model = Model(trees, ())
-    scored = rows.where("fold = 0").select(
+    scored = _examples(spans).where("fold = 0").select(
         "kind", "label", F.floor(20 * model.probability(F.col("features"))).alias("step")
     )
     counts = scored.groupBy("kind", "step").agg(

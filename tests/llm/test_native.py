@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from siltwork.llm import licenses, mixing, personal_data, quality
 from siltwork.llm.registry import RUN, SQL
-from tests.llm.rows import no_docs, odd_docs, stored
+from tests.llm.rows import no_docs, odd_docs, prose, stored
 from tests.llm.rows import same_as_sql
 from tests.oracle import connect, duck_rows, plan, spark_rows
 
@@ -187,6 +187,46 @@ def test_personal_data_base_spans_equal_plain_patterns(spark, tmp_path):
             assert got[doc_id][f"n_{kind}"] == sum(s.startswith(kind) for s in expected)
 
 
+def numbers_before_personal_data(spark, n=400):
+    """Documents of plain numbers, then of each kind, the kinds one after the other."""
+    rng = random.Random(11)
+
+    def card():
+        head = "".join(rng.choice("0123456789") for _ in range(15))
+        return next(head + d for d in "0123456789" if luhn(head + d))
+
+    def ip():
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+
+    texts = [" word ".join(str(rng.randrange(10, 10**6)) for _ in range(40)) for _ in range(100)]
+    texts += [f"mail me at {prose(i, 1)}{i}@example.org please" for i in range(n)]
+    texts += [f"the host {ip()} is down" for _ in range(n)]
+    texts += [f"my card {card()} was charged" for _ in range(n)]
+    texts += [f"call +49 {rng.randrange(200, 999)} {rng.randrange(10**6, 10**7)} today" for _ in range(n)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(2)
+
+
+def test_trees_and_thresholds_come_from_the_whole_table(spark):
+    docs = numbers_before_personal_data(spark)
+    model = personal_data.fitted(docs)
+    assert model is not None
+    assert max(model.thresholds) <= 1
+    again = personal_data.fitted(docs.orderBy(F.desc("doc_id")))
+    assert personal_data._parsed(again.trees) == personal_data._parsed(model.trees)
+    assert again.thresholds == model.thresholds
+
+
+def test_sample_is_bounded_for_each_kind_and_label(spark):
+    spans = spark.range(4000).selectExpr(
+        "int(id % 2) as kind", "id % 500 > 0 as sure", "string(id) as s", "'' as before", "'' as after"
+    )
+    got = personal_data.sampled(spans.unionAll(spans), 50)
+    counts = {(r.kind, r.sure): r["count"] for r in got.groupBy("kind", "sure").count().collect()}
+    assert counts[0, True] == counts[1, True] == 50
+    assert 0 < counts[0, False] <= 8 and (1, False) not in counts
+    assert got.distinct().count() == got.count()
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark):
     docs = spark.createDataFrame(
         [(1, "é mail a@b.de or +1 (555) 123-4567!", "k"), (2, None, "k"), (3, "", None), (4, "x", "k")],
