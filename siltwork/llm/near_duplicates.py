@@ -6,7 +6,8 @@ If two sets have a similarity of at least ``t``, so many of the kept values are
 shared that missing it has a chance below ``MISS`` (``least_shared``). Sorted
 with the rarest first, two such sketches then share one of the first
 ``k - least_shared + 1`` values, so only those are listed: what very many
-documents have in common is hardly listed at all, without any cap.
+documents have in common is hardly listed at all, without any cap. A set of up to
+``k`` values lists fewer, as it surely shares most of them (``listed_of_whole``).
 
 A list is not turned into pairs. First all its members are compared with its
 head, the one with the fewest values of its own; that links large groups to the
@@ -80,6 +81,21 @@ def least_shared(k: int, threshold: float) -> int:
     return k
 
 
+def listed_of_whole(n: int, k: int, threshold: float) -> int:
+    """How many values a set of ``n <= k`` lists, all of which its sketch has.
+
+    Of a similar set with ``m > k`` values, ``m - k`` are not in its sketch, so of
+    those shared as many may be missing there; most for the largest ``m``.
+    """
+    t = round(threshold * 100)
+    few = (100 - t) * n // 100 + 1
+    m = 100 * n // t
+    if m <= k:
+        return few
+    shared = -(-t * (n + m) // (100 + t)) - (m - k)
+    return max(few, n - max(shared, least_shared(k, threshold)) + 1)
+
+
 def tagged(docs: DataFrame, size: int, k: int) -> DataFrame:
     """``docs`` written with a row number, set size, digest and sketch of each text."""
     schema = T.StructType(list(docs.schema.fields)).add("__uid", "long").add("__n", "long")
@@ -132,9 +148,10 @@ def _listed(nodes: DataFrame, k: int, threshold: float) -> DataFrame:
         .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("by"))
         .join(kept, "node")
     )
-    t = round(threshold * 100)
-    few = F.floor((100 - t) * F.col("n") / 100) + 1
-    first = F.when(F.col("n") <= k, few).otherwise(k - least_shared(k, threshold) + 1)
+    whole = F.array(*[F.lit(listed_of_whole(n, k, threshold)) for n in range(1, k + 1)])
+    first = F.when(F.col("n") <= k, F.get(whole, F.col("n").cast("int") - 1)).otherwise(
+        k - least_shared(k, threshold) + 1
+    )
     # Values that no other set has are the rarest of all.
     own = F.col("size") - F.size("by")
     rest = (first - own).cast("int")

@@ -183,6 +183,30 @@ def test_least_shared_has_the_stated_chance():
     assert below <= near_duplicates.MISS < below + math.comb(64, s) * 0.8**s * 0.2 ** (64 - s)
 
 
+def test_listed_values_meet_for_sets_on_both_sides_of_a_sketch():
+    k = near_duplicates.K
+    for n in range(1, k + 1):
+        listed = near_duplicates.listed_of_whole(n, k, 0.8)
+        for m in range(n, 100 * n // 80 + 1):
+            shared = -(-80 * (n + m) // 180)
+            assert listed > n - (shared - max(m - k, 0))
+
+
+def test_whole_sets_are_linked_with_cut_ones(spark):
+    """Sets of 60 to 64 shingles in sets of 65 to 80, at 80 in a hundred or above."""
+    texts = []
+    for i in range(40):
+        for n in range(60, 65):
+            m = 100 * n // 80 - i % 2
+            words = [f"p{i}x{n}x{j}" for j in range(m)]
+            texts += [" ".join(words[:n]), " ".join(words)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_duplicates.grouped(docs, size=1)
+    found = {(r.doc_id, r["__component"]) for r in got.collect()}
+    assert found == {(i, i - i % 2) for i in range(len(texts))}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201)]
     df = spark.createDataFrame(edges, "a bigint, b bigint")
