@@ -180,6 +180,17 @@ def test_windows_score_each_token_once_as_one_by_one(length):
     assert got[y >= 0] == pytest.approx(naive(model, classes), abs=1e-4)
 
 
+def test_each_id_is_scored_with_sixteen_before_it():
+    n = 70
+    inputs, targets = attention.windows(np.arange(n), n, n + 1)
+    for row, scored in zip(inputs, targets):
+        for i, target in enumerate(scored):
+            seen = row[attention.MASK[i] == 0]
+            before = seen[seen < n]
+            if target >= 0:
+                assert len(before) >= min(16, target)
+
+
 def test_gradients_are_slopes():
     model = attention.Attention.new(5)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
