@@ -4,6 +4,7 @@ from siltwork.llm import (  # noqa: F401
     language_model_query,
     language_query,
     licenses_query,
+    lines_query,
     mixing_query,
     near_duplicates_query,
     neighbours_query,
