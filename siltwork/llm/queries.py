@@ -1,6 +1,7 @@
 """All queries of the subpackage."""
 
 from siltwork.llm import (  # noqa: F401
+    conversations_query,
     language_model_query,
     language_query,
     licenses_query,
