@@ -11,6 +11,7 @@ from siltwork.llm import (  # noqa: F401
     neighbours_query,
     packing_query,
     personal_data_query,
+    phrases_query,
     quality_query,
     toxicity_query,
 )
