@@ -51,6 +51,35 @@ def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def turn_rows(seed=5, conversations=40, long=700):
+    """Turns with every fault: null and tied turns, odd roles, blank, cut and repeated texts."""
+    rng = random.Random(seed)
+    said = ["Hi there.", "Yes!", "Well", "ok?", "", "  \t", "A\nB.", "x. \x0b", "Ça va.", None]
+    roles = ["user", "assistant", "system", "tool", None, "", "uncle", "s"]
+    rows = []
+    for conv in [*range(conversations), None]:
+        n = long if conv == 7 else rng.choice([1, 2, 5, 12, 30])
+        for i in range(n):
+            text = rng.choice(said) if rng.random() < 0.4 else f"say {conv} {i}{rng.choice('.!?,')}"
+            turn = rng.choice([i, i, i, i, None, i // 2])
+            role = rng.choice(roles) if rng.random() < 0.4 else ["user", "assistant"][i % 2]
+            rows.append((conv, turn, role, text, "x", 1))
+    rows += [(3, 1, "user", "Same.", "y", 2)] * 50
+    rows.append((9, 0, "user", "long " * 100_000, "y", 2))
+    return rows
+
+
+TURN_SCHEMA = "conv_id bigint, turn bigint, role string, text string, audit string, times int"
+
+
+def odd_turns(spark, **how):
+    return spark.createDataFrame(turn_rows(**how), TURN_SCHEMA)
+
+
+def no_turns(spark):
+    return spark.createDataFrame([], TURN_SCHEMA)
+
+
 def stored(spark, tmp_path, **tables):
     """A folder with the given tables, as a query reads them."""
     for name, df in tables.items():

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from siltwork.llm import licenses, mixing, personal_data, quality
 from siltwork.llm.registry import RUN, SQL
-from tests.llm.rows import no_docs, odd_docs, prose, stored
-from tests.llm.rows import same_as_sql
+from tests.llm.rows import no_docs, no_turns, odd_docs, odd_turns, prose, same_as_sql, stored
 from tests.oracle import connect, duck_rows, plan, spark_rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -26,16 +25,24 @@ def test_query_agrees_with_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql_on_odd_documents(spark, tmp_path, name):
-    folder = stored(spark, tmp_path, documents=odd_docs(spark))
+    tables = {"documents": odd_docs(spark), "conversations": odd_turns(spark)}
+    folder = stored(spark, tmp_path, **tables)
     result = RUN[name](spark, folder)
-    assert same_as_sql(result, SQL[name], documents=f"{folder}/documents.parquet")
+    assert same_as_sql(result, SQL[name], **{t: f"{folder}/{t}.parquet" for t in tables})
 
 
 @pytest.mark.parametrize("name", sorted(RUN))
 def test_query_on_empty_tables(spark, tmp_path, name):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
-    folder = stored(spark, tmp_path, documents=no_docs(spark), labels=labels, embeddings=vectors)
+    folder = stored(
+        spark,
+        tmp_path,
+        documents=no_docs(spark),
+        labels=labels,
+        embeddings=vectors,
+        conversations=no_turns(spark),
+    )
     assert RUN[name](spark, folder).count() == 0
 
 
