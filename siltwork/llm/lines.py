@@ -6,8 +6,10 @@ block by block, two bytes each, so what moves is small and neither a block nor t
 filter grows with the table. The second filter, of ``2 ** bits`` bits, goes to all
 tasks; a second scan asks it about each line, and only lines that may repeat are
 shuffled, as digests: they are counted exactly, the largest id that holds one is
-chosen, and every other document loses it. A filter too small for a table only
-lets more lines through to the exact count; the result is the same.
+chosen, and every other document loses it. A set of bits of the same size then tells
+the documents that hold a line repeated often enough; only their texts move, to meet
+the digests they lose. Filters too small for a table only let more lines and texts
+through to the exact steps; the result is the same.
 
 Null and empty texts are one empty line. Each row is a document, also one whose id
 or text repeats; null ids count as smaller than all others, so rows without an id
@@ -23,20 +25,20 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from siltwork.llm.bitsets import BLOCK, blocks, collected, has
 from siltwork.llm.heavy import joined
 from siltwork.llm.subwords import small_slices
 from siltwork.session import shuffle_partitions, write_out
 
 #: Bits of a filter, as a power of two; 32 MB.
 BITS = 28
-#: Bits of a block, as a power of two: a place in a block takes two bytes.
-_BLOCK = 16
 _PLACES = 2
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
@@ -66,8 +68,8 @@ def _keys(text: bytes, least: int) -> set[bytes]:
 
 def places(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Rows of ``_PLACES`` bit numbers in the filter, all in one block, per 64-bit hash."""
-    block = (hashes >> np.uint64(64 - bits + _BLOCK)) << np.uint64(_BLOCK)
-    within = [(hashes >> np.uint64(_BLOCK * i)) & np.uint64((1 << _BLOCK) - 1) for i in range(_PLACES)]
+    block = (hashes >> np.uint64(64 - bits + BLOCK)) << np.uint64(BLOCK)
+    within = [(hashes >> np.uint64(BLOCK * i)) & np.uint64((1 << BLOCK) - 1) for i in range(_PLACES)]
     return np.stack([block | w for w in within], axis=1).astype(np.int64)
 
 
@@ -85,13 +87,13 @@ def _marks(docs: DataFrame, bits: int, least: int) -> DataFrame:
             flat = np.concatenate([marked[:, 0], marked[~same, 1]])
             found, times = np.unique(flat, return_counts=True)
             again = found[times > 1]
-            blocks, starts = np.unique(found >> _BLOCK, return_index=True)
+            at, starts = np.unique(found >> BLOCK, return_index=True)
             ends = np.append(starts[1:], len(found))
-            firsts = np.searchsorted(again, blocks << _BLOCK)
-            lasts = np.searchsorted(again, (blocks + 1) << _BLOCK)
+            firsts = np.searchsorted(again, at << BLOCK)
+            lasts = np.searchsorted(again, (at + 1) << BLOCK)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(blocks.astype(np.int32)),
+                    pa.array(at.astype(np.int32)),
                     pa.array([found[a:b].astype("<u2").tobytes() for a, b in zip(starts, ends)], pa.binary()),
                     pa.array([again[a:b].astype("<u2").tobytes() for a, b in zip(firsts, lasts)], pa.binary()),
                 ],
@@ -103,7 +105,7 @@ def _marks(docs: DataFrame, bits: int, least: int) -> DataFrame:
 
 def repeat_filter(docs: DataFrame, bits: int = BITS, least: int = LEAST_CHARS) -> np.ndarray:
     """Bytes of the filter of lines seen twice; at most ``2 ** (bits - 3)`` reach the driver."""
-    parts = min(shuffle_partitions(docs.sparkSession), 1 << (bits - _BLOCK))
+    parts = min(shuffle_partitions(docs.sparkSession), blocks(bits))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once: dict[int, np.ndarray] = {}
@@ -111,8 +113,8 @@ def repeat_filter(docs: DataFrame, bits: int = BITS, least: int = LEAST_CHARS) -
         for batch in batches:
             for block, seen, again in zip(*(column.to_pylist() for column in batch.columns)):
                 if block not in once:
-                    once[block] = np.zeros(1 << _BLOCK, dtype=bool)
-                    twice[block] = np.zeros(1 << _BLOCK, dtype=bool)
+                    once[block] = np.zeros(1 << BLOCK, dtype=bool)
+                    twice[block] = np.zeros(1 << BLOCK, dtype=bool)
                 at = np.frombuffer(seen, dtype="<u2")
                 twice[block][at[once[block][at]]] = True
                 twice[block][np.frombuffer(again, dtype="<u2")] = True
@@ -127,13 +129,8 @@ def repeat_filter(docs: DataFrame, bits: int = BITS, least: int = LEAST_CHARS) -
                 names=["block", "bits"],
             )
 
-    merged = _marks(docs, bits, least).repartition(parts, "block").mapInArrow(
-        merge, "block int, bits binary"
-    )
-    found = np.zeros((1 << (bits - _BLOCK), 1 << (_BLOCK - 3)), dtype=np.uint8)
-    for row in merged.toLocalIterator():
-        found[row["block"]] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return found.reshape(-1)
+    marked = _marks(docs, bits, least).repartition(parts, "block")
+    return collected(marked.mapInArrow(merge, "block int, bits binary"), bits)
 
 
 def _asked(docs: DataFrame, bits: int, least: int) -> DataFrame:
@@ -150,7 +147,7 @@ def _asked(docs: DataFrame, bits: int, least: int) -> DataFrame:
             keys = [list(_keys(text, least)) for text in texts]
             hashes = np.array([xxh3_64_intdigest(k) for found in keys for k in found], dtype=np.uint64)
             at = places(hashes, bits)
-            hit = ((seen[at >> 3] >> (7 - (at & 7))) & 1).all(axis=1).tolist()
+            hit = has(seen, at).all(axis=1).tolist()
             suspects, start = [], 0
             for found in keys:
                 hits = hit[start : start + len(found)]
@@ -215,15 +212,66 @@ def _kept(rows: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _drops(asked: DataFrame, least_documents: int) -> DataFrame:
-    """Rows (uid, drops): digests of the lines that each document loses."""
-    lines = asked.select("uid", "doc_id", F.explode("suspects").alias("digest"))
-    repeated = write_out(
-        lines.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
-        .where(F.col("n") >= least_documents),
-        "lines-repeated",
+def _digest_hash(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little")
+
+
+def _confirmed(repeated: DataFrame, bits: int) -> np.ndarray:
+    """The set of digests that are repeated often enough."""
+    parts = min(shuffle_partitions(repeated.sparkSession), blocks(bits))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [_digest_hash(d) for d in batch.column("digest").to_pylist()]
+            at = places(np.array(hashes, dtype=np.uint64), bits)[:, 0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> BLOCK).astype(np.int32)), pa.array(at)], names=["block", "at"]
+            )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, at in zip(*(column.to_pylist() for column in batch.columns)):
+                if block not in marked:
+                    marked[block] = np.zeros(1 << BLOCK, dtype=bool)
+                marked[block][at & ((1 << BLOCK) - 1)] = True
+        if marked:
+            packed = [np.packbits(found).tobytes() for found in marked.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(marked), pa.int32()), pa.array(packed, pa.binary())],
+                names=["block", "bits"],
+            )
+
+    placed = repeated.select("digest").mapInArrow(place, "block int, at bigint")
+    placed = placed.distinct().repartition(parts, "block")
+    return collected(placed.mapInArrow(merge, "block int, bits binary"), bits)
+
+
+def _may_lose(repeated: DataFrame, bits: int) -> Column:
+    """Whether some of a document's suspected lines is repeated often enough."""
+    shared = repeated.sparkSession.sparkContext.broadcast(_confirmed(repeated, bits).tobytes())
+
+    @F.pandas_udf("boolean")
+    def some(suspects: pd.Series) -> pd.Series:
+        known = np.frombuffer(shared.value, dtype=np.uint8)
+        hashes = np.array([_digest_hash(d) for s in suspects for d in s], dtype=np.uint64)
+        hit = has(known, places(hashes, bits)[:, 0])
+        ends = np.cumsum([0, *(len(s) for s in suspects)])
+        return pd.Series([bool(hit[a:b].any()) for a, b in zip(ends, ends[1:])])
+
+    return some("suspects")
+
+
+def _repeated(lines: DataFrame, least_documents: int) -> DataFrame:
+    """Digests that so many documents hold, their number and the largest id of one."""
+    counted = lines.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")
     )
+    return write_out(counted.where(F.col("n") >= least_documents), "lines-repeated")
+
+
+def _drops(lines: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows (uid, drops): digests of the lines that each document loses."""
     lost = joined(lines, repeated, "digest", "n").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     # As many digests as one document has lines.
     return lost.groupBy("uid").agg(F.collect_list("digest").alias("drops"))
@@ -240,10 +288,13 @@ def deduplicated(
     ``kept_text`` is NULL where nothing is dropped: the text is as it was.
     """
     asked = _asked(docs, bits, least_chars)
-    drops = write_out(_drops(asked, least_documents), "lines-drops")
-    suspected = F.size("suspects") > 0
-    losing = asked.where(suspected).drop("suspects").join(drops, "uid", "left")
-    untouched = asked.where(~suspected).select(
+    lines = asked.select("uid", "doc_id", F.explode("suspects").alias("digest"))
+    repeated = _repeated(lines, least_documents)
+    loses = _may_lose(repeated, bits)
+    # Always by a shuffle: drops grow with the table as the texts do.
+    drops = _drops(lines, repeated).hint("merge")
+    losing = asked.where(loses).drop("suspects").join(drops, "uid", "left")
+    untouched = asked.where(~loses).select(
         "doc_id",
         "n_lines",
         F.lit(0).cast("bigint").alias("n_dropped"),

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from siltwork.llm import conversations, lines, phrases
+from siltwork.llm.bitsets import has
 from siltwork.llm.heavy import joined
 from tests.llm.rows import TURN_SCHEMA, odd_turns, turn_rows
 
@@ -82,7 +83,7 @@ def test_filter_knows_every_repeated_line_and_few_others(spark):
     def hits(found):
         hashes = [lines.xxh3_64_intdigest(x.encode()) for x in found]
         at = lines.places(np.array(hashes, dtype=np.uint64), 22)
-        return ((seen[at >> 3] >> (7 - (at & 7))) & 1).all(axis=1).mean()
+        return has(seen, at).all(axis=1).mean()
 
     assert hits(many) == 1
     assert hits(single) < 0.01
