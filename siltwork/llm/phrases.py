@@ -7,11 +7,13 @@ corrections for piece ends. The count of a shorter phrase is the flow that leave
 node and what ends there: three words from the edges, two from the threes, one from the
 twos. No shorter phrase is counted in the texts.
 
-A pair of words too rare to be in any result cuts a piece in two, so that most of the
-grams of a text, which no result can hold, never move. Pairs are counted by 64-bit
-hashes beforehand, and a set of ``2 ** bits`` bits tells the frequent ones. Rare pairs
-that it lets through, by a hash or because it is small for the table, cost shuffled
-bytes and change no count.
+Grams too rare to be in any result are cut short before they move, as if a piece ended
+there: no phrase of a result occurs in what is cut off. For that, hashes are counted in
+two scans, first of words and pairs, then of grams of three and four words made of
+frequent pairs; tasks send them block by block, five bytes each with its count. Sets of
+``2 ** bits`` bits tell the frequent ones to all tasks. Rare grams that a set lets
+through, by equal hashes or because it is small for the table, cost shuffled bytes and
+change no count.
 
 A node that all flow leaves by one edge, and where no piece ends, lies on a unary path.
 It is folded into the longer phrase: it is kept for its count and not scored. Of the
@@ -33,22 +35,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from siltwork.llm.bitsets import BLOCK, blocks, collected, has
 from siltwork.llm.subwords import small_slices
 from siltwork.operators.skew import find_hot, spread_join
-from siltwork.session import write_out
+from siltwork.session import shuffle_partitions, write_out
 
 LEAST = 30
 LONGEST = 4
 TOP = 2000
 #: Share, in hundredths, of a phrase's occurrences inside one longer phrase that drops it.
 INSIDE = 80
-#: Bits of the set of frequent pairs, as a power of two; 16 MB.
+#: Bits of a set of frequent grams, as a power of two; 16 MB.
 BITS = 27
 SCALE = 2_000_000
+SHARES = 64
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(_CUTS + b"\t", b"\n" * len(_CUTS) + b" ")
 _SECTION = 4_000_000
 _SLICE = 8_000_000
+#: Hashes that a task counts before it sends them.
+_HELD = 4_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = [f"w{i + 1}" for i in range(LONGEST)]
 
@@ -93,7 +99,7 @@ def numbered(texts: list[bytes]) -> tuple[np.ndarray, list[bytes | None]]:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, list, np.ndarray]]:
-    """Per slice and language: numbers of words, words, and a hash per number."""
+    """Per slice and language: numbers of words, words, and hashes of the word at each place."""
     for batch in small_slices(batches, "text", _SLICE):
         by_lang: dict[str, list[bytes]] = {}
         texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -104,86 +110,149 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray
             ids, words = numbered(texts)
             seed = xxh3_64_intdigest(lang.encode("utf-8", "replace"))
             hashes = np.array([0, *(xxh3_64_intdigest(w, seed) for w in words[1:])], dtype=np.uint64)
-            yield lang, ids, words, hashes
+            yield lang, ids, words, hashes[ids]
 
 
-def _pairs(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where a word has a next one in its piece, and the hashes of these pairs."""
-    at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    mixed = hashes[ids[at]] * _FACTOR + hashes[ids[at + 1]]
+def _grams(word: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the grams of ``size`` words from the given places on."""
+    mixed = word[at]
+    for i in range(1, size):
+        mixed = (mixed * _FACTOR + word[at + i]) * _FACTOR
+        mixed ^= mixed >> np.uint64(29)
     mixed = (mixed ^ (mixed >> np.uint64(31))) * _FACTOR
-    return at, mixed ^ (mixed >> np.uint64(29))
-
-
-def frequent_pairs(docs: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Bits, eight to a byte, of hashes of pairs that occur ``least`` times in a language.
-
-    At most ``2 ** (bits - 6)`` rows of eight bytes reach the driver.
-    """
+    return mixed ^ (mixed >> np.uint64(32)) ^ np.uint64(size)
+
+
+def _starts(
+    ids: np.ndarray, word: np.ndarray, known: dict[int, np.ndarray], bits: int, size: int
+) -> np.ndarray:
+    """Places where a gram of ``size`` words may be frequent, as far as shorter ones tell."""
+    words = ids > 0
+    if not known:
+        if size == 1:
+            return np.flatnonzero(words)
+        return np.flatnonzero(words[:-1] & words[1:])
+    at = np.flatnonzero(words[:-1] & words[1:])
+    pair = np.zeros(len(ids), dtype=bool)
+    pair[at] = _frequent(_grams(word, at, 2), known[2], bits)
+    inside = pair[: len(pair) - size + 2].copy()
+    for i in range(1, size - 1):
+        inside &= pair[i : len(pair) - size + 2 + i]
+    return np.flatnonzero(inside)
+
+
+def _frequent(hashes: np.ndarray, found: np.ndarray, bits: int) -> np.ndarray:
+    return has(found, (hashes >> np.uint64(64 - bits)).astype(np.int64))
+
+
+def _frequent_grams(
+    docs: DataFrame, sizes: tuple[int, ...], known: dict, least: int, bits: int
+) -> np.ndarray:
+    """The set of hashes of grams of these sizes that occur ``least`` times in a language."""
+    spark = docs.sparkSession
+    shared = {n: spark.sparkContext.broadcast(found.tobytes()) for n, found in known.items()}
+    edge = np.arange(blocks(bits) + 1).astype(np.uint64) << np.uint64(64 - bits + BLOCK)
+
+    def sent(hashes: np.ndarray) -> pa.RecordBatch:
+        found, times = np.unique(hashes, return_counts=True)
+        cuts = np.append(np.searchsorted(found, edge[:-1]), len(found))
+        rest = (found << np.uint64(bits - BLOCK)) >> np.uint64(32)
+        times = np.minimum(times, least).astype("<u2")
+        some = np.flatnonzero(cuts[1:] > cuts[:-1])
+        spans = [(cuts[i], cuts[i + 1]) for i in some]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(some.astype(np.int32)),
+                pa.array([rest[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+                pa.array([times[a:b].tobytes() for a, b in spans], pa.binary()),
+            ],
+            names=["block", "rest", "times"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, ids, _, hashes in _groups(batches):
-            found, times = np.unique(_pairs(ids, hashes)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "c"]
-            )
-
-    counted = docs.mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
-    place = F.shiftrightunsigned("h", 64 - bits)
-    masked = counted.where(F.col("c") >= least).select(
-        F.shiftright(place, 6).cast("int").alias("word"),
-        F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - bits}) & 63 as int))").alias("mask"),
-    )
-    words = masked.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    found = np.zeros(1 << (bits - 6), dtype="<i8")
-    found[words.column("word").to_numpy()] = words.column("mask").to_numpy()
-    return found.view(np.uint8)
+        sets = {n: np.frombuffer(s.value, dtype=np.uint8) for n, s in shared.items()}
+        held, size = [], 0
+        for _, ids, _, word in _groups(batches):
+            for n in sizes:
+                held.append(_grams(word, _starts(ids, word, sets, bits, n), n))
+                size += len(held[-1])
+            if size >= _HELD:
+                yield sent(np.concatenate(held))
+                held, size = [], 0
+        if size:
+            yield sent(np.concatenate(held))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+        for batch in batches:
+            for block, rest, times in zip(*(column.to_pylist() for column in batch.columns)):
+                found.setdefault(block, []).append((rest, times))
+        for block, parts in found.items():
+            rest = np.frombuffer(b"".join(r for r, _ in parts), dtype="<u4")
+            times = np.frombuffer(b"".join(t for _, t in parts), dtype="<u2").astype(np.int64)
+            order = np.argsort(rest)
+            rest, times = rest[order], times[order]
+            starts = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
+            often = rest[starts[np.add.reduceat(times, starts) >= least]]
+            if len(often):
+                marked = np.zeros(1 << BLOCK, dtype=bool)
+                marked[often >> np.uint32(32 - BLOCK)] = True
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block], pa.int32()),
+                        pa.array([np.packbits(marked).tobytes()], pa.binary()),
+                    ],
+                    names=["block", "bits"],
+                )
+
+    counted = docs.mapInArrow(run, "block int, rest binary, times binary")
+    parts = min(shuffle_partitions(spark), blocks(bits))
+    merged = counted.repartition(parts, "block").mapInArrow(merge, "block int, bits binary")
+    return collected(merged, bits)
 
 
 def edges(docs: DataFrame, least: int = LEAST, bits: int = BITS) -> DataFrame:
-    """Rows (lang, w1 .. w4, c): grams that words start, shorter ones at ends of pieces.
+    """Rows (lang, w1 .. w4, c): grams that words start, shorter where a longer one is rare
+    or a piece ends; words that are rare themselves are one row without words.
 
     Written; equal grams of one slice of texts are one row.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_pairs(docs, least, bits).tobytes())
+    context = docs.sparkSession.sparkContext
+    short = _frequent_grams(docs, (1, 2), {}, least, bits)
+    known = {1: short, 2: short}
+    long = _frequent_grams(docs, (3, 4), known, least, bits)
+    shared = [context.broadcast(found.tobytes()) for found in (short, short, long, long)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.frombuffer(shared.value, dtype=np.uint8)
-        for lang, ids, words, hashes in _groups(batches):
-            at, pairs = _pairs(ids, hashes)
-            place = (pairs >> np.uint64(64 - bits)).astype(np.int64)
-            goes_on = np.zeros(len(ids), dtype=bool)
-            goes_on[at] = (seen[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            alone = np.bincount(ids[~goes_on], minlength=len(words))
-            alone[0] = 0
-            single = np.flatnonzero(alone)
-            start = np.flatnonzero(goes_on)
-            grams = np.zeros((LONGEST, len(start)), dtype=np.int64)
-            inside = np.ones(len(start), dtype=bool)
+        sets = {n + 1: np.frombuffer(s.value, dtype=np.uint8) for n, s in enumerate(shared)}
+        for lang, ids, words, word in _groups(batches):
+            at = np.flatnonzero(ids > 0)
+            reached = np.zeros(len(ids), dtype=np.int8)
+            for size in range(1, LONGEST + 1):
+                if size > 1:
+                    at = at[ids[at + size - 1] > 0]
+                at = at[_frequent(_grams(word, at, size), sets[size], bits)]
+                reached[at] = size
+            rare = int(np.count_nonzero((ids > 0) & (reached == 0)))
+            at = np.flatnonzero(reached)
+            grams = np.zeros((LONGEST, len(at)), dtype=np.int64)
             for i in range(LONGEST):
-                if i:
-                    inside &= goes_on[start + i - 1]
-                grams[i, inside] = ids[start[inside] + i]
+                inside = reached[at] > i
+                grams[i, inside] = ids[at[inside] + i]
             # Two numbers make a pair's key, two keys, numbered densely, a gram's.
             first, a = np.unique(grams[0] << 32 | grams[1], return_inverse=True)
             last, b = np.unique(grams[2] << 32 | grams[3], return_inverse=True)
             found, times = np.unique(a * max(len(last), 1) + b, return_counts=True)
             a, b = first[found // max(len(last), 1)], last[found % max(len(last), 1)]
             low = (1 << 32) - 1
-            none = np.zeros(len(single), dtype=np.int64)
-            columns = [
-                np.concatenate([single, a >> 32]),
-                np.concatenate([none, a & low]),
-                np.concatenate([none, b >> 32]),
-                np.concatenate([none, b & low]),
-            ]
+            columns = [np.append(c, 0) for c in (a >> 32, a & low, b >> 32, b & low)]
             spelled = pa.array(words, pa.binary()).cast(pa.string())
-            counts = np.concatenate([alone[single], times])
+            counts = np.append(times, rare).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(counts), pa.string()),
                     *(spelled.take(pa.array(c)) for c in columns),
-                    pa.array(counts.astype(np.int64)),
+                    pa.array(counts),
                 ],
                 names=["lang", *_WORDS, "c"],
             )
@@ -202,7 +271,7 @@ def _flow(grams: DataFrame, size: int) -> DataFrame:
 
 
 def _named(counted: DataFrame, size: int, least: int) -> DataFrame:
-    return counted.where(F.col("c") >= least).select(
+    return counted.where((F.col("c") >= least) & F.col("w1").isNotNull()).select(
         "lang",
         F.concat_ws(" ", *_WORDS[:size]).alias("phrase"),
         F.lit(size).alias("size"),
@@ -297,8 +366,12 @@ def collocations(
         .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
         .select("lang", "phrase", "a", "cut.*")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = worst.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # The best of each share of a language first, so that no task sorts a whole language.
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    shares = Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(SHARES))).orderBy(*best)
+    some = worst.withColumn("rank", F.row_number().over(shares)).where(F.col("rank") <= top)
+    order = Window.partitionBy("lang").orderBy(*best)
+    ranked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.join(words, "lang", "left").select(
         "lang", F.col("rank").cast("bigint"), "phrase", F.col("k").cast("bigint"), "a", "l", "r", "n", "score"
     )

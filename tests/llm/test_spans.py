@@ -140,7 +140,7 @@ def _phrase_docs():
     return docs + docs[-5:]
 
 
-@pytest.mark.parametrize("bits", [7, 27])
+@pytest.mark.parametrize("bits", [17, 27])
 def test_phrases_equal_plain_counts(spark, bits):
     docs = _phrase_docs()
     df = spark.createDataFrame(docs, "lang string, text string").repartition(4)
