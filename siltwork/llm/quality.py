@@ -5,21 +5,22 @@ rows; the cascade then tries them in the order of rejections per second, and a
 row that one rule rejects is not put to the later ones. The order changes the
 cost only: a text is kept if no rule rejects it.
 
-Null texts have no words. Repeated rows are judged one by one. Columns named as
-those added here are replaced. An empty table gives an empty result.
+Null texts have no words. Repeated rows are judged one by one, and rules that are as
+good as each other go by name. Columns may have any names; only ``reason`` is replaced.
+Texts of any length are judged whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.llm.samples import first_rows
-from siltwork.llm.text import whole, words
+from siltwork.llm.text import whole
 from siltwork.session import write_out
 
 SYMBOLS = "#*$%&|<>"
@@ -40,79 +41,48 @@ MEASURES: dict[str, tuple[str, ...]] = {
 }
 
 
-def _windows(n: int) -> Column:
-    """Hashes of all ``n``-word windows, by place."""
-    last = F.size("__words") - n
-    hashes = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.xxhash64(*[F.get("__words", i + k) for k in range(n)]),
-    )
-    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
-
-
-def _repeats() -> Column:
-    """Places of windows found twice or more, ascending."""
-    windows = F.col("__windows")
-
-    def marked() -> Column:
-        placed = F.array_sort(
-            F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-        )
-
-        def at_equal(pairs: Column) -> Column:
-            return F.transform(
-                pairs,
-                lambda x, i: F.when(
-                    (x["h"] == F.get(pairs, i - 1)["h"]) | (x["h"] == F.get(pairs, i + 1)["h"]),
-                    x["i"],
-                ),
-            )
-
-        # Binds the sorted array once; naming it twice would sort it twice.
-        return F.transform(F.array(placed), at_equal)[0]
+#: SQL of the measures over ``__source``, the text, and the measures they name.
+_SQL = {
+    "__words": r"array_remove(split(__source, r'[\x20\x09-\x0D]+'), '')",
+    "__lines": r"filter(split(__source, '\n'), line -> line rlike r'[^\x20\x09-\x0D]')",
+    "n_words": "cast(size(__words) as bigint)",
+    "word_chars": "cast(length(array_join(__words, '')) as bigint)",
+    "n_symbols": "cast(length(regexp_replace(__source, r'[^#*$%&|<>]+', '')) as bigint)",
+    "n_shouts": "cast(length(regexp_replace(__source, r'[^!?]+', '')) as bigint)",
+    "n_upper": r"cast(length(regexp_replace(__source, r'[^\p{Lu}]+', '')) as bigint)",
+    "n_lines": "cast(size(__lines) as bigint)",
+    "n_dup_lines": "cast(size(__lines) - size(array_distinct(__lines)) as bigint)",
+    # Hashes of all windows of three words, by place.
+    "__windows": """
+        case when size(__words) >= 3 then transform(sequence(0, size(__words) - 3), i ->
+          xxhash64(get(__words, i), get(__words, i + 1), get(__words, i + 2)))
+        else cast(array() as array<bigint>) end""",
+    # Places of windows found twice or more, ascending.
+    "__repeats": """
+        case when size(array_distinct(__windows)) < size(__windows) then
+          sort_array(array_compact(transform(
+            array(array_sort(transform(__windows, (h, i) -> struct(h, i)))),
+            pairs -> transform(pairs, (x, i) ->
+              case when x.h = get(pairs, i - 1).h or x.h = get(pairs, i + 1).h then x.i end))[0]))
+        else cast(array() as array<int>) end""",
+    # Words inside at least one repeated window.
+    "n_repeat_words": """
+        case when size(__repeats) > 0 then aggregate(
+          zip_with(__repeats,
+                   concat(slice(__repeats, 2, size(__repeats)), array(element_at(__repeats, -1) + 3)),
+                   (a, b) -> least(b - a, 3)),
+          0L, (total, gap) -> total + gap)
+        else 0L end""",
+}
 
-    none = F.array().cast("array<int>")
-    repeated = F.size(F.array_distinct(windows)) < F.size(windows)
-    return F.when(repeated, F.sort_array(F.array_compact(marked()))).otherwise(none)
 
+def _bound(name: str, value: str, body: str) -> str:
+    """SQL in which ``name`` stands for a value that is computed once.
 
-def _covered(n: int) -> Column:
-    """Words inside at least one repeated window of ``n`` words."""
-    places = F.col("__repeats")
-    following = F.concat(
-        F.slice(places, 2, F.greatest(F.size(places), F.lit(1))),
-        F.array(F.element_at(places, -1) + n),
-    )
-    gaps = F.zip_with(places, following, lambda a, b: F.least(b - a, F.lit(n)))
-    total = F.aggregate(gaps, F.lit(0).cast("bigint"), lambda total, gap: total + gap)
-    return F.when(F.size(places) > 0, total).otherwise(F.lit(0).cast("bigint"))
-
-
-def _kept_length(text: Column, others: str) -> Column:
-    return F.length(F.regexp_replace(text, others, "")).cast("bigint")
-
-
-def _expression(name: str, text: str) -> Column:
-    source = whole(text)
-    made: dict[str, Callable[[], Column]] = {
-        "__words": lambda: words(text),
-        "__lines": lambda: F.filter(
-            F.split(source, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")
-        ),
-        "n_words": lambda: F.size("__words").cast("bigint"),
-        "word_chars": lambda: F.length(F.array_join("__words", "")).cast("bigint"),
-        "n_symbols": lambda: _kept_length(source, r"[^#*$%&|<>]+"),
-        "n_shouts": lambda: _kept_length(source, r"[^!?]+"),
-        "n_upper": lambda: _kept_length(source, r"[^\p{Lu}]+"),
-        "n_lines": lambda: F.size("__lines").cast("bigint"),
-        "n_dup_lines": lambda: (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast(
-            "bigint"
-        ),
-        "__windows": lambda: _windows(3),
-        "__repeats": _repeats,
-        "n_repeat_words": lambda: _covered(3),
-    }
-    return made[name]()
+    A column of its own would be spelled out again wherever it is named once a filter
+    on the result moves below it; a variable is not.
+    """
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def needed(names: Sequence[str]) -> list[str]:
@@ -124,14 +94,16 @@ def needed(names: Sequence[str]) -> list[str]:
     return [name for name in MEASURES if name in wanted]
 
 
-def measured(docs: DataFrame, names: Sequence[str], text: str = "text") -> DataFrame:
-    """``docs`` with measures of its texts, helper arrays included.
+def _with_measures(names: Sequence[str], body: str, known: Sequence[str] = ()) -> str:
+    """``body`` with the measures it names, but those known, computed around it."""
+    for name in reversed([name for name in needed(names) if name not in known]):
+        body = _bound(name, _SQL[name], body)
+    return body
 
-    Each array is a column of its own step, so that it is computed once.
-    """
-    for name in needed(names):
-        docs = docs.withColumn(name, _expression(name, text))
-    return docs
+
+def _of_text(text: str, body: str) -> Column:
+    column = text.replace("`", "``")
+    return F.expr(_bound("__source", f"coalesce(`{column}`, '')", body))
 
 
 @dataclass(frozen=True)
@@ -194,7 +166,7 @@ def estimate(
     reading, _ = timed(sample, F.length(whole(text)) < 0)
     found = []
     for rule in rules:
-        seconds, share = timed(measured(sample, rule.measures, text), F.expr(rule.rejects))
+        seconds, share = timed(sample, _of_text(text, _with_measures(rule.measures, rule.rejects)))
         found.append(Estimate(rule, max(seconds - reading, 0.0), share))
     return found
 
@@ -204,25 +176,31 @@ def in_order(estimates: Sequence[Estimate]) -> list[Rule]:
     return [e.rule for e in sorted(estimates, key=lambda e: (-e.rate, e.rule.name))]
 
 
+def _first_rejecting(rules: Sequence[Rule], known: tuple[str, ...] = ()) -> str:
+    """SQL of the name of the first rule that rejects, NULL if none does.
+
+    A rule and the measures that only it and later ones need lie in the branch that is
+    taken when the rules before it have not rejected.
+    """
+    if not rules:
+        return "cast(null as string)"
+    rule = rules[0]
+    rest = _first_rejecting(rules[1:], (*known, *needed(rule.measures)))
+    name = rule.name.replace("\\", "\\\\").replace("'", "\\'")
+    return _with_measures(
+        rule.measures, f"case when {rule.rejects} then '{name}' else {rest} end", known
+    )
+
+
 def cascade(
     docs: DataFrame, rules: Sequence[Rule], text: str = "text", reason: str = "rejected_by"
 ) -> DataFrame:
     """``docs`` with the first rule, in the given order, that rejects; NULL if none.
 
-    A measure is computed only for rows that no earlier rule has rejected.
-    Measures that ``docs`` has already are used as they are.
+    A measure is computed only for rows that no earlier rule has rejected. Columns
+    named like a measure do not matter.
     """
-    before = docs.columns
-    rows = docs.withColumn(reason, F.lit(None).cast("string"))
-    for rule in rules:
-        for name in needed(rule.measures):
-            if name not in rows.columns:
-                rows = rows.withColumn(
-                    name, F.when(F.col(reason).isNull(), _expression(name, text))
-                )
-        rejected = F.col(reason).isNull() & F.expr(rule.rejects)
-        rows = rows.withColumn(reason, F.when(rejected, F.lit(rule.name)).otherwise(F.col(reason)))
-    return rows.select(*[c for c in before if c != reason], reason)
+    return docs.withColumn(reason, _of_text(text, _first_rejecting(rules)))
 
 
 def passing(
@@ -230,12 +208,7 @@ def passing(
 ) -> DataFrame:
     """The rows of ``docs`` that no rule rejects."""
     order = in_order(estimate(docs, rules, text, sample_rows))
-    reason = "__rejected_by"
-    kept = cascade(_without_measures(docs, text), order, text, reason)
-    # A filter would be moved below the steps and spell all rules out again, once
-    # per step; it does not move past a column that numbers the rows.
-    numbered = _restore(kept, docs).withColumn("__row", F.monotonically_increasing_id())
-    return numbered.where(F.col(reason).isNull() & (F.col("__row") >= 0)).select(*docs.columns)
+    return docs.where(_of_text(text, _first_rejecting(order)).isNull())
 
 
 def judged(
@@ -244,22 +217,11 @@ def judged(
     """Per row: id, the base measures, ``base_failed`` and the cascade's ``kept``."""
     order = in_order(estimate(docs, rules, text, sample_rows))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    reason = "__rejected_by"
-    rows = cascade(measured(docs.select("doc_id", text), base, text), order, text, reason)
-    failed = [rule.rejects for rule in rules if rule.name in BASE]
-    return rows.select(
-        "doc_id",
-        *base,
-        F.expr(" or ".join(f"({x})" for x in failed) or "false").alias("base_failed"),
-        F.col(reason).isNull().alias("kept"),
+    failed = " or ".join(f"({rule.rejects})" for rule in rules if rule.name in BASE) or "false"
+    kept = f"({_first_rejecting(order, tuple(needed(base)))}) is null"
+    fields = ", ".join(f"{name} as {name}" for name in base)
+    made = f"struct({fields}, {failed} as base_failed, {kept} as kept)"
+    # Bound measures are seen by the whole body, so rules do not compute them again.
+    return docs.select("doc_id", _of_text(text, _with_measures(base, made)).alias("__judged")).select(
+        "doc_id", "__judged.*"
     )
-
-
-def _without_measures(docs: DataFrame, text: str) -> DataFrame:
-    """Columns named like a measure step aside, so that they are not taken for one."""
-    return docs.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c in MEASURES else c) for c in docs.columns])
-
-
-def _restore(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    names: Mapping[str, str] = {f"__own_{c}": c for c in docs.columns if c in MEASURES}
-    return rows.withColumnsRenamed(names)
