@@ -1,8 +1,8 @@
 """Subword ids of whole texts, word by word.
 
 Tokens of the tokenizer used here never span white space, so a text's ids are
-those of its words in turn. Words repeat, so their ids are kept: up to
-``MOST_WORDS`` in a task's process, after which it starts anew.
+those of its words in turn. Words repeat, so their ids are kept: up to ``MOST_BYTES``
+in a process, its own bookkeeping included, after which it starts anew.
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-MOST_WORDS = 700_000
+MOST_BYTES = 96_000_000
+#: What a word takes besides its letters and ids: two byte strings and a place in a table.
+_ENTRY = 190
 _MARKS = ".,;:!?"
 _AFTER_LATIN = "\u0250"
 # Byte-level tokens write a byte as the Latin-1 character of its number where that
@@ -26,14 +28,19 @@ _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PR
 class _Known(dict):
     """Ids of words; a word not seen yet is encoded when it is looked up."""
 
-    def __init__(self, encode: Callable[[bytes], bytes]):
+    def __init__(self, encode: Callable[[bytes | str], bytes], most_bytes: int):
         super().__init__()
         self._encode = encode
+        self._most = most_bytes
+        self._held = 0
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MOST_WORDS:
+    def __missing__(self, word: bytes | str) -> bytes:
+        ids = self._encode(word)
+        self._held += _ENTRY + len(word) + len(ids)
+        if self._held > self._most:
             self.clear()
-        ids = self[word] = self._encode(word)
+            self._held = 0
+        self[word] = ids
         return ids
 
 
@@ -44,9 +51,10 @@ class Subwords:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self._model = self.tokenizer.model
-        self._known = _Known(self._ids)
-        self._plain: dict[str, bytes] = {}
-        self._marks: dict[str, bytes] = {}
+        self._known = _Known(self._ids, MOST_BYTES * 3 // 4)
+        # Words of letters are met with many marks after them, so they have their own table.
+        self._plain = _Known(self._letters, MOST_BYTES // 4)
+        self._marks = _Known(self._alone, MOST_BYTES // 64)
 
     def ends(self) -> np.ndarray:
         """For each id 1 if it ends a word, else 0."""
@@ -61,13 +69,9 @@ class Subwords:
 
     def _letters(self, word: str) -> bytes:
         """Ids of a word of Latin letters, which its normalizer only lower-cases."""
-        if word not in self._plain:
-            if len(self._plain) > MOST_WORDS:
-                self._plain.clear()
-            spelled = word.lower().encode().decode("latin-1").translate(_BYTES)
-            ids = [token.id for token in self._model.tokenize(spelled)]
-            self._plain[word] = np.array(ids, dtype="<u4").tobytes()
-        return self._plain[word]
+        spelled = word.lower().encode().decode("latin-1").translate(_BYTES)
+        ids = [token.id for token in self._model.tokenize(spelled)]
+        return np.array(ids, dtype="<u4").tobytes()
 
     def _ids(self, word: bytes) -> bytes:
         """Ids of one word; letters and the marks after them never share a token."""
@@ -76,11 +80,7 @@ class Subwords:
         if not (core.isalpha() and max(core) < _AFTER_LATIN and "\u0130" not in core):
             return self._alone(text)
         marks = text[len(core) :]
-        if not marks:
-            return self._letters(core)
-        if marks not in self._marks:
-            self._marks[marks] = self._alone(marks)
-        return self._letters(core) + self._marks[marks]
+        return self._plain[core] + self._marks[marks] if marks else self._plain[core]
 
     def words(self, texts: list[str | None]) -> list[list[bytes]]:
         """Per text, the ids of its words; None counts as empty."""
