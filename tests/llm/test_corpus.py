@@ -11,7 +11,7 @@ import pytest
 import corpus_pipeline
 from siltwork.llm import near_duplicates, packing
 from siltwork.llm.components import components
-from siltwork.llm.registry import RUN
+from siltwork.llm.queries import RUN
 from siltwork.llm.subwords import subwords
 from siltwork.session import write_out
 from tests.llm.rows import no_docs, odd_docs, prose, stored

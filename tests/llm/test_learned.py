@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from siltwork.llm import attention, language, language_model, neighbours, toxicity
-from siltwork.llm.registry import RUN
+from siltwork.llm.queries import RUN
 from tests.llm.rows import odd_docs, stored
 
 SF = "/root/testdata/sf0.01"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from siltwork.llm import licenses, mixing, personal_data, quality
-from siltwork.llm.registry import RUN, SQL
+from siltwork.llm.queries import RUN, SQL
 from tests.llm.rows import no_docs, no_turns, odd_docs, odd_turns, prose, same_as_sql, stored
 from tests.oracle import connect, duck_rows, plan, spark_rows
 
