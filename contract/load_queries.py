@@ -62,9 +62,10 @@ def extract(spark, sf_dir, table):
 
 
 def broken_extract(spark, sf_dir):
-    """The extract with broken lines; its header is the name of the line column."""
+    """The extract with broken lines, all ended by CR and LF; its header is the column's name."""
     path = scratch_path(spark, "extract-broken")
-    lines = view(spark, sf_dir, "extract_lines").select(F.col("line").alias("cid,bdate,gen"))
+    ended = F.concat("line", F.lit("\r")).alias("cid,bdate,gen\r")
+    lines = view(spark, sf_dir, "extract_lines").select(ended)
     write_delimited(lines, path, delimiter="\x01")
     return path
 

@@ -32,11 +32,11 @@ def int_to_date(col: Column | str) -> Column:
 def eight_characters(col: Column | str) -> Column:
     """True when the integer is written with eight characters, a sign included.
 
-    Two ranges, without making a text of every number: eight digits, or a sign
-    and seven.
+    The value is named once: it may be a long expression, which a filter pushed below
+    it would spell out, and compute, wherever it is named.
     """
     value = F.col(col) if isinstance(col, str) else col
-    return value.between(10**7, 10**8 - 1) | value.between(1 - 10**7, -(10**6))
+    return F.length(value.cast("string")) == 8
 
 
 def outside(col: Column | str, low, high) -> Column:

@@ -20,12 +20,14 @@ def load_bronze(
     batch_id: int,
     max_rejects: int = MAX_REJECTS,
     on_error: str = "raise",
+    check_header: bool = False,
 ) -> DataFrame:
     """Replace each bronze table by its extract, CRM tables first, then ERP.
 
     ``extracts`` gives the path, or paths, of the files for each table to load.
     A table is only replaced once its whole extract is written and no more than
-    ``max_rejects`` lines were bad.
+    ``max_rejects`` lines were bad. Columns bind by position; ``check_header`` demands
+    that each file's header names them.
     """
     unknown = set(extracts) - set(TABLES)
     if unknown:
@@ -39,13 +41,14 @@ def load_bronze(
             extracts[table],
             SPECS[table].declared("bronze"),
             warehouse.batch_path("bronze", table, tag),
+            check_header=check_header,
         )
-        rejects = staged.rejects().count()
-        if rejects > max_rejects:
-            raise RejectLimitExceeded(f"{table}: {rejects} bad lines, limit {max_rejects}")
-        loaded = Loaded(staged.good_rows().count(), rejects)
+        if staged.rejected > max_rejects:
+            raise RejectLimitExceeded(
+                f"{table}: {staged.rejected} bad lines, limit {max_rejects}"
+            )
         warehouse.publish("bronze", table, staged.good_path)
-        return loaded
+        return Loaded(staged.rows, staged.rejected)
 
     loads = {t: (lambda t=t: load(t)) for t in TABLES if t in extracts}
     return run_batch(warehouse, "bronze", batch_id, loads, on_error)

@@ -15,6 +15,7 @@ from siltwork.functions.codes import UNKNOWN
 from siltwork.operators.lookups import lookup, one_per_key
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans.load_job import Loaded, batch_tag, run_batch
+from siltwork.sources.staging import write_counted
 from siltwork.sources.warehouse import Warehouse
 
 
@@ -137,11 +138,10 @@ def load_gold(
     def save(table: str, build: Callable[[], DataFrame]) -> Loaded:
         rows = build()
         path = warehouse.batch_path("gold", table, tag)
-        rows.write.parquet(path)
+        counts = write_counted(rows, path, {"rows": F.count(F.lit(1))})
         ddl = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-        loaded = Loaded(warehouse.spark.read.schema(rows.schema).parquet(path).count(), 0)
         warehouse.publish("gold", table, path, ddl)
-        return loaded
+        return Loaded(counts["rows"], 0)
 
     builds = {
         "dim_customers": lambda: customer_dimension(

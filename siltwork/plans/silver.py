@@ -23,6 +23,7 @@ from siltwork.operators.repair import POLICIES
 from siltwork.operators.skew import DEFAULT_POLICY, SkewPolicy
 from siltwork.plans.load_job import Loaded, batch_tag, now, run_batch
 from siltwork.schemas import SPECS, TABLES
+from siltwork.session import loading_session
 from siltwork.sources.staging import StagedBatch, stage
 from siltwork.sources.warehouse import Warehouse
 
@@ -156,12 +157,13 @@ def load_silver(
     loaded_at = loaded_at or now()
 
     def load(table: str) -> Loaded:
-        rows = silver_rows(table, warehouse.table("bronze", table), options)
+        own = loading_session(warehouse.spark)
+        bronze = own.table(warehouse.table_name("bronze", table))
+        rows = silver_rows(table, bronze, options)
         stamped = stamp_lineage(rows, loaded_at, SPECS[table].source_system, batch_id)
         staged = stage_checked(stamped, warehouse.batch_path("silver", table, tag))
-        loaded = Loaded(staged.good_rows().count(), staged.rejects().count())
         warehouse.publish("silver", table, staged.good_path)
-        return loaded
+        return Loaded(staged.rows, staged.rejected)
 
     loads = {t: (lambda t=t: load(t)) for t in tables}
     return run_batch(warehouse, "silver", batch_id, loads, on_error)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,18 +59,21 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-@contextmanager
-def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """Set ``name`` for the jobs run inside, then restore it."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def loading_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for one load, with the same catalog and settings but two.
+
+    Reads are cut into larger splits than for queries, so that each task writes a file
+    worth reading; Spark still cuts a small input into one split per core. Tasks keep
+    files of good and of rejected rows open side by side instead of sorting by the flag.
+    Queries that run at the same time in ``spark`` keep their settings.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.maxPartitionBytes", "512m")
+    own.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+    return own
 
 
 def broadcast_limit(spark: SparkSession) -> int:
