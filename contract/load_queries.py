@@ -62,11 +62,16 @@ def extract(spark, sf_dir, table):
 
 
 def broken_extract(spark, sf_dir):
-    """The extract with broken lines, all ended by CR and LF; its header is the column's name."""
+    """The extract with broken lines in eight files, all lines ended by CR and LF."""
     path = scratch_path(spark, "extract-broken")
-    ended = F.concat("line", F.lit("\r")).alias("cid,bdate,gen\r")
-    lines = view(spark, sf_dir, "extract_lines").select(ended)
-    write_delimited(lines, path, delimiter="\x01")
+    lines = view(spark, sf_dir, "extract_lines").select(
+        "line", F.pmod(F.hash("line"), F.lit(8)).alias("file"), F.lit(1).alias("place")
+    )
+    heads = spark.range(8).select(
+        F.lit("cid,bdate,gen"), F.col("id").cast("int"), F.lit(0)
+    )
+    rows = lines.union(heads).repartition("file").sortWithinPartitions("file", "place")
+    rows.select("line", "file").write.partitionBy("file").text(path, lineSep="\r\n")
     return path
 
 
