@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from contract.fixtures import base, view, with_views
 from contract.registry import query
 from contract.values import label
 from siltwork.functions import codes, text
 from siltwork.operators import checks, keys, ordering
+from siltwork.operators.lookups import lookup, one_per_key
 from siltwork.operators.skew import SkewPolicy
 from siltwork.plans.customers import cleanse_customers
 from siltwork.plans.quality import customer_report
@@ -238,3 +241,59 @@ def head_sample_spread(spark, sf_dir):
 )
 def dq_report_customers(spark, sf_dir):
     return customer_report(dirty(spark, sf_dir))
+
+
+# -- keys under a collation ------------------------------------------------------
+
+SPELLED = ["cst_key", "cst_gndr"]
+
+
+@query(
+    with_views(
+        "dirty_customers",
+        """select min(cst_gndr) as cst_gndr, count(*) as n from dirty_customers
+           group by lower(rtrim(cst_gndr)) having count(*) > 1 or min(cst_gndr) is null""",
+    )
+)
+def pk_null_or_duplicate_any_case(spark, sf_dir):
+    """Keys that differ by case or trailing blanks only are one key."""
+    return keys.pk_violations(dirty(spark, sf_dir), "cst_gndr", collation=text.PADDED_ANY_CASE)
+
+
+ANY_CASE_SQL = with_views(
+    "dirty_customers",
+    """select * from dirty_customers qualify cst_gndr is not null
+       and count(*) over (partition by lower(rtrim(cst_key)), lower(rtrim(cst_gndr))) > 1""",
+)
+
+
+@query(ANY_CASE_SQL)
+def dup_rows_any_case(spark, sf_dir):
+    rows = dirty(spark, sf_dir)
+    return keys.duplicate_rows(rows, SPELLED, collation=text.PADDED_ANY_CASE)
+
+
+@query(ANY_CASE_SQL)
+def dup_rows_any_case_spread(spark, sf_dir):
+    rows = dirty(spark, sf_dir)
+    return keys.duplicate_rows(
+        rows, SPELLED, skew=SkewPolicy(hot_rows=2), collation=text.PADDED_ANY_CASE
+    )
+
+
+@query(
+    with_views(
+        "dirty_customers dirty_erp_customers",
+        """, t as (
+             select lower(rtrim(gen)) as k, max(cid) as cid from dirty_erp_customers
+             where gen is not null group by 1)
+           select src_row, cst_gndr, cid from dirty_customers
+           left join t on lower(rtrim(cst_gndr)) = k""",
+    )
+)
+def lookup_any_case(spark, sf_dir):
+    """The last ERP customer of a gender, however it is written."""
+    erp = view(spark, sf_dir, "dirty_erp_customers").select(F.col("gen").alias("cst_gndr"), "cid")
+    last = one_per_key(erp, "cst_gndr", ["cid"], collation=text.PADDED_ANY_CASE)
+    rows = dirty(spark, sf_dir).select("src_row", "cst_gndr")
+    return lookup(rows, last, "cst_gndr", collation=text.PADDED_ANY_CASE)

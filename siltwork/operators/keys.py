@@ -12,6 +12,7 @@ from siltwork.operators.skew import (
     DEFAULT_POLICY,
     HotKeys,
     SkewPolicy,
+    collated,
     count_keys,
     find_hot,
     key_columns,
@@ -24,13 +25,29 @@ from siltwork.session import shuffle_partitions, write_out
 
 ROW_NUMBER = "flag_latest_date"
 _PLACE = "__place"
+_RANGE = "__range"
 _SLICE = "__slice"
 
 
-def pk_violations(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Keys that occur more than once or are NULL, with their row count ``n``."""
+def pk_violations(
+    df: DataFrame, key: str | Sequence[str], collation: str | None = None
+) -> DataFrame:
+    """Keys that occur more than once or are NULL, with their row count ``n``.
+
+    With a ``collation`` equal keys may be spelled in several ways; the least of these,
+    byte by byte, stands for them.
+    """
     key = key_columns(key)
-    return count_keys(df, key).where((F.col("n") > 1) | _any_null(key))
+    counts = count_keys(df, key)
+    if collation:
+        # Spellings are counted first, so that texts are hashed and compared as bytes.
+        same = [c.alias(f"__{i}") for i, c in enumerate(collated(df, key, collation))]
+        counts = (
+            counts.groupBy(*same)
+            .agg(F.min(F.struct(*key)).alias("__key"), F.sum("n").alias("n"))
+            .select("__key.*", "n")
+        )
+    return counts.where((F.col("n") > 1) | _any_null(key))
 
 
 def duplicate_rows(
@@ -38,14 +55,16 @@ def duplicate_rows(
     key: str | Sequence[str],
     include_null: bool = False,
     skew: SkewPolicy = DEFAULT_POLICY,
+    collation: str | None = None,
 ) -> DataFrame:
     """All rows whose key occurs more than once; with ``include_null`` NULL keys too.
 
     Only the repeated keys are joined back, so when they are few the planner
-    broadcasts them by size and the rows are not shuffled at all.
+    broadcasts them by size and the rows are not shuffled at all. With a ``collation``
+    these are all spellings of keys that are equal under it.
     """
     key = key_columns(key)
-    repeated, hot = _repeated_keys(df, key, include_null, skew)
+    repeated, hot = _repeated_keys(df, key, include_null, skew, collation)
     return spread_join(df, repeated, key, "left_semi", hot, null_safe=include_null)
 
 
@@ -149,14 +168,7 @@ def following_value(
     if hot is None:
         return in_window(df)
     ordinary, heavy = split_hot(df, hot)
-    # Numbered rows make (key, number) unique, so the join to the row before
-    # spreads a hot key over all tasks.
-    numbered = _number_by_range(heavy, hot, sort, "__number")
-    newer = numbered.select(
-        *key, (F.col("__number") + 1).alias("__number"), F.col(value).alias(name)
-    )
-    linked = keyed_join(numbered, newer, (*key, "__number"), "left", null_safe=True)
-    return in_window(ordinary).unionByName(linked.drop("__number"))
+    return in_window(ordinary).unionByName(_following_by_range(heavy, hot, sort, value, name))
 
 
 def _any_null(key: Sequence[str]) -> Column:
@@ -167,13 +179,23 @@ def _any_null(key: Sequence[str]) -> Column:
 
 
 def _repeated_keys(
-    df: DataFrame, key: Sequence[str], include_null: bool, skew: SkewPolicy
+    df: DataFrame,
+    key: Sequence[str],
+    include_null: bool,
+    skew: SkewPolicy,
+    collation: str | None = None,
 ) -> tuple[DataFrame, HotKeys | None]:
     """Keys to report, and the hot ones among them, from a single count."""
+    counts = count_keys(df, key)
+    found = F.col("n")
+    if collation:
+        # A window over spellings: as many rows per key as it is spelled in ways.
+        found = F.col("__all")
+        same = Window.partitionBy(*collated(df, key, collation))
+        counts = counts.withColumn("__all", F.sum("n").over(same))
     null_key = _any_null(key)
-    wanted = ((F.col("n") > 1) | null_key) if include_null else ((F.col("n") > 1) & ~null_key)
-    counts = count_keys(df, key).where(wanted)
-    written = write_out(counts, "repeated-keys")
+    wanted = ((found > 1) | null_key) if include_null else ((found > 1) & ~null_key)
+    written = write_out(counts.where(wanted).select(*key, "n"), "repeated-keys")
     return written.select(*key), list_hot(written, key, skew)
 
 
@@ -201,16 +223,11 @@ def _number_in_window(
     return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
 
-def _number_by_range(
-    heavy: DataFrame, hot: HotKeys, sort: Sequence[Column], name: str
-) -> DataFrame:
-    """Number the rows of hot keys without bringing a key into one task.
+def _placed(heavy: DataFrame, hot: HotKeys, sort: Sequence[Column]) -> DataFrame:
+    """Rows of hot keys with the range of the whole sort order they lie in and their place.
 
-    The rows are range-partitioned on the whole sort order, which cuts a key
-    into ranges, and written with their place in the range. A row's number is
-    its place among its key's rows in the range plus the key's rows in earlier
-    ranges. The input partition ends the sort order, so a mass of equal rows is
-    cut as well.
+    Ranges cut a key, and the input partition ends the sort order, so that a mass of
+    equal rows is cut as well. Written, as places must not change.
     """
     spark = heavy.sparkSession
     ranges = max(shuffle_partitions(spark), hot.slices)
@@ -224,19 +241,61 @@ def _number_by_range(
         "numbered",
     )
     # The id's upper 31 bits are the partition, the lower 33 the place in it.
-    placed = placed.withColumn("__range", F.shiftright(_PLACE, 33))
-    earlier = Window.partitionBy(*hot.key).orderBy("__range").rowsBetween(
+    return placed.withColumn(_RANGE, F.shiftright(_PLACE, 33))
+
+
+def _number_by_range(
+    heavy: DataFrame, hot: HotKeys, sort: Sequence[Column], name: str
+) -> DataFrame:
+    """Number the rows of hot keys without bringing a key into one task.
+
+    A row's number is its place among its key's rows in its range plus the key's rows in
+    earlier ranges.
+    """
+    placed = _placed(heavy, hot, sort)
+    earlier = Window.partitionBy(*hot.key).orderBy(_RANGE).rowsBetween(
         Window.unboundedPreceding, -1
     )
     # One row per hot key and range it reaches: at most hot keys + ranges rows.
     spans = write_out(
-        placed.groupBy(*hot.key, "__range")
+        placed.groupBy(*hot.key, _RANGE)
         .agg(F.min(_PLACE).alias("__first"), F.count(F.lit(1)).alias("__n"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
         .drop("__n"),
         "spans",
     )
     number = F.col(_PLACE) - F.col("__first") + F.col("__before") + 1
-    return keyed_join(
-        placed, spans, (*hot.key, "__range"), "inner", null_safe=True
-    ).select(*heavy.columns, number.alias(name))
+    return keyed_join(placed, spans, (*hot.key, _RANGE), "inner", null_safe=True).select(
+        *heavy.columns, number.alias(name)
+    )
+
+
+def _following_by_range(
+    heavy: DataFrame, hot: HotKeys, sort: Sequence[Column], value: str, name: str
+) -> DataFrame:
+    """``value`` of the row before, in the sort order, of the same hot key.
+
+    Within a range that is the row before; a key's first row in a range takes what the
+    key's range before ended with. One row per key and range moves for that.
+    """
+    placed = _placed(heavy, hot, sort)
+    by_range = Window.partitionBy(*hot.key).orderBy(_RANGE)
+    spans = write_out(
+        placed.groupBy(*hot.key, _RANGE)
+        .agg(F.min(_PLACE).alias("__first"), F.max_by(value, _PLACE).alias("__last"))
+        .withColumn("__carried", F.lag("__last").over(by_range))
+        .drop("__last"),
+        "spans",
+    )
+    in_range = Window.partitionBy(*hot.key, _RANGE).orderBy(_PLACE)
+    linked = keyed_join(
+        placed.withColumn("__before", F.lag(value).over(in_range)),
+        spans,
+        (*hot.key, _RANGE),
+        "inner",
+        null_safe=True,
+    )
+    follows = F.when(F.col(_PLACE) == F.col("__first"), F.col("__carried")).otherwise(
+        F.col("__before")
+    )
+    return linked.select(*heavy.columns, follows.alias(name))

@@ -12,13 +12,15 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltwork.session import write_out
+from siltwork.session import scratch_path, write_out
 
 SLICES = "__slices"
 SLICE = "__slice"
+_HOT = "__hot"
 
 
 @dataclass(frozen=True)
@@ -71,6 +73,12 @@ def keyed_join(
     return joined.select(*left.columns, *payload)
 
 
+def collated(df: DataFrame, key: Sequence[str], collation: str) -> list[Column]:
+    """The key's columns, texts of it compared under ``collation``."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return [F.collate(F.col(k), collation) if k in texts else F.col(k) for k in key]
+
+
 def count_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows per key, counted before the shuffle; only the key columns are read."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
@@ -97,12 +105,21 @@ def find_hot(
 
 
 def split_hot(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys and rows of hot keys, without a shuffle."""
-    keys = hot.frame.select(*hot.key)
-    return (
-        keyed_join(df, keys, hot.key, "left_anti", null_safe=True),
-        keyed_join(df, keys, hot.key, "left_semi", null_safe=True),
+    """Rows of ordinary keys and rows of hot keys, both read from one evaluation of ``df``.
+
+    The rows are written, apart by whether their key is hot, so what follows does not
+    compute them again: neither the bounds of ranges nor either half.
+    """
+    keys = hot.frame.select(*hot.key, F.lit(True).alias(_HOT))
+    flagged = keyed_join(df, keys, hot.key, "left", null_safe=True).withColumn(
+        _HOT, F.col(_HOT).isNotNull()
     )
+    spark = df.sparkSession
+    path = scratch_path(spark, "hot-and-ordinary")
+    flagged.write.partitionBy(_HOT).parquet(path)
+    written = spark.read.schema(flagged.schema).parquet(path)
+    rows = written.where(~F.col(_HOT)), written.where(F.col(_HOT))
+    return tuple(half.select(*df.columns) for half in rows)
 
 
 def spread_join(
