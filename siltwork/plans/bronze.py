@@ -21,13 +21,15 @@ def load_bronze(
     max_rejects: int = MAX_REJECTS,
     on_error: str = "raise",
     check_header: bool = False,
+    at_once: int = 1,
+    whole: bool = False,
 ) -> DataFrame:
     """Replace each bronze table by its extract, CRM tables first, then ERP.
 
     ``extracts`` gives the path, or paths, of the files for each table to load.
     A table is only replaced once its whole extract is written and no more than
     ``max_rejects`` lines were bad. Columns bind by position; ``check_header`` demands
-    that each file's header names them.
+    that each file's header names them. ``at_once`` and ``whole`` as in ``run_batch``.
     """
     unknown = set(extracts) - set(TABLES)
     if unknown:
@@ -47,8 +49,7 @@ def load_bronze(
             raise RejectLimitExceeded(
                 f"{table}: {staged.rejected} bad lines, limit {max_rejects}"
             )
-        warehouse.publish("bronze", table, staged.good_path)
-        return Loaded(staged.rows, staged.rejected)
+        return Loaded(staged.rows, staged.rejected, staged.good_path)
 
     loads = {t: (lambda t=t: load(t)) for t in TABLES if t in extracts}
-    return run_batch(warehouse, "bronze", batch_id, loads, on_error)
+    return run_batch(warehouse, "bronze", batch_id, loads, on_error, at_once, whole)

@@ -140,8 +140,7 @@ def load_gold(
         path = warehouse.batch_path("gold", table, tag)
         counts = write_counted(rows, path, {"rows": F.count(F.lit(1))})
         ddl = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-        warehouse.publish("gold", table, path, ddl)
-        return Loaded(counts["rows"], 0)
+        return Loaded(counts["rows"], 0, path, ddl)
 
     builds = {
         "dim_customers": lambda: customer_dimension(

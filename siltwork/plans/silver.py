@@ -146,11 +146,14 @@ def load_silver(
     tables: Sequence[str] = TABLES,
     loaded_at: dt.datetime | None = None,
     on_error: str = "raise",
+    at_once: int = 1,
+    whole: bool = False,
 ) -> DataFrame:
     """Replace silver tables by the cleansed rows of the bronze ones.
 
     Rows that break a declared constraint stay beside the batch, under its
-    ``_rejected=true`` folder, and are counted as rejects in the audit.
+    ``_rejected=true`` folder, and are counted as rejects in the audit. ``at_once`` and
+    ``whole`` as in ``run_batch``.
     """
     warehouse.create_layers()
     tag = batch_tag(batch_id)
@@ -162,8 +165,7 @@ def load_silver(
         rows = silver_rows(table, bronze, options)
         stamped = stamp_lineage(rows, loaded_at, SPECS[table].source_system, batch_id)
         staged = stage_checked(stamped, warehouse.batch_path("silver", table, tag))
-        warehouse.publish("silver", table, staged.good_path)
-        return Loaded(staged.rows, staged.rejected)
+        return Loaded(staged.rows, staged.rejected, staged.good_path)
 
     loads = {t: (lambda t=t: load(t)) for t in tables}
-    return run_batch(warehouse, "silver", batch_id, loads, on_error)
+    return run_batch(warehouse, "silver", batch_id, loads, on_error, at_once, whole)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import gzip
+import threading
 import os
 
 import pytest
@@ -16,7 +17,14 @@ from siltwork.operators.skew import SkewPolicy
 from siltwork.plans import profiles
 from siltwork.plans.bronze import load_bronze
 from siltwork.plans.gold import load_gold
-from siltwork.plans.load_job import ALL_TABLES, LoadFailed, _with_seconds, read_audit
+from siltwork.plans.load_job import (
+    ALL_TABLES,
+    Loaded,
+    LoadFailed,
+    _with_seconds,
+    read_audit,
+    run_batch,
+)
 from siltwork.plans.silver import SilverOptions, load_silver, silver_rows
 from siltwork.schemas import LINEAGE_COLUMNS, SPECS, TABLES
 from siltwork.session import scratch_path, shared_folder
@@ -373,6 +381,89 @@ def test_header_is_checked_on_demand(spark, warehouse, tmp_path):
         read_delimited(spark, wrong["erp_cust_az12"], schema, check_header=True).collect()
 
 
+def test_a_batch_is_seen_whole(warehouse, tmp_path, monkeypatch):
+    """A reader between two tables' catalog updates sees all old or all new rows."""
+    def extracts(n):
+        places = "\n".join(["CID,CNTRY", *[f"AW{i},DE" for i in range(n)]])
+        return {
+            "erp_loc_a101": save(tmp_path / f"l{n}.csv", places),
+            "erp_cust_az12": save(tmp_path / f"c{n}.csv", customers(n)),
+        }
+
+    assert warehouse.snapshot("bronze") == {}
+    load_bronze(warehouse, extracts(3), 1, whole=True)
+    seen = []
+
+    def counts():
+        return {t: df.count() for t, df in warehouse.snapshot("bronze").items()}
+
+    points = Warehouse._point
+
+    def watched(self, *args):
+        seen.append(counts())
+        points(self, *args)
+        seen.append(counts())
+
+    monkeypatch.setattr(Warehouse, "_point", watched)
+    old = warehouse.snapshot("bronze")
+    load_bronze(warehouse, extracts(5), 2, whole=True, at_once=2)
+    assert seen == [{"erp_loc_a101": 5, "erp_cust_az12": 5}] * 4
+    assert {df.count() for df in old.values()} == {3}
+    assert warehouse.table("bronze", "erp_loc_a101").count() == 5
+
+    bad = extracts(7) | {"erp_cust_az12": save(tmp_path / "bad.csv", customers(7, bad=11))}
+    audit = load_bronze(warehouse, bad, 3, on_error="record", whole=True).collect()
+    assert [r.status for r in audit] == ["WITHHELD", "FAILED", "FAILED"]
+    assert counts() == {"erp_loc_a101": 5, "erp_cust_az12": 5}
+    assert warehouse.table("bronze", "erp_loc_a101").count() == 5
+
+
+def test_a_recreated_table_leaves_the_snapshot(warehouse, tmp_path):
+    load_bronze(warehouse, {"erp_cust_az12": save(tmp_path / "a.csv", customers(3))}, 1)
+    warehouse.recreate_table("bronze", "erp_cust_az12")
+    assert warehouse.snapshot("bronze") == {}
+    load_bronze(warehouse, {"erp_cust_az12": save(tmp_path / "b.csv", customers(4))}, 2)
+    assert warehouse.snapshot("bronze")["erp_cust_az12"].count() == 4
+    warehouse.reset(confirm=True)
+    assert warehouse.snapshot("bronze") == {}
+
+
+def test_two_loads_cannot_publish_one_manifest(warehouse, tmp_path):
+    load_bronze(warehouse, {"erp_cust_az12": save(tmp_path / "a.csv", customers(3))}, 1)
+    version, batches = warehouse._manifest("bronze")
+    with pytest.raises(RuntimeError, match="at the same time"):
+        warehouse._write_manifest("bronze", version, {})
+    assert warehouse._manifest("bronze") == (version, batches)
+
+
+def test_tables_load_at_the_same_time_in_unchanged_order(warehouse):
+    """Each of two loads waits for the other; the third runs though it will be skipped."""
+    together = threading.Barrier(2, timeout=60)
+
+    def meeting(fail=False):
+        together.wait()
+        if fail:
+            raise ValueError("second")
+        path = scratch_path(warehouse.spark, "t")
+        warehouse.spark.createDataFrame([("A", "DE")], "cid string, cntry string").write.parquet(path)
+        return Loaded(1, 0, path)
+
+    warehouse.create_layers()
+    loads = {
+        "erp_loc_a101": meeting,
+        "erp_cust_az12": lambda: meeting(fail=True),
+        "erp_px_cat_g1v2": lambda: Loaded(0, 0, "nowhere"),
+    }
+    audit = run_batch(warehouse, "bronze", 1, loads, on_error="record", at_once=2).collect()
+    assert [(r.table_name, r.status) for r in audit] == [
+        ("erp_loc_a101", "SUCCEEDED"),
+        ("erp_cust_az12", "FAILED"),
+        ("erp_px_cat_g1v2", "SKIPPED"),
+        (ALL_TABLES, "FAILED"),
+    ]
+    assert set(warehouse.snapshot("bronze")) == {"erp_loc_a101"}
+
+
 def test_versions_that_start_together_end_together(spark):
     day = dt.datetime(2020, 1, 1)
     rows = [(i, "AC-01-X", "n", 1, "R", start, None) for i, start in enumerate(

@@ -94,3 +94,37 @@ def test_collated_values_are_made_distinct_by_hash_first(spark, customers):
     text = plan(domain_values(customers, "cst_gndr", "UTF8_LCASE_RTRIM"))
     nodes = re.findall(r"(HashAggregate|SortAggregate|Scan parquet)", text.split("(1)")[0])
     assert nodes[-3:] == ["HashAggregate", "HashAggregate", "Scan parquet"]
+
+
+def _read(text):
+    """Folders, without their random ends, that a plan scans."""
+    return {re.sub(r"-[0-9a-f]{12}$", "", x.split("/")[-1]) for x in re.findall(r"Location: \w+ \[file:([^\],]*)", text)}
+
+
+def test_spread_numbers_come_from_written_rows_only(spark, customers):
+    """Neither the halves nor the bounds of ranges compute the input again."""
+    hot = SkewPolicy(hot_rows=100)
+    text = plan(keys.superseded_rows(customers, "cst_id", "cst_create_date", ["src_row"], skew=hot))
+    assert _read(text) <= {"hot-and-ordinary", "numbered", "spans"}
+
+
+def test_the_value_before_needs_no_join_of_rows_with_themselves(spark, customers):
+    hot = SkewPolicy(hot_rows=100)
+    found = keys.following_value(
+        customers, "cst_id", "cst_create_date", "src_row", "later", ["src_row"], hot
+    )
+    text = plan(found)
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert _read(text) <= {"hot-and-ordinary", "numbered", "spans"}
+
+
+def test_a_date_check_names_its_value_once(spark):
+    from pyspark.sql import functions as F
+
+    from siltwork.functions import dates
+
+    made = spark.range(9).select(F.when(F.col("id") > 3, F.col("id") * 7_654_321).alias("day"))
+    checked = made.where(~dates.eight_characters("day"))
+    optimized = checked._jdf.queryExecution().optimizedPlan().toString()
+    condition = next(line for line in optimized.splitlines() if "Filter" in line)
+    assert condition.count("7654321") == 1
