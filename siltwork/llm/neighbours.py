@@ -4,11 +4,13 @@ Vectors are centred, scaled into the unit ball and given one more coordinate tha
 puts them on the sphere, so that the largest inner product is the smallest
 distance. Each of ``TABLES`` tables projects on ``AXES`` Gaussian directions cut
 into buckets of width ``WIDTH``; a cell is one bucket on each axis. For a query
-the chance that its neighbours lie in a cell follows from their distance, which a
-sample tells. Cells are visited in the order of that chance until they hold a
-neighbour with chance ``SUCCESS`` in each table; the chance at which to stop comes
-from drawing neighbours at random. Candidates of all tables are merged and ranked
-by the inner product of the original vectors.
+the chance that its neighbours lie in a cell follows from their distance, which the
+query's own nearest vectors of a sample tell. Cells are visited in the order of that
+chance until they hold a neighbour with chance ``SUCCESS`` in each table; the chance at
+which to stop comes from drawing neighbours at random. Candidates of all tables are
+merged and ranked by the inner product of the original vectors. A query whose last
+neighbour found is farther than was assumed goes on probing with the distance found,
+and one with too few visits all cells, so none has fewer neighbours than there are.
 
 Cells that agree on the first ``ROUTED`` axes are searched by one task, or by
 several where there are many vectors or queries, and a query is sent only to
@@ -37,10 +39,12 @@ from siltwork.session import write_out
 
 TABLES, AXES, ROUTED = 2, 12, 3
 WIDTH = 2.5
-SUCCESS = 0.8
-#: Vectors and queries searched at once, vectors and queries of the sample.
+SUCCESS = 0.9
+#: Vectors and queries searched at once, vectors of the sample.
 VECTORS, QUERIES = 8192, 2048
-SAMPLE, SAMPLE_QUERIES = 4000, 200
+SAMPLE = 4000
+#: A last neighbour so many times farther than assumed makes a query go on probing.
+FARTHER = 1.0
 _DRAWS = 512
 _cdf = np.vectorize(lambda z: 0.5 * (1 + erf(z / sqrt(2))), otypes=[float])
 
@@ -53,10 +57,21 @@ class Index:
     scale: float
     directions: np.ndarray  # tables x axes x (dimensions + 1)
     offsets: np.ndarray  # tables x axes
-    distance: float
+    sample: np.ndarray  # vectors, put into the unit ball
+    rank: int  # of a neighbour in the sample that is as far as a last one among all
     low: int
     buckets: int
 
+    def assumed(self, queries: np.ndarray) -> np.ndarray:
+        """How far, on the sphere, the last neighbour of each query may be."""
+        unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+        cosine = np.sort(unit @ self.sample.T, axis=1)[:, ::-1]
+        if not cosine.shape[1]:
+            return np.ones(len(queries))
+        # A query in the sample finds itself first.
+        reached = cosine[:, min(self.rank, cosine.shape[1] - 1)]
+        return np.maximum(np.sqrt(np.maximum(2 - 2 * reached, 0)), 0.05)
+
     def cells(self, table: int, vectors: np.ndarray) -> np.ndarray:
         """Bucket numbers, from 0, of vectors on each axis."""
         inside = (vectors - self.centre) / self.scale
@@ -70,20 +85,22 @@ class Index:
         unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
         return unit @ self.directions[table][:, :-1].T + self.offsets[table]
 
-    def chances(self, projected: np.ndarray) -> np.ndarray:
+    def chances(self, projected: np.ndarray, distance: np.ndarray) -> np.ndarray:
         """Log chance of each bucket of each axis (queries x axes x buckets)."""
         edges = (np.arange(self.buckets + 1) + self.low) * WIDTH
         edges[0], edges[-1] = -1e9, 1e9
-        below = _cdf((edges[None, None, :] - projected[:, :, None]) / self.distance)
+        below = _cdf((edges[None, None, :] - projected[:, :, None]) / distance[:, None, None])
         return np.log(np.maximum(np.diff(below, axis=2), 1e-12))
 
-    def limits(self, projected: np.ndarray, chances: np.ndarray, seed: int) -> np.ndarray:
+    def limits(
+        self, projected: np.ndarray, chances: np.ndarray, distance: np.ndarray, seed: int
+    ) -> np.ndarray:
         """Per query the log chance of the last cell to visit."""
-        draws = np.random.default_rng(seed).normal(0, self.distance, (_DRAWS, projected.shape[1]))
+        draws = np.random.default_rng(seed).normal(size=(_DRAWS, projected.shape[1]))
         total = np.zeros((len(projected), _DRAWS))
         for axis in range(projected.shape[1]):
-            at = np.floor((projected[:, axis, None] + draws[None, :, axis]) / WIDTH).astype(int)
-            at = np.clip(at - self.low, 0, self.buckets - 1)
+            moved = projected[:, axis, None] + distance[:, None] * draws[None, :, axis]
+            at = np.clip(np.floor(moved / WIDTH).astype(int) - self.low, 0, self.buckets - 1)
             total += np.take_along_axis(chances[:, axis, :], at, axis=1)
         return np.quantile(total, 1 - SUCCESS, axis=1)
 
@@ -109,8 +126,11 @@ def usable(rows: DataFrame, vector: str) -> DataFrame:
     bad = F.exists(
         "v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     ) | ~F.exists("v", lambda x: x != 0)
+    # Floats stay floats, which doubles hold exactly; all others become doubles.
+    held = rows.schema[vector].dataType.simpleString()
+    kind = held if held == "array<float>" else "array<double>"
     found = rows.select(
-        F.col("vec_id").cast("bigint").alias("id"), F.col(vector).cast("array<float>").alias("v")
+        F.col("vec_id").cast("bigint").alias("id"), F.col(vector).cast(kind).alias("v")
     ).where(F.col("id").isNotNull() & F.col("v").isNotNull())
     found = found.where(~F.coalesce(bad, F.lit(True)))
     sizes = found.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"))
@@ -150,7 +170,7 @@ def _moments(vectors: DataFrame, centre: np.ndarray | None) -> list:
 
 
 def fitted(vectors: DataFrame, k: int, seed: int = 11) -> Index | None:
-    """Directions, and the usual distance of a ``k``-th neighbour, from a sample."""
+    """Directions, and a sample that tells how far ``k``-th neighbours are."""
     sums = _moments(vectors, None)
     n = sum(row["n"] for row in sums)
     if not n:
@@ -165,18 +185,14 @@ def fitted(vectors: DataFrame, k: int, seed: int = 11) -> Index | None:
     rng = np.random.default_rng(seed)
     directions = rng.normal(size=(TABLES, AXES, len(centre) + 1))
     offsets = rng.uniform(0, WIDTH, (TABLES, AXES))
-    distance = 1.0
-    if len(sample) > 1:
-        queries = sample[rng.permutation(len(sample))[:SAMPLE_QUERIES]]
-        # A k-th neighbour among all is nearer by the sample's share.
-        rank = max(1, round(k * len(sample) / n))
-        unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-        cosine = np.sort(unit @ ((sample - centre) / scale).T, axis=1)[:, ::-1]
-        reached = cosine[:, min(rank, cosine.shape[1] - 1)]
-        distance = float(max(sqrt(max(2 - 2 * float(np.median(reached)), 0.0)), 0.05))
+    # A k-th neighbour among all is nearer by the sample's share.
+    rank = max(1, round(k * len(sample) / n))
+    inside = (sample - centre) / scale
     # Unit vectors project to within six standard deviations.
     low = int(np.floor(-6 / WIDTH))
-    return Index(centre, scale, directions, offsets, distance, low, int(np.ceil((6 + WIDTH) / WIDTH)) - low)
+    return Index(
+        centre, scale, directions, offsets, inside, rank, low, int(np.ceil((6 + WIDTH) / WIDTH)) - low
+    )
 
 
 def _indexed(index: Index):
@@ -203,10 +219,13 @@ def _probing(index: Index, routes: dict[int, list[int]]):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 q = _matrix(part.column("v"))
+                distance = part.column("distance").to_numpy()
+                everywhere = part.column("everywhere").to_numpy(zero_copy_only=False)
                 for t, codes in routes.items():
                     projected = index.queried(t, q)
-                    chances = index.chances(projected)
-                    limits = index.limits(projected, chances, t)
+                    chances = index.chances(projected, distance)
+                    limits = index.limits(projected, chances, distance, t)
+                    limits[everywhere] = -np.inf
                     best = chances[:, ROUTED:, :].max(axis=2).sum(axis=1)
                     for code in codes:
                         reach, rest = best.copy(), code
@@ -223,8 +242,9 @@ def _probing(index: Index, routes: dict[int, list[int]]):
                                     some.column("class"),
                                     some.column("v"),
                                     pa.array(limits[rows]),
+                                    some.column("distance"),
                                 ],
-                                names=["t", "g", "q", "v", "stop"],
+                                names=["t", "g", "q", "v", "stop", "distance"],
                             )
 
     return run
@@ -243,7 +263,7 @@ def _searched(index: Index, kept: int):
             cell_of = cell_of.ravel()
             names = right.column("q").to_numpy()
             stops = right.column("stop").to_numpy()
-            chances = index.chances(index.queried(t, q))
+            chances = index.chances(index.queried(t, q), right.column("distance").to_numpy())
             for at in range(0, len(q), 256):
                 some = slice(at, at + 256)
                 log_chance = sum(
@@ -269,35 +289,42 @@ def _searched(index: Index, kept: int):
     return run
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, vector: str = "embedding") -> DataFrame:
-    """Per row of ``queries``: its ``k`` nearest rows found (query_id, rank, vec_id, score)."""
-    spark = rows.sparkSession
-    good = write_out(usable(rows, vector), "near-usable")
-    vectors = write_out(_classes(good, k + 1), "near-vectors")
-    asked = queries.select(F.col("vec_id").cast("bigint").alias("id")).distinct()
-    asked = good.join(asked, "id", "left_semi").distinct()
-    # A query is known by the class of its vector.
-    pairs = asked.join(vectors.select("class", F.col("v").alias("w")), F.col("v") == F.col("w"))
-    pairs = write_out(pairs.select(F.col("id").alias("query_id"), "class"), "near-queries")
-    index = fitted(vectors, k)
-    if index is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+def _asking(index: Index):
+    """Queries with the distance to assume, their length and their product with the centre."""
 
-    placed = write_out(
-        vectors.select("class", "v").mapInArrow(
-            _indexed(index), "t int, g bigint, class bigint, v array<float>"
-        ),
-        "near-placed",
-    )
-    sizes = placed.groupBy("t", "g").agg(F.count("*").alias("n"))
-    # At most as many as there are combinations of buckets on the first axes.
-    routes: dict[int, list[int]] = {}
-    for row in sizes.select("t", "g").collect():
-        routes.setdefault(row["t"], []).append(row["g"])
-    distinct_queries = vectors.join(pairs.select("class").distinct(), "class", "left_semi")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                q = _matrix(part.column("v"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("class"),
+                        part.column("v"),
+                        pa.array(index.assumed(q)),
+                        pa.array(np.linalg.norm(q, axis=1)),
+                        pa.array(q @ index.centre),
+                    ],
+                    names=["class", "v", "distance", "length", "centred"],
+                )
+
+    return run
+
+
+def _found(
+    placed: DataFrame,
+    sizes: DataFrame,
+    routes: dict[int, list[int]],
+    asked: DataFrame,
+    index: Index,
+    kept: int,
+) -> DataFrame:
+    """Rows (q, class, score): candidates in the cells that each query visits."""
+    held = placed.schema["v"].dataType.simpleString()
     probes = write_out(
-        distinct_queries.select("class", "v").mapInArrow(
-            _probing(index, routes), "t int, g bigint, q bigint, v array<float>, stop double"
+        asked.select("class", "v", "distance", "everywhere").mapInArrow(
+            _probing(index, routes),
+            f"t int, g bigint, q bigint, v {held}, stop double, distance double",
         ),
         "near-probes",
     )
@@ -324,20 +351,86 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, vector: str = "emb
         "q",
         "v",
         "stop",
+        "distance",
     )
     key = ["t", "g", "part", "share"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        _searched(index, k + 1), "q bigint, class bigint, score double"
+        _searched(index, kept), "q bigint, class bigint, score double"
     )
     best = Window.partitionBy("q").orderBy(F.desc("score"), "class")
     merged = (
         found.withColumn("place", F.row_number().over(best))
         # Each table may have found the same.
-        .where(F.col("place") <= (k + 1) * TABLES)
+        .where(F.col("place") <= kept * TABLES)
         .groupBy("q", "class")
         .agg(F.max("score").alias("score"))
     )
-    merged = write_out(merged, "near-found")
+    return write_out(merged, "near-found")
+
+
+def _unsure(asked: DataFrame, merged: DataFrame, index: Index, kept: int) -> DataFrame:
+    """Queries with too few candidates, or whose last one is farther than assumed."""
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "class")
+    last = (
+        merged.withColumn("place", F.row_number().over(best))
+        .where(F.col("place") == kept)
+        .select("q", F.col("score").alias("last"))
+    )
+    cosine = (F.col("last") - F.col("centred")) / (F.col("length") * index.scale)
+    # ``greatest`` passes over NULL, which here says that there is no last candidate.
+    reached = F.when(F.col("last").isNotNull(), F.sqrt(F.greatest(2 - 2 * cosine, F.lit(0.0))))
+    rows = asked.join(last, asked["class"] == last["q"], "left").withColumn("reached", reached)
+    unsure = F.col("reached").isNull() | (F.col("reached") > FARTHER * F.col("distance"))
+    return write_out(
+        rows.where(unsure).select(
+            "class",
+            "v",
+            F.coalesce("reached", F.lit(2.0)).alias("distance"),
+            F.col("reached").isNull().alias("everywhere"),
+        ),
+        "near-unsure",
+    )
+
+
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 20, vector: str = "embedding") -> DataFrame:
+    """Per row of ``queries``: its ``k`` nearest rows found (query_id, rank, vec_id, score)."""
+    spark = rows.sparkSession
+    good = write_out(usable(rows, vector), "near-usable")
+    vectors = write_out(_classes(good, k + 1), "near-vectors")
+    asked = queries.select(F.col("vec_id").cast("bigint").alias("id")).distinct()
+    asked = good.join(asked, "id", "left_semi").distinct()
+    # A query is known by the class of its vector.
+    pairs = asked.join(vectors.select("class", F.col("v").alias("w")), F.col("v") == F.col("w"))
+    pairs = write_out(pairs.select(F.col("id").alias("query_id"), "class"), "near-queries")
+    index = fitted(vectors, k)
+    if index is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+
+    held = vectors.schema["v"].dataType.simpleString()
+    placed = write_out(
+        vectors.select("class", "v").mapInArrow(
+            _indexed(index), f"t int, g bigint, class bigint, v {held}"
+        ),
+        "near-placed",
+    )
+    sizes = placed.groupBy("t", "g").agg(F.count("*").alias("n"))
+    # At most as many as there are combinations of buckets on the first axes.
+    routes: dict[int, list[int]] = {}
+    for row in sizes.select("t", "g").collect():
+        routes.setdefault(row["t"], []).append(row["g"])
+    distinct_queries = vectors.join(pairs.select("class").distinct(), "class", "left_semi")
+    asked = write_out(
+        distinct_queries.select("class", "v").mapInArrow(
+            _asking(index), f"class bigint, v {held}, distance double, length double, centred double"
+        ),
+        "near-asked",
+    )
+    first = asked.withColumn("everywhere", F.lit(False))
+    merged = _found(placed, sizes, routes, first, index, k + 1)
+    unsure = _unsure(asked, merged, index, k + 1)
+    if not unsure.isEmpty():
+        more = _found(placed, sizes, routes, unsure, index, k + 1)
+        merged = merged.unionByName(more).groupBy("q", "class").agg(F.max("score").alias("score"))
     each = (
         merged.join(vectors.select("class", "ids"), "class")
         .select("q", "score", F.explode("ids").alias("vec_id"))

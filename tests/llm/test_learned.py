@@ -48,6 +48,29 @@ def test_neighbours_have_recall_and_exact_scores(spark):
     assert hits / total >= 0.9
 
 
+def test_neighbours_where_density_differs(spark):
+    """Tight groups beside scattered vectors, as doubles: full results, exact scores, recall."""
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(60, 64))
+    grouped = (middles[:, None, :] + 0.05 * rng.normal(size=(60, 40, 64))).reshape(-1, 64)
+    x = np.vstack([grouped, rng.normal(size=(1600, 64))])
+    rows = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>"
+    )
+    found = {}
+    for r in neighbours.nearest(rows, rows.where("vec_id % 20 = 0")).collect():
+        found.setdefault(r.query_id, {})[r.vec_id] = r.score
+    recall = {True: [], False: []}
+    for q in range(0, len(x), 20):
+        scores = x @ x[q]
+        assert len(found[q]) == 20
+        assert all(abs(score - scores[i]) < 1e-9 for i, score in found[q].items())
+        scores[q] = -np.inf
+        best = set(np.argsort(-scores)[:20].tolist())
+        recall[q < len(grouped)].append(len(best & set(found[q])) / 20)
+    assert min(np.mean(r) for r in recall.values()) >= 0.95
+
+
 def test_neighbours_of_odd_vectors(spark):
     good = [(i, [float(i % 3), 1.0]) for i in range(30)]
     bad = [(40, None), (60, [0.0, 0.0]), (80, [math.nan, 1.0]), (100, [math.inf, 1.0]),
