@@ -25,7 +25,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -251,13 +250,14 @@ def _may_lose(repeated: DataFrame, bits: int) -> Column:
     """Whether some of a document's suspected lines is repeated often enough."""
     shared = repeated.sparkSession.sparkContext.broadcast(_confirmed(repeated, bits).tobytes())
 
-    @F.pandas_udf("boolean")
-    def some(suspects: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def some(suspects: pa.Array) -> pa.Array:
         known = np.frombuffer(shared.value, dtype=np.uint8)
-        hashes = np.array([_digest_hash(d) for s in suspects for d in s], dtype=np.uint64)
+        digests = suspects.to_pylist()
+        hashes = np.array([_digest_hash(d) for s in digests for d in s], dtype=np.uint64)
         hit = has(known, places(hashes, bits)[:, 0])
-        ends = np.cumsum([0, *(len(s) for s in suspects)])
-        return pd.Series([bool(hit[a:b].any()) for a, b in zip(ends, ends[1:])])
+        ends = np.cumsum([0, *(len(s) for s in digests)])
+        return pa.array([bool(hit[a:b].any()) for a, b in zip(ends, ends[1:])], pa.bool_())
 
     return some("suspects")
 
