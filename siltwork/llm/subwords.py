@@ -14,7 +14,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-MOST_BYTES = 96_000_000
+MOST_BYTES = 160_000_000
 #: What a word takes besides its letters and ids: two byte strings and a place in a table.
 _ENTRY = 190
 _MARKS = ".,;:!?"
