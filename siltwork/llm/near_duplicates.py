@@ -452,20 +452,28 @@ def grouped(
         lists.groupBy("v")
         .agg(F.min(F.struct("own", "node", "n")).alias("head"), F.count(F.lit(1)).alias("members"))
         .where("members > 1")
-        .select("v", F.col("head.node").alias("a"), F.col("head.n").alias("na")),
+        .select(
+            "v",
+            F.col("head.node").alias("a"),
+            F.col("head.n").alias("na"),
+            (F.col("members") > 2).alias("others"),
+        ),
         "near-heads",
     )
+    # Who is alone with a head has no other member to be compared with.
     members = write_out(
         lists.join(heads, "v")
         .where(F.col("a") != F.col("node"))
-        .select("a", "na", "node", "n")
-        .distinct(),
+        .where(_similar_sizes(F.col("na"), F.col("n"), threshold) | F.col("others"))
+        .groupBy("a", "na", "node", "n")
+        .agg(F.max("others").alias("others")),
         "near-members",
     )
     stars = members.where(_similar_sizes(F.col("na"), F.col("n"), threshold))
     stars = stars.select("a", F.col("node").alias("b"))
     links = _confirmed(_likely(stars, nodes, k, threshold), documents, size, threshold)
     found = write_out(components(links), "near-components")
+    members = members.where("others").select("a", "node", "n")
     more = _among_members(members, found, nodes, documents, size, threshold, k)
     found = write_out(components(links.unionByName(more)), "near-components")
 
