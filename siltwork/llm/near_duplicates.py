@@ -137,15 +137,15 @@ def _listed(nodes: DataFrame, k: int, threshold: float) -> DataFrame:
 
     ``own`` is how many values of the sketch no other has.
     """
-    values = nodes.select("node", "n", F.explode("sketch").alias("v"))
+    values = nodes.select("node", F.explode("sketch").alias("v"))
     shared = write_out(
         values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-shared"
     )
-    kept = nodes.select("node", F.size("sketch").alias("size"))
+    kept = nodes.select("node", "n", F.size("sketch").alias("size"))
     found = (
         values.join(shared, "v")
         .groupBy("node")
-        .agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "v"))).alias("by"))
+        .agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("by"))
         .join(kept, "node")
     )
     whole = F.array(*[F.lit(listed_of_whole(n, k, threshold)) for n in range(1, k + 1)])
