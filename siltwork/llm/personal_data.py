@@ -311,11 +311,14 @@ def _examples(spans: DataFrame) -> DataFrame:
             for x, label in ((loose, 1.0), (broken, 0.0), (short, 0.0))
         ],
     )
-    rows = spans.select("kind", "before", "after", F.explode(made).alias("x"))
+    # A value and all forms made of it, or written otherwise, share a fold.
+    value = F.regexp_replace(F.lower("s"), "[^a-z0-9]+", "")
+    fold = F.pmod(F.xxhash64(value), F.lit(4)).alias("fold")
+    rows = spans.select("kind", "before", "after", fold, F.explode(made).alias("x"))
     return rows.where(F.col("x.s").isNotNull()).select(
         "kind",
         "x.label",
-        F.pmod(F.xxhash64("x.s"), F.lit(4)).alias("fold"),
+        "fold",
         features(F.col("kind"), F.col("x.s"), F.col("before"), F.col("after")).alias("features"),
     )
 
