@@ -10,8 +10,10 @@ text and ``weight`` is its quality, and documents are taken in that order until
 the prefix sum of their words meets the rest. The document at the edge is taken
 if that comes nearer. Draws depend on nothing but the row, so reruns agree.
 
-The order is not sorted as a whole: draws fall into fixed ranges whose sums are
-added up per source, and only the range at the edge is sorted.
+The order is not sorted as a whole: draws fall into ranges whose sums are added up
+per source, and only the range at the edge is sorted. Ranges are even in the draw's
+logarithm: of draws ``-ln(u) / weight`` at most ``1 / (e * RANGES)`` are expected in
+one, whatever the weights, so no source gathers in a range.
 
 Null and empty texts have no words and draw last; null ids and sources count as
 values. Rows that agree in id and text are taken together. Columns named like
@@ -28,7 +30,9 @@ from siltwork.session import write_out
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-RANGES = 4096
+#: Ranges of draws that lie between one and ``e`` times as much.
+RANGES = 1024
+_AFTER_ALL = 2**31 - 1
 _DRAW = ("__size", "__key", "__ticket", "__range")
 
 
@@ -53,8 +57,7 @@ def drawn(docs: DataFrame, text: str = "text", seed: int = 17) -> DataFrame:
         "__ticket", ticket
     )
     rows = rows.withColumn("__key", -F.log(uniform) / quality(text))
-    place = F.floor(F.lit(float(RANGES)) * (F.lit(1.0) - F.exp(-F.col("__key"))))
-    return rows.withColumn("__range", F.least(place, F.lit(RANGES - 1)).cast("int"))
+    return rows.withColumn("__range", F.floor(RANGES * F.log("__key")).cast("int"))
 
 
 def targets(sizes: DataFrame, source: str = "source") -> DataFrame:
@@ -137,7 +140,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", seed: int
     """``docs`` with size, source_size, target and how often a row is taken (copies)."""
     rows = drawn(docs.drop("size", "source_size", "target", "copies"), text, seed)
     found = _join(rows, cuts(rows, source), source)
-    before_edge = F.col("__range") < F.coalesce(F.col("__edge"), F.lit(RANGES))
+    before_edge = F.col("__range") < F.coalesce(F.col("__edge"), F.lit(_AFTER_ALL))
     by_draw = before_edge | F.coalesce(
         (F.col("__range") == F.col("__edge"))
         & (F.struct("__key", "__ticket") <= F.col("__cut")),
