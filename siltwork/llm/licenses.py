@@ -131,6 +131,25 @@ LICENSES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 )
 
+# Canonical digests of whole public licence texts as their publishers
+# spread them, with preamble and appendix.
+DIGESTS: tuple[tuple[str, str], ...] = (
+    ("Apache-2.0", "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("BSD-3-Clause", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "5379e6f33e826ba185b23fd11a414555c2161fda481478babd1e73a3ae098a71"),
+    ("GFDL-1.3", "93d6108daecdddc5f284cf8f2512fb0d72f6e9ee12381feb9704ba194b00c3e6"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
+)
+
 # Spellings that count as equal, each with the one that is kept.
 SPELLINGS: tuple[tuple[str, str], ...] = (
     ("acknowledgement", "acknowledgment"),
@@ -205,12 +224,16 @@ def digest(line: Column) -> Column:
 
 
 def known(spark: SparkSession) -> DataFrame:
-    """Digests of ``LICENSES`` with their licence; as many rows as there are texts."""
+    """Digests of ``LICENSES`` and ``DIGESTS`` with their licence, a row for each."""
     listed = F.array(
         *[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in LICENSES]
     )
     rows = spark.range(1).select(F.inline(listed))
-    return rows.select("license", digest(one_line(canonical("text"))).alias("digest")).distinct()
+    rows = rows.select("license", digest(one_line(canonical("text"))).alias("digest"))
+    whole_texts = F.array(
+        *[F.struct(F.lit(name).alias("license"), F.lit(d).alias("digest")) for name, d in DIGESTS]
+    )
+    return rows.unionByName(spark.range(1).select(F.inline(whole_texts))).distinct()
 
 
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -220,7 +243,7 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     the licences named by lines that are known notices, sorted, comma-joined.
     """
     table = known(docs.sparkSession)
-    # As many entries as LICENSES has, so they are constants of the plan.
+    # As many entries as are listed above, so they are constants of the plan.
     entries = [(F.lit(row["digest"]), F.lit(row["license"])) for row in table.collect()]
     notices = F.create_map(*[column for entry in entries for column in entry])
     digests = F.array(*[key for key, _ in entries])

@@ -23,12 +23,15 @@ def _canonical(text: str) -> str:
 
 
 _LISTED = ",\n".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licenses.LICENSES)
+_DIGESTS = ",\n".join(f"({_quoted(name)}, {_quoted(digest)})" for name, digest in licenses.DIGESTS)
 SQL = f"""
 with listed(license, text) as (values {_LISTED}),
 known as (
   select distinct license,
          sha256(trim(regexp_replace({_canonical("text")}, '[ \\n]+', ' ', 'g'))) as digest
   from listed
+  union
+  select * from (values {_DIGESTS})
 ), d as (
   select row_number() over () as r, doc_id, {_canonical("coalesce(text, '')")} as plain
   from documents
