@@ -4,7 +4,8 @@ Words become symbols: insult, threat, target, negation, reported speech, other.
 Small transducers rewrite a clause's symbols one after the other: negation takes
 back what follows it closely, reporting verbs turn what follows into quoted
 speech, and a target beside an insult or threat makes it directed. They are
-composed into one machine. What it puts out for whole clauses, not single words,
+composed into one machine; a second one reads its output backwards, for targets
+that come after. What they put out for whole clauses, not single words,
 is counted and weighed.
 
 Insults are stems. Beside a few fixed ones, stems are learned: word beginnings
@@ -110,6 +111,7 @@ class Scorer:
         self.fixed, self.stems, self.heads, self.lengths = lexicon.parts()
         self.machine = grammar()
         self.start = "0|0|0"
+        self.back = window_machine(TARGET, 4, {INSULT: "i", THREAT: "t"})
 
     def _stem(self, word: str) -> float:
         if word[:_SHORTEST] in self.heads:
@@ -129,13 +131,17 @@ class Scorer:
                 tokens = _WORD.findall(clause)
                 if heavy.keys().isdisjoint(tokens) and set(tokens).isdisjoint(THREATS):
                     continue
-                state, seen = self.start, set()
+                state, outs, seen = self.start, [], set()
                 for token in tokens:
                     symbol = INSULT if token in heavy else self.fixed.get(token, OTHER)
                     state, out = self.machine[state, symbol]
-                    seen.add(out)
+                    outs.append(out)
                     if out in "Ii":
                         found[-1] += heavy[token]
+                state = "0"
+                for out in reversed(outs):
+                    state, out = self.back[state, out]
+                    seen.add(out)
                 for at, out in enumerate(OUTPUTS):
                     found[at] += out in seen
         return np.log1p(found)
@@ -155,24 +161,39 @@ class Model:
 UNFITTED = (1.5, 1.5, 2.5, 3.0, 0.2, 0.1, 0.5)
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, most_texts: int) -> DataFrame:
-    """Rows (text, toxic) of about ``most_texts`` labelled documents, equal texts once."""
+def shares(counts: dict[int, int], most: int) -> dict[int, float]:
+    """Share of each label's documents to take: half of ``most``, or what the other leaves."""
+    found = {}
+    for label in (0, 1):
+        own, other = counts.get(label, 0), counts.get(1 - label, 0)
+        found[label] = min(1.0, max(most / 2, most - other) / max(own, 1))
+    return found
+
+
+def _labelled(
+    docs: DataFrame, labels: DataFrame, most_texts: int
+) -> tuple[DataFrame, dict[int, float]]:
+    """Rows (text, toxic) of about ``most_texts`` labelled documents, equal texts once.
+
+    Also the share that was taken of each label.
+    """
     rows = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.where(fold("doc_id", _FOLDS) != _HELD_OUT)
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = write_out(rows, "toxic-labels")
-    n = rows.count()
-    some = rows.where(share_of("doc_id", 9) < F.lit(min(1.0, most_texts / max(n, 1))))
-    texts = docs.select("doc_id", "text").where(
-        share_of("doc_id", 9) < F.lit(min(1.0, most_texts / max(n, 1)))
-    )
+    counts = rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()
+    taken = shares({row["toxic"]: row["n"] for row in counts}, most_texts)
+    share = F.when(F.col("toxic") == 1, taken[1]).otherwise(taken[0])
+    some = rows.where(share_of("doc_id", 9) < share)
+    texts = docs.select("doc_id", "text").where(share_of("doc_id", 9) < max(taken.values()))
     found = texts.join(F.broadcast(write_out(some, "toxic-sample")), "doc_id")
-    return write_out(
+    texts = write_out(
         found.groupBy(F.md5(whole("text")).alias("__digest")).agg(
             F.max("toxic").alias("toxic"), F.first("text").alias("text")
         ),
         "toxic-texts",
     )
+    return texts, taken
 
 
 def learned_stems(texts: DataFrame, most: int = MOST_STEMS) -> dict[str, float]:
@@ -237,8 +258,11 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[tuple
 
 
 def fitted(docs: DataFrame, labels: DataFrame, most_texts: int = MOST_TEXTS) -> Model:
-    """A model from labelled documents that are not held out."""
-    texts = _labelled(docs, labels, most_texts)
+    """A model from labelled documents that are not held out.
+
+    Labels are sampled apart; the bias gives back how common each is.
+    """
+    texts, taken = _labelled(docs, labels, most_texts)
     stems = dict.fromkeys(INSULTS, 3.0) | learned_stems(texts)
     lexicon = Lexicon(stems)
     rows = texts.select("toxic", "text").mapInArrow(
@@ -250,7 +274,8 @@ def fitted(docs: DataFrame, labels: DataFrame, most_texts: int = MOST_TEXTS) ->
     grouped.sort(key=lambda row: (row["counts"], row["toxic"]))
     x = np.repeat([row["counts"] for row in grouped], [row["n"] for row in grouped], axis=0)
     y = np.repeat([row["toxic"] for row in grouped], [row["n"] for row in grouped])
-    return Model(lexicon, *logistic(x, y))
+    weights, bias = logistic(x, y)
+    return Model(lexicon, weights, bias + float(np.log(taken[0] / taken[1])))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
