@@ -139,6 +139,22 @@ def test_toxicity_of_documents_not_learned_from(spark):
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
 
 
+def test_a_target_directs_what_stands_on_either_side_of_it():
+    scorer = toxicity.Scorer(toxicity.Lexicon(dict.fromkeys(toxicity.INSULTS, 1.0)))
+    directed = toxicity.OUTPUTS.index("I"), toxicity.OUTPUTS.index("i")
+    for text in ("you stupid", "stupid you", "an idiot, you idiot"):
+        assert scorer.counts(text)[directed[1]] > 0
+    assert scorer.counts("a stupid stone")[directed[1]] == 0
+    assert scorer.counts("he said you are stupid")[directed[1]] == 0
+
+
+def test_labels_are_sampled_apart():
+    assert toxicity.shares({0: 900, 1: 50}, 1000) == {0: 1.0, 1: 1.0}
+    few = toxicity.shares({0: 10**9, 1: 500}, 1000)
+    assert few[1] == 1.0 and few[0] == 500 / 10**9
+    assert toxicity.shares({0: 100}, 1000) == {0: 1.0, 1: 1.0}
+
+
 def test_toxicity_of_odd_documents_without_labels(spark, tmp_path):
     labels = spark.createDataFrame([(1, 0, None), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     folder = stored(spark, tmp_path, documents=odd_docs(spark), labels=labels)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,34 @@ def test_license_is_found_in_any_usual_writing(spark):
     assert got[4].notices == "MIT"
 
 
+def test_whole_texts_of_long_licenses_are_known(spark):
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    rows = [(n, (folder / n).read_text("utf-8")) for n in names if (folder / n).exists()]
+    rows = [(n, text.upper().replace("\n", "\r\n ")) for n, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: r.license for r in licenses.scanned(docs).collect()}
+    assert got == {n: names[n] for n, _ in rows}
+
+
+def test_draws_of_low_quality_do_not_gather_in_a_range(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("12 34 56").alias("text"))
+    ranges = mixing.drawn(rows).groupBy("__range").count()
+    assert ranges.agg(F.max("count")).first()[0] <= 40
+
+
+def test_forms_made_of_a_value_share_its_fold(spark):
+    value = F.struct(
+        F.lit(personal_data.KINDS.index("card")).alias("kind"),
+        F.lit("4111 1111 1111 1111").alias("s"),
+        F.lit("card ").alias("before"),
+        F.lit("").alias("after"),
+        F.lit(True).alias("sure"),
+    )
+    rows = personal_data._examples(spark.range(1).select(value.alias("x")).select("x.*"))
+    assert rows.count() == 4 and rows.select("fold").distinct().count() == 1
+
+
 FORMS = (
     (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
     (
