@@ -297,6 +297,113 @@ def test_classes_hold_every_id_and_sum_to_one():
         assert np.exp(within[class_of == c]).sum() == pytest.approx(1.0)
 
 
+def one_by_one(model, words, begun, spelled_share, discount):
+    """Log chance of each word of a text, from the naive model, one after the other."""
+    classes = [int(model.class_of[i]) for ids, _ in words for i in ids]
+    chances = iter(naive(model.attention, classes))
+    out = []
+    for ids, count in words:
+        each = [next(chances) for _ in ids]
+        first = int(model.class_of[ids[0]])
+        share = (1 - spelled_share) * max(count - discount, 0) / max(begun[first], 1)
+        rest = sum(each[1:]) + sum(float(model.within[i]) for i in ids)
+        out.append(each[0] + math.log(share + math.exp(model.left[first] + rest)))
+    return out
+
+
+def test_words_scored_as_one_by_one():
+    rng = np.random.default_rng(8)
+    size, classes = 90, language_model.CLASSES
+    class_of = rng.integers(0, classes, size).astype(np.uint8)
+    within = np.log(rng.random(size)).astype(np.float32)
+    begun = rng.integers(0, 40, classes)
+    left = np.log(rng.uniform(0.02, 0.9, classes))
+    model = attention.Attention.new(classes)
+    found = language_model.Model(class_of, within, begun, left, model.tables())
+    texts = [
+        [(rng.integers(0, size, rng.integers(1, 5)), int(rng.integers(0, 30))) for _ in range(n)]
+        for n in (1, 9, 40)
+    ]
+    given = [
+        (
+            np.concatenate([ids for ids, _ in words]),
+            np.array([len(ids) for ids, _ in words]),
+            np.array([count for _, count in words]),
+        )
+        for words in texts
+    ]
+    object.__setattr__(found, "attention", model)
+    share, less = language_model.SPELLED, language_model.DISCOUNT
+    expected = [x for words in texts for x in one_by_one(found, words, begun, share, less)]
+    assert found.words(given) == pytest.approx(expected, abs=1e-3)
+
+
+def test_chances_of_all_words_sum_to_one_at_most():
+    """All words of one id, known or not, after the same context."""
+    rng = np.random.default_rng(9)
+    size, classes = 300, language_model.CLASSES
+    counts = rng.integers(0, 6, size).astype(float)
+    class_of, within = language_model.classes_of(
+        counts, rng.integers(0, language_model.TOPICS + 1, size), rng.integers(0, 2, size)
+    )
+    begun = np.bincount(class_of, counts, classes)
+    words = np.bincount(class_of, counts > 0, classes)
+    free = np.where(begun > 0, language_model.DISCOUNT * words / np.maximum(begun, 1), 1.0)
+    left = np.log(language_model.SPELLED + (1 - language_model.SPELLED) * free)
+    model = language_model.Model(
+        class_of, within, begun, left, attention.Attention.new(classes).tables()
+    )
+    before = rng.integers(0, size, 20)
+    ones = np.ones(21, dtype=np.int64)
+    chances = [
+        math.exp(model.words([(np.append(before, i), ones, np.append(counts[before], counts[i]))])[-1])
+        for i in range(size)
+    ]
+    used = np.unique(class_of)
+    x, _ = attention.windows(class_of[np.append(before, 0)].astype(np.int64), classes, classes + 1)
+    possible = 0.0
+    for c in used:
+        y = np.full((len(x), attention.SCORED), -1)
+        y[-1, 20 % attention.SCORED] = c
+        possible += math.exp(model.scorer.log_chances(x, y).sum())
+    assert sum(chances) == pytest.approx(possible, rel=1e-3)
+
+
+def test_parameters_in_one_row_and_back():
+    model = attention.Attention.new(6)
+    again = attention.Attention.new(6, seed=1).with_flat(model.flat())
+    for name, values in model.p.items():
+        assert np.array_equal(values, again.p[name])
+
+
+def test_held_out_words_are_likelier_than_by_counts(spark):
+    rows = RUN["op6_language_model"](spark, "/root/testdata/sf0.01").where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_what_is_learned_grows_with_the_corpus(spark):
+    texts = spark.range(30_000).selectExpr(
+        "id AS chunk", "0 AS row", "id AS doc_id", "id % 7 = 0 AS held_out",
+        "concat('some words of text ', id) AS text",
+    )
+    few = language_model.sampled(texts.where("doc_id < 300"), language_model.TOKENIZER).count()
+    many = language_model.sampled(texts, language_model.TOKENIZER).count()
+    assert few == 257
+    assert many == pytest.approx(30_000 * 6 / 7 / language_model.ONE_IN, rel=0.1)
+
+
+def test_parts_learn_what_ids_go_together(spark):
+    """Two kinds of texts, in several parts: their ids get different topics."""
+    rng = np.random.default_rng(5)
+    size = 60
+    kinds = [rng.integers(0, 30, 40) + 30 * (i % 2) for i in range(300)]
+    rows = [(i % 3, bytearray(ids.astype("<u2").tobytes())) for i, ids in enumerate(kinds)]
+    sample = spark.createDataFrame(rows, "part long, ids binary")
+    counts = np.bincount(np.concatenate(kinds), minlength=size).astype(float)
+    topic = language_model.topics(sample, counts)
+    assert not set(topic[:30]) & set(topic[30:])
+
+
 def test_subword_ids_equal_the_tokenizers(spark):
     from siltwork.llm.subwords import subwords
     from tests.llm.rows import odd_rows
