@@ -3,10 +3,11 @@
 Words become symbols: insult, threat, target, negation, reported speech, other.
 Small transducers rewrite a clause's symbols one after the other: negation takes
 back what follows it closely, reporting verbs turn what follows into quoted
-speech, and a target beside an insult or threat makes it directed. They are
-composed into one machine; a second one reads its output backwards, for targets
-that come after. What they put out for whole clauses, not single words,
-is counted and weighed.
+speech, and a target before an insult or threat makes it directed. They are
+composed into one machine; a second one reads its output backwards, as a target
+after an insult directs it too. A threat mostly names its target after it, so there
+that tells nothing. What they put out for whole clauses, not single words, is
+counted and weighed.
 
 Insults are stems. Beside a few fixed ones, stems are learned: word beginnings
 that occur in many toxic texts and hardly in others, counted over at most about
@@ -111,7 +112,7 @@ class Scorer:
         self.fixed, self.stems, self.heads, self.lengths = lexicon.parts()
         self.machine = grammar()
         self.start = "0|0|0"
-        self.back = window_machine(TARGET, 4, {INSULT: "i", THREAT: "t"})
+        self.back = window_machine(TARGET, 4, {INSULT: "i"})
 
     def _stem(self, word: str) -> float:
         if word[:_SHORTEST] in self.heads:
