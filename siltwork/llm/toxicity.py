@@ -64,7 +64,7 @@ Machine = dict[tuple[str, str], tuple[str, str]]
 
 def window_machine(opens: str, length: int, rewrites: dict[str, str]) -> Machine:
     """Rewrites symbols within ``length`` words after one of ``opens``."""
-    symbols = {*"ITPNROqn", *rewrites.values()}
+    symbols = {*"ITPNRO", *OUTPUTS}
     made: Machine = {}
     for left in range(length + 1):
         for symbol in symbols:

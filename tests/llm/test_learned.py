@@ -4,12 +4,14 @@ import math
 import os
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
 
 from siltwork.llm import attention, language, language_model, neighbours, toxicity
 from siltwork.llm.queries import RUN
+from siltwork.llm.subwords import subwords
 from tests.llm.rows import odd_docs, stored
 
 SF = "/root/testdata/sf0.01"
@@ -376,9 +378,39 @@ def test_parameters_in_one_row_and_back():
         assert np.array_equal(values, again.p[name])
 
 
-def test_held_out_words_are_likelier_than_by_counts(spark):
-    rows = RUN["op6_language_model"](spark, "/root/testdata/sf0.01").where("held_out").collect()
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+def test_attention_makes_held_out_words_likelier(spark):
+    """Against the same words with classes by their share alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 3000").collect()
+    encoder = subwords()
+    end = np.array([encoder.size - 1])
+    split = {False: [], True: []}
+    for row in docs:
+        split[held(row.doc_id, 7)].append([*(row.text or "").lower().split(), None])
+    counted = Counter(w for words in split[False] for w in words)
+    ids = {w: end if w is None else encoder.ids([w])[0] for words in sum(split.values(), []) for w in words}
+    sums = np.zeros((3, encoder.size + 1))
+    for word, n in counted.items():
+        np.add.at(sums[0], ids[word], n)
+        sums[1:, ids[word][0]] += n, 1
+    rows = [(0, bytearray(np.concatenate([ids[w] for w in t]).astype("<u2").tobytes())) for t in split[False]]
+    sample = spark.createDataFrame(rows, "part long, ids binary")
+    model = language_model.trained(sample, language_model.Counted(*sums), language_model.TOKENIZER)
+    share = np.bincount(model.class_of, sums[0, :-1] + 1.0, language_model.CLASSES)
+    alone = replace(
+        model.scorer, out=np.zeros_like(model.scorer.out),
+        bias=np.log(np.maximum(share, 1e-9) / share.sum()).astype(np.float32),
+    )
+    texts = [
+        (
+            np.concatenate([ids[w] for w in t]).astype(np.int64),
+            np.array([len(ids[w]) for w in t]),
+            np.array([counted[w] for w in t]),
+        )
+        for t in split[True][:150]
+    ]
+    by_attention = model.words(texts).mean() / math.log(10)
+    by_counts = replace(model, scorer=alone).words(texts).mean() / math.log(10)
+    assert by_attention > by_counts + 0.1, (by_attention, by_counts)
 
 
 def test_what_is_learned_grows_with_the_corpus(spark):
@@ -405,7 +437,6 @@ def test_parts_learn_what_ids_go_together(spark):
 
 
 def test_subword_ids_equal_the_tokenizers(spark):
-    from siltwork.llm.subwords import subwords
     from tests.llm.rows import odd_rows
 
     assert os.path.exists(language_model.TOKENIZER)
