@@ -7,6 +7,10 @@ in a process, its own bookkeeping included, after which it starts anew.
 
 from __future__ import annotations
 
+import codecs
+import string
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,12 +21,13 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 MOST_BYTES = 160_000_000
 #: What a word takes besides its letters and ids: two byte strings and a place in a table.
 _ENTRY = 190
-_MARKS = ".,;:!?"
+_MARKS = string.punctuation
 _AFTER_LATIN = "\u0250"
 # Byte-level tokens write a byte as the Latin-1 character of its number where that
 # is printable, and the others, in order, as the characters from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_SPELLED = "".join(chr(b if b in _PRINTABLE else 256 + _OTHERS.index(b)) for b in range(256))
 
 
 class _Known(dict):
@@ -44,6 +49,23 @@ class _Known(dict):
         return ids
 
 
+def _packed(ids: list[int]) -> bytes:
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
+
+
+def _folded(text: bytes) -> bytes:
+    """``text`` with A-Z in lower case, where that cannot change its ids.
+
+    The normalizer composes marks before it lower-cases, and some letters, as j with a
+    caron, are composed in lower case only; marks from U+0300 on begin with this byte.
+    The tokenizer's own tokens, as ``<|endoftext|>``, are looked for before that.
+    """
+    return text if b"\xcc" in text or b"<|" in text else text.lower()
+
+
 class Subwords:
     """Ids of texts by the tokenizer in the file at ``path``, as little-endian uint32."""
 
@@ -64,20 +86,22 @@ class Subwords:
         return found
 
     def _alone(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
         """Ids of a word of Latin letters, which its normalizer only lower-cases."""
-        spelled = word.lower().encode().decode("latin-1").translate(_BYTES)
-        ids = [token.id for token in self._model.tokenize(spelled)]
-        return np.array(ids, dtype="<u4").tobytes()
+        spelled = word.lower()
+        if not spelled.isascii():
+            spelled = codecs.charmap_decode(spelled.encode(), "strict", _SPELLED)[0]
+        return _packed([token.id for token in self._model.tokenize(spelled)])
 
     def _ids(self, word: bytes) -> bytes:
-        """Ids of one word; letters and the marks after them never share a token."""
+        """Ids of one word; letters and the ASCII marks after them never share a token."""
         text = word.decode()
         core = text.rstrip(_MARKS)
-        if not (core.isalpha() and max(core) < _AFTER_LATIN and "\u0130" not in core):
+        if not core.isalpha():
+            return self._alone(text)
+        if not core.isascii() and (max(core) >= _AFTER_LATIN or "\u0130" in core):
             return self._alone(text)
         marks = text[len(core) :]
         return self._plain[core] + self._marks[marks] if marks else self._plain[core]
@@ -85,7 +109,7 @@ class Subwords:
     def words(self, texts: list[str | None]) -> list[list[bytes]]:
         """Per text, the ids of its words; None counts as empty."""
         of = self._known.__getitem__
-        return [list(map(of, (text or "").encode("utf-8", "replace").split())) for text in texts]
+        return [list(map(of, _folded((text or "").encode("utf-8", "replace")).split())) for text in texts]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Per text, its ids."""

@@ -11,7 +11,7 @@ import pytest
 
 from siltwork.llm import attention, language, language_model, neighbours, toxicity
 from siltwork.llm.queries import RUN
-from siltwork.llm.subwords import subwords
+from siltwork.llm.subwords import Subwords, subwords
 from tests.llm.rows import odd_docs, stored
 
 SF = "/root/testdata/sf0.01"
@@ -448,3 +448,20 @@ def test_subword_ids_equal_the_tokenizers(spark):
     for text, ids in zip(texts, encoder.ids(texts)):
         plain = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
         assert ids.tolist() == plain
+
+
+def test_cases_and_marks_of_a_word_are_encoded_once():
+    encoder = Subwords()
+    encoder.ids(["Stone stONE stone stone### Stone*** (not) STONE_"])
+    assert list(encoder._plain) == ["stone"]
+
+
+def test_ids_where_case_and_composed_marks_meet():
+    texts = [
+        "J\u030c \u01f0 H\u0331 T\u0308 W\u030a Y\u030a I\u0307 A\u030a J\u0323\u030c",
+        "ABC<|ENDOFTEXT|> x<|endoftext|>Y <|StartOfText|>",
+        "Don'T WE'VE 'S it's### X're' ABC's'S \u00e9''s \u00c9!!! a#\u0338 A=\u0338",
+    ]
+    encoder = Subwords()
+    for text, ids in zip(texts, encoder.ids(texts)):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
