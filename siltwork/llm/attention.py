@@ -35,6 +35,12 @@ def windows(classes: np.ndarray, start: int, pad: int) -> tuple[np.ndarray, np.n
     return inputs[places], targets.reshape(n, SCORED)
 
 
+def _lowered(rows: np.ndarray) -> None:
+    """Take off the largest of each row in place, if any is too large for its power of e."""
+    if rows.max(initial=0) > 60:
+        rows -= rows.max(axis=-1, keepdims=True)
+
+
 @dataclass
 class Attention:
     """Parameters; ``classes`` predicted ones, then one that starts a text and padding."""
@@ -64,52 +70,65 @@ class Attention:
             },
         )
 
-    def _forward(self, inputs: np.ndarray):
-        p = self.p
-        x = p["embed"][inputs]
-        xq = x[:, BEFORE:] + p["place_q"]
-        xk = x + p["place_k"]
-        q, k, v = xq @ p["q"], xk @ p["k"], x @ p["v"]
-        scores = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH)) + MASK
-        scores += np.where(inputs == self.classes + 1, _LOWEST, 0).astype(np.float32)[:, None, :]
-        weights = np.exp(scores - scores.max(axis=2, keepdims=True))
-        weights /= weights.sum(axis=2, keepdims=True)
-        hidden = np.tanh(weights @ v + xq @ p["own"])
-        logits = hidden @ p["out"] + p["bias"]
-        return x, xq, xk, q, k, v, weights, hidden, logits
-
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss, in nats, and the slope of each parameter."""
-        p = self.p
-        x, xq, xk, q, k, v, weights, hidden, logits = self._forward(inputs)
-        chance = np.exp(logits - logits.max(axis=2, keepdims=True))
-        chance /= chance.sum(axis=2, keepdims=True)
-        real = targets >= 0
-        n = max(int(real.sum()), 1)
-        safe = np.where(real, targets, 0)
-        picked = np.take_along_axis(chance, safe[:, :, None], axis=2)[:, :, 0]
-        loss = float(-(np.log(picked + 1e-12) * real).sum() / n)
-        dlogits = chance.copy()
-        np.put_along_axis(dlogits, safe[:, :, None], picked[:, :, None] - 1, axis=2)
-        dlogits *= (real / np.float32(n))[:, :, None]
-        g = {"out": np.einsum("bik,bic->kc", hidden, dlogits), "bias": dlogits.sum(axis=(0, 1))}
-        dsum = (dlogits @ p["out"].T) * (1 - hidden**2)
-        dweights = dsum @ v.transpose(0, 2, 1)
-        dv = weights.transpose(0, 2, 1) @ dsum
-        dscores = weights * (dweights - (dweights * weights).sum(axis=2, keepdims=True))
-        dscores /= np.float32(np.sqrt(WIDTH))
-        dq, dk = dscores @ k, dscores.transpose(0, 2, 1) @ q
-        g["own"] = np.einsum("bik,bij->kj", xq, dsum)
-        g["q"] = np.einsum("bik,bij->kj", xq, dq)
-        g["k"] = np.einsum("bik,bij->kj", xk, dk)
-        g["v"] = np.einsum("bik,bij->kj", x, dv)
-        dxq = dq @ p["q"].T + dsum @ p["own"].T
-        dxk = dk @ p["k"].T
-        dx = dv @ p["v"].T + dxk
-        dx[:, BEFORE:] += dxq
+        p, b, kind = self.p, len(inputs), self.p["embed"].dtype
+        root = kind.type(np.sqrt(WIDTH))
+
+        def flat(rows: np.ndarray) -> np.ndarray:
+            return rows.reshape(-1, rows.shape[-1])
+
+        # Products with one matrix are taken over all windows at once.
+        x = p["embed"][inputs]
+        xq = flat(x[:, BEFORE:] + p["place_q"])
+        xk = flat(x + p["place_k"])
+        q = (xq @ p["q"] / root).reshape(b, SCORED, WIDTH)
+        k = (xk @ p["k"]).reshape(b, WINDOW, WIDTH)
+        v = (flat(x) @ p["v"]).reshape(b, WINDOW, WIDTH)
+        weights = q @ k.transpose(0, 2, 1)
+        weights += MASK
+        padded = np.flatnonzero(inputs[:, 0] == self.classes + 1)
+        if len(padded):
+            hidden_places = inputs[padded] == self.classes + 1
+            weights[padded] += np.where(hidden_places, _LOWEST, 0).astype(kind)[:, None, :]
+        _lowered(weights)
+        np.exp(weights, out=weights)
+        weights /= (weights @ np.ones(WINDOW, kind))[:, :, None]
+        hidden = np.tanh(flat(weights @ v) + xq @ p["own"])
+        chance = hidden @ p["out"] + p["bias"]
+        _lowered(chance)
+        np.exp(chance, out=chance)
+        chance /= (chance @ np.ones(self.classes, kind))[:, None]
+
+        wanted = targets.ravel()
+        real = np.flatnonzero(wanted >= 0)
+        n = max(len(real), 1)
+        picked = chance[real, wanted[real]]
+        loss = float(-np.log(picked + 1e-12).sum() / n)
+        chance[real, wanted[real]] = picked - 1
+        chance[wanted < 0] = 0
+        chance /= kind.type(n)
+        g = {"out": hidden.T @ chance, "bias": np.ones(len(chance), kind) @ chance}
+        dsum = (chance @ p["out"].T) * (1 - hidden * hidden)
+        g["own"] = xq.T @ dsum
+        dmixed = dsum.reshape(b, SCORED, WIDTH)
+        dscores = dmixed @ v.transpose(0, 2, 1)
+        dv = flat(weights.transpose(0, 2, 1) @ dmixed)
+        dscores *= weights
+        weights *= (dscores @ np.ones(WINDOW, kind))[:, :, None]
+        dscores -= weights
+        dq = flat(dscores @ k) / root
+        dk = flat(dscores.transpose(0, 2, 1) @ q)
+        g["q"], g["k"], g["v"] = xq.T @ dq, xk.T @ dk, flat(x).T @ dv
+        dxq = (dq @ p["q"].T + dsum @ p["own"].T).reshape(b, SCORED, WIDTH)
+        dxk = (dk @ p["k"].T).reshape(b, WINDOW, WIDTH)
         g["place_q"], g["place_k"] = dxq.sum(axis=0), dxk.sum(axis=0)
-        g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], inputs, dx)
+        dx = (dv @ p["v"].T).reshape(b, WINDOW, WIDTH)
+        dx += dxk
+        dx[:, BEFORE:] += dxq
+        which = np.zeros((inputs.size, self.classes + 2), kind)
+        which[np.arange(inputs.size), inputs.ravel()] = 1
+        g["embed"] = which.T @ flat(dx)
         return loss, g
 
     def train(
@@ -122,29 +141,37 @@ class Attention:
         begin: float = 0.0,
         end: float = 1.0,
     ) -> None:
-        """Adam over random windows; ``begin`` to ``end`` is this call's part of the training."""
+        """Adam over the windows in random order, all of them before any comes again.
+
+        ``begin`` to ``end`` is this call's part of the training.
+        """
         rng = np.random.default_rng(seed)
-        first = {name: np.zeros_like(v) for name, v in self.p.items()}
-        second = {name: np.zeros_like(v) for name, v in self.p.items()}
+        # Parameters are views of one row, which a step changes as a whole.
+        values = self.flat()
+        self.p = self.with_flat(values, copy=False).p
+        first, second = np.zeros_like(values), np.zeros_like(values)
+        order = np.empty(0, dtype=np.int64)
         for step in range(1, steps + 1):
-            rows = rng.integers(0, len(inputs), batch)
+            while len(order) < batch:
+                order = np.append(order, rng.permutation(len(inputs)))
+            rows, order = order[:batch], order[batch:]
             _, g = self.gradients(inputs[rows], targets[rows])
+            slope = np.concatenate([g[name].ravel() for name in self.p])
             rate = 0.02 * min(1.0, 2 * (1 - begin - (end - begin) * step / (steps + 1)))
-            for name, slope in g.items():
-                first[name] += 0.1 * (slope - first[name])
-                second[name] += 0.01 * (slope**2 - second[name])
-                mean = first[name] / (1 - 0.9**step)
-                spread = np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8
-                self.p[name] -= np.float32(rate) * mean / spread
+            first += 0.1 * (slope - first)
+            second += 0.01 * (slope**2 - second)
+            mean = first / (1 - 0.9**step)
+            spread = np.sqrt(second / (1 - 0.99**step)) + 1e-8
+            values -= np.float32(rate) * mean / spread
 
     def flat(self) -> np.ndarray:
         """All parameters in one row."""
         return np.concatenate([v.ravel() for v in self.p.values()])
 
-    def with_flat(self, values: np.ndarray) -> Attention:
+    def with_flat(self, values: np.ndarray, copy: bool = True) -> Attention:
         """The same model with the parameters in ``values``."""
         ends = np.cumsum([v.size for v in self.p.values()])
-        parts = np.split(np.asarray(values, dtype=np.float32), ends[:-1])
+        parts = np.split(np.array(values, dtype=np.float32) if copy else values, ends[:-1])
         named = {name: x.reshape(v.shape) for (name, v), x in zip(self.p.items(), parts)}
         return Attention(self.classes, named)
 
@@ -189,18 +216,19 @@ class Scorer:
         if len(padded):
             hidden_places = inputs[padded] == self.classes + 1
             scores[padded] += np.where(hidden_places, _LOWEST, 0).astype(np.float32)[:, None, :]
-        # Scores are small, and masked ones vanish; no need to take off the largest.
+        _lowered(scores)
         np.exp(scores, out=scores)
         mixed = scores @ self.v[inputs]
-        mixed /= scores.sum(axis=2, keepdims=True)
+        mixed /= (scores @ np.ones(WINDOW, np.float32))[:, :, None]
         mixed += self.own[asked]
         mixed += self.own_place
         np.tanh(mixed, out=mixed)
         logits = mixed.reshape(-1, WIDTH) @ self.out
         logits += self.bias
+        _lowered(logits)
         flat = targets.ravel()
         real = flat >= 0
         picked = logits[np.arange(len(flat)), np.where(real, flat, 0)]
         np.exp(logits, out=logits)
-        found = picked - np.log(logits.sum(axis=1))
+        found = picked - np.log(logits @ np.ones(self.classes, np.float32))
         return np.where(real, found, 0).reshape(targets.shape)

@@ -15,16 +15,18 @@ then that of each further id, its class by attention. A text's probability is th
 product over its words and the end. A word that the tokenizer gives no ids has
 the chance of its count plus one.
 
-The model is trained in numpy on one in ``ONE_IN`` training documents, at least
-``LEAST_TEXTS``: their texts are dealt to parts of about ``PART`` ids, each part
-goes on from the same parameters, and these are averaged after each of ``ROUNDS``
-rounds. Topics of ids come from sums over the same texts. Neither texts nor ids
-reach the driver, only parameters and sums by id.
-
-Documents are cut into chunks of about ``CHUNK`` bytes of whole texts. A chunk
-lists its distinct words once for each bucket of words; a bucket adds up what
+The model is trained in numpy on all training documents. Each chunk goes on from the
+same parameters, and these are averaged, by what they were trained on, after each of
+``ROUNDS`` rounds; a round takes every ``ROUNDS``-th training text of a chunk and each of
+its windows once, so that all rounds together take every window. Topics of ids come
+from sums over all training texts. Neither texts nor ids reach the driver, only
+parameters and sums by id.
+
+Documents are cut into chunks of about ``CHUNK`` bytes of whole texts. A chunk numbers
+its distinct words, and lists them once for each bucket of words; a bucket adds up what
 chunks count and answers each with counts and ids in the order of its list, so
-that words move once, and not back.
+that words move once, and not back. Texts go on as the numbers of their words, meet the
+answers once, and are then read where they lie.
 
 Null texts count as empty and have the end only. Repeated rows are scored one by
 one, null ids are trained on. Texts may be of any length, one is never divided.
@@ -34,8 +36,11 @@ the model is as it was drawn. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
@@ -57,8 +62,9 @@ SPELLED, DISCOUNT = 0.02, 0.75
 CHUNK = 12_000_000
 #: Bytes of text for each bucket of words.
 BUCKET = 16_000_000
-ONE_IN, LEAST_TEXTS = 16, 400
-PART, ROUNDS, LEAST_STEPS = 2_000_000, 4, 500
+#: One in so many training texts is learned from.
+ONE_IN = 1
+ROUNDS, LEAST_STEPS = 4, 500
 BATCH = 96
 #: Stands for the end of a text among words, which are never empty.
 END = b""
@@ -86,77 +92,68 @@ class _Places(dict):
 
 
 _CHUNKED = (
-    "chunk bigint, row int, doc_id bigint, held_out boolean, text string, "
-    "bucket int, words binary, counts binary"
+    "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes binary, places binary, "
+    "order binary, bucket int, words binary, counts binary"
 )
 
 
 def _chunked(buckets: int):
-    """Arrow function: rows with their chunk, then the chunk's distinct words by bucket.
+    """Arrow function: a row for each chunk, and its distinct words by bucket.
 
-    Words come in the order of their first occurrence, with their count in training
-    documents.
+    Words have numbers by their first occurrence; a chunk has those of its texts, one
+    text after the other, and those of its lists. Lists have counts in training documents.
     """
 
-    def listed(chunk: int, places: _Places, trained: list[np.ndarray]) -> pa.RecordBatch:
-        names = list(places)
+    def listed(
+        chunk: int, names: list[bytes], doc_ids: list, held: list, texts: list[np.ndarray],
+        order: np.ndarray, bucket: np.ndarray,
+    ) -> pa.RecordBatch:
         counts = np.zeros(len(names), dtype="<i8")
+        trained = [at for at, out in zip(texts, held) if not out]
         if trained:
             counts += np.bincount(np.concatenate(trained), minlength=len(names))
-        order, bucket = places.by_bucket(buckets)
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets).astype(bool))
         spans = [order[a:b] for a, b in zip(cuts, cuts[1:])]
         n = len(spans)
+        sizes = np.fromiter(map(len, texts), "<i4", len(texts))
+
+        def once(value, kind: pa.DataType) -> pa.Array:
+            return pa.array([value, *[None] * n], kind)
+
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(n, chunk)),
-                pa.nulls(n, pa.int32()),
-                pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.bool_()),
-                pa.nulls(n, pa.string()),
-                pa.array(bucket[cuts[:-1]].astype(np.int32)),
-                pa.array([b"\n".join([names[i] for i in span]) for span in spans], pa.binary()),
-                pa.array([counts[span].tobytes() for span in spans], pa.binary()),
+                pa.array(np.full(n + 1, chunk)),
+                once(doc_ids, pa.list_(pa.int64())),
+                once(held, pa.list_(pa.bool_())),
+                once(sizes.tobytes(), pa.binary()),
+                once(np.concatenate(texts).astype("<i4").tobytes(), pa.binary()),
+                once(order.astype("<i4").tobytes(), pa.binary()),
+                pa.array([None, *bucket[cuts[:-1]].tolist()], pa.int32()),
+                pa.array([None, *(b"\n".join([names[i] for i in span]) for span in spans)], pa.binary()),
+                pa.array([None, *(counts[span].tobytes() for span in spans)], pa.binary()),
             ],
             names=_NAMES,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, size, row = TaskContext.get().partitionId() << 20, 0, 0
-        places, trained = _Places(), []
+        chunk, size = TaskContext.get().partitionId() << 20, 0
+        places, doc_ids, held, texts = _Places(), [], [], []
         for part in small_slices(batches, "text"):
-            n = part.num_rows
-            held = part.column("held_out").to_pylist()
-            for text, out in zip(part.column("text").to_pylist(), held):
-                at = places.of(text)
-                if not out:
-                    trained.append(at)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, chunk)),
-                    pa.array(np.arange(row, row + n, dtype=np.int32)),
-                    part.column("doc_id"),
-                    part.column("held_out"),
-                    part.column("text"),
-                    pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.binary()),
-                    pa.nulls(n, pa.binary()),
-                ],
-                names=_NAMES,
-            )
-            row += n
+            doc_ids += part.column("doc_id").to_pylist()
+            held += part.column("held_out").to_pylist()
+            texts += map(places.of, part.column("text").to_pylist())
             size += part.column("text").nbytes
             if size >= CHUNK:
-                yield listed(chunk, places, trained)
-                chunk, size, row = chunk + 1, 0, 0
-                places, trained = _Places(), []
-        if row:
-            yield listed(chunk, places, trained)
+                yield listed(chunk, list(places), doc_ids, held, texts, *places.by_bucket(buckets))
+                chunk, size = chunk + 1, 0
+                places, doc_ids, held, texts = _Places(), [], [], []
+        if texts:
+            yield listed(chunk, list(places), doc_ids, held, texts, *places.by_bucket(buckets))
 
     return run
 
 
-_NAMES = [column.split()[0] for column in _CHUNKED.split(", ")]
+_NAMES = [column.split()[0] for column in re.split(", (?=[a-z_]+ )", _CHUNKED)]
 _ANSWERS = "chunk bigint, bucket int, c binary, lengths binary, ids binary"
 
 
@@ -250,6 +247,93 @@ class Counted:
         return int(self.words.sum())
 
 
+_READ = (
+    "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes binary, places binary, "
+    "c binary, lengths binary, ids binary"
+)
+
+
+def _met(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    """A chunk's row with counts and ids of its words, in the order of their numbers."""
+    answers = answers.sort_by("bucket")
+
+    def answered(column: str, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(answers.column(column).to_pylist()), dtype=kind)
+
+    order = np.frombuffer(docs.column("order")[0].as_py(), dtype="<i4")
+    asked = np.empty_like(order)
+    asked[order] = np.arange(len(order))
+    lengths = answered("lengths", "<u4")
+    ids = answered("ids", "<u2")[_spans(lengths.astype(np.int64), asked)]
+    made = [answered("c", "<i8")[asked], lengths[asked], ids]
+    for name, values in zip(("c", "lengths", "ids"), made):
+        docs = docs.append_column(name, pa.array([values.tobytes()], pa.binary()))
+    return docs.drop_columns(["order"])
+
+
+def _spans(lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of what stands in the spans numbered ``at``, which lie one after the other."""
+    begins = np.cumsum(lengths) - lengths
+    long = lengths[at]
+    return np.arange(long.sum()) + np.repeat(begins[at] - np.cumsum(long) + long, long)
+
+
+@dataclass(frozen=True)
+class Chunk:
+    """Texts of a chunk as numbers of words, with counts and ids of its words."""
+
+    number: int
+    doc_ids: pa.Array
+    held: np.ndarray
+    texts: list[np.ndarray]
+    c: np.ndarray
+    lengths: np.ndarray
+    ids: np.ndarray
+
+    @staticmethod
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                def values(column: str, kind: str) -> np.ndarray:
+                    return np.frombuffer(batch.column(column)[i].as_buffer(), dtype=kind)
+
+                ends = np.cumsum(values("sizes", "<i4").astype(np.int64))
+                yield Chunk(
+                    batch.column("chunk")[i].as_py(),
+                    batch.column("doc_ids")[i].values,
+                    np.array(batch.column("held")[i].as_py(), dtype=bool),
+                    np.split(values("places", "<i4"), ends[:-1]),
+                    values("c", "<i8"),
+                    values("lengths", "<u4").astype(np.int64),
+                    values("ids", "<u2"),
+                )
+
+    def spelled(self, at: np.ndarray) -> np.ndarray:
+        """Ids of words, one word after the other."""
+        return self.ids[_spans(self.lengths, at)]
+
+
+def _learned(
+    batches: Iterator[pa.RecordBatch], turn: int | None = None
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts and ids of training texts: those of a round, or all.
+
+    Rows are chunks, which are parts of their own, or texts with their ``part`` and ``ids``;
+    rows of a part follow each other.
+    """
+    for batch in batches:
+        if "part" in batch.schema.names:
+            rows = zip(batch.column("part").to_pylist(), batch.column("ids").to_pylist())
+            for i, (part, raw) in enumerate(rows):
+                if turn is None or i % ROUNDS == turn:
+                    yield part, np.frombuffer(raw, dtype="<u2")
+            continue
+        for chunk in Chunk.each([batch]):
+            training = [at for at, out in zip(chunk.texts, chunk.held) if not out]
+            for at in training if turn is None else training[turn::ROUNDS]:
+                yield chunk.number, chunk.spelled(at)
+
+
 @dataclass(frozen=True)
 class Model:
     """Class of each id, log chance of the id in its class, the trained model.
@@ -307,22 +391,22 @@ _TRAIT_SUMS = [*_TRAIT_NAMES, "weight", "own"]
 
 
 def _traits(common: np.ndarray, size: int):
-    """Arrow function of a part: per common id the sum of the traits of its texts.
+    """Arrow function: per common id the sum of the traits of its texts.
 
     Each id has a random direction; a text's traits are the sum of those of its ids,
     by the root of their share of the text. Place -1 sums the texts' traits.
     """
 
-    def run(part: pa.Table) -> pa.Table:
-        place = np.full(size, -1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ids that are not common share a place after the others.
+        place = np.full(size, len(common))
         place[common] = np.arange(len(common))
         directions = _directions(len(common))
         sums = np.zeros((len(common) + 1, _TRAITS + 2))
-        for raw in part.column("ids").to_pylist():
-            ids = np.frombuffer(raw, dtype="<u2")
-            at, n = np.unique(place[ids], return_counts=True)
-            share = n[at >= 0] / len(ids)
-            at = at[at >= 0]
+        for _, ids in _learned(batches):
+            n = np.bincount(place[ids], minlength=len(common) + 1)[:-1]
+            at = np.flatnonzero(n)
+            share = n[at] / max(len(ids), 1)
             root = np.sqrt(share)
             traits = root @ directions[at]
             sums[at, :_TRAITS] += root[:, None] * traits
@@ -332,8 +416,9 @@ def _traits(common: np.ndarray, size: int):
             sums[-1, _TRAITS] += 1
         used = np.flatnonzero(sums[:, _TRAITS])
         names = np.where(used == len(common), -1, used)
-        return pa.table(
-            {"place": pa.array(names), **{c: pa.array(sums[used, i]) for i, c in enumerate(_TRAIT_SUMS)}}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names), *(pa.array(sums[used, i]) for i in range(_TRAITS + 2))],
+            names=["place", *_TRAIT_SUMS],
         )
 
     return run
@@ -344,7 +429,7 @@ def topics(sample: DataFrame, counts: np.ndarray, rounds: int = 25) -> np.ndarra
     found = np.full(len(counts), TOPICS)
     common = _common(counts)
     schema = "place bigint, " + ", ".join(f"{c} double" for c in _TRAIT_SUMS)
-    parts = sample.groupBy("part").applyInArrow(_traits(common, len(counts)), schema)
+    parts = sample.mapInArrow(_traits(common, len(counts)), schema)
     rows = parts.groupBy("place").agg(*(F.sum(c).alias(c) for c in _TRAIT_SUMS)).collect()
     rows = {row["place"]: np.array([row[c] for c in _TRAIT_SUMS]) for row in rows}
     if -1 not in rows:
@@ -398,7 +483,7 @@ def classes_of(counts: np.ndarray, topic: np.ndarray, ends: np.ndarray) -> tuple
     return class_of, np.log(smooth / total[class_of])
 
 
-def _sampled(path: str):
+def _encoded(path: str):
     """Arrow function: subword ids of texts, two bytes each, and of their end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,59 +493,61 @@ def _sampled(path: str):
             texts = encoder.ids(part.column("text").to_pylist())
             rows = [ids.astype("<u2").tobytes() + end for ids in texts]
             yield pa.RecordBatch.from_arrays(
-                [part.column("place"), pa.array(rows, pa.binary())], names=["place", "ids"]
+                [part.column("part"), pa.array(rows, pa.binary())], names=["part", "ids"]
             )
 
     return run
 
 
 def sampled(texts: DataFrame, path: str) -> DataFrame:
-    """Ids of texts to learn from, dealt to parts of about ``PART`` ids."""
-    training = texts.where(~F.col("held_out"))
-    share = F.pmod(F.xxhash64(F.lit(21), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    wanted = max(1 / ONE_IN, min(1.0, LEAST_TEXTS / max(training.count(), 1)))
-    some = training.where(share < F.lit(wanted)).select(
-        F.xxhash64(F.lit(22), "chunk", "row").alias("place"), "text"
-    )
-    rows = write_out(some.mapInArrow(_sampled(path), "place bigint, ids binary"), "lm-sample")
-    total = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    return rows.select(F.pmod("place", F.lit(1 + total // 2 // PART)).alias("part"), "ids")
+    """Part and ids of all training texts, for a model of texts that are not in chunks."""
+    training = texts.where(~F.col("held_out")).select(F.col("chunk").alias("part"), "text")
+    return training.mapInArrow(_encoded(path), "part bigint, ids binary")
 
 
 def _round(model: Attention, class_of: np.ndarray, number: int):
-    """Arrow function of a part: parameters after a round on its windows, and their weight."""
+    """Arrow function: parameters after a round on each part's windows, and their weight.
 
-    def run(part: pa.Table) -> pa.Table:
-        rows = sorted(part.column("ids").to_pylist())
-        pairs = [
-            windows(class_of[np.frombuffer(raw, dtype="<u2")], CLASSES, CLASSES + 1) for raw in rows
-        ]
+    What a task makes of its parts is added up.
+    """
+    as_input = class_of.astype(np.int64)
+
+    def after(part: int, texts: Iterator[np.ndarray]) -> tuple[np.ndarray, float]:
+        pairs = [windows(as_input[ids], CLASSES, CLASSES + 1) for ids in texts]
         inputs = np.concatenate([a.astype(np.uint8) for a, _ in pairs])
         targets = np.concatenate([b.astype(np.int8) for _, b in pairs])
         own = Attention(model.classes, {name: v.copy() for name, v in model.p.items()})
-        steps = max(LEAST_STEPS // ROUNDS, -(-len(inputs) // (ROUNDS * BATCH)))
-        seed = int(part.column("part")[0].as_py()) * ROUNDS + number
-        own.train(inputs, targets, steps, seed, BATCH, number / ROUNDS, (number + 1) / ROUNDS)
-        flat = own.flat().astype(np.float64)
-        return pa.table(
-            {
-                "place": pa.array(np.arange(len(flat))),
-                "value": pa.array(flat * len(inputs)),
-                "weight": pa.array(np.full(len(flat), float(len(inputs)))),
-            }
+        steps = max(LEAST_STEPS // ROUNDS, -(-len(inputs) // BATCH))
+        own.train(
+            inputs, targets, steps, part * ROUNDS + number, BATCH, number / ROUNDS, (number + 1) / ROUNDS
         )
+        return own.flat().astype(np.float64) * len(inputs), float(len(inputs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, weight = 0.0, 0.0
+        for part, rows in groupby(_learned(batches, number), itemgetter(0)):
+            value, n = after(part, (ids for _, ids in rows))
+            total, weight = total + value, weight + n
+        if weight:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(len(total))), pa.array(total),
+                    pa.array(np.full(len(total), weight)),
+                ],
+                names=["place", "value", "weight"],
+            )
 
     return run
 
 
 def trained(sample: DataFrame, counted: Counted, path: str) -> Model:
-    """A model fitted on a sample of training documents, part by part."""
+    """A model fitted on training documents, part by part; rows as ``_learned`` takes them."""
     encoder = subwords(path)
     counts = counted.n[:-1]
     class_of, within = classes_of(counts, topics(sample, counts), encoder.ends())
     model = Attention.new(CLASSES)
     for number in range(ROUNDS):
-        parts = sample.groupBy("part").applyInArrow(
+        parts = sample.mapInArrow(
             _round(model, class_of, number), "place bigint, value double, weight double"
         )
         mean = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
@@ -474,55 +561,41 @@ def trained(sample: DataFrame, counted: Counted, path: str) -> Model:
     return Model(class_of, within.astype(np.float32), begun, left, model.tables())
 
 
-def _scored(model: Model, n: int, v: int, buckets: int):
-    """Scores of a chunk's documents from what buckets answer to the chunk."""
+def _scored(model: Model, n: int, v: int):
+    """Arrow function: scores of the documents of chunks."""
     floor = float(np.log10(n + v + 1))
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        docs = docs.sort_by("row").combine_chunks()
-        answers = answers.sort_by("bucket")
-        places = _Places()
-        texts = [places.of(text) for text in docs.column("text").to_pylist()]
-        order, _ = places.by_bucket(buckets)
-        asked = np.empty_like(order)
-        asked[order] = np.arange(len(order))
-
-        def answered(column: str, kind: str) -> np.ndarray:
-            return np.frombuffer(b"".join(answers.column(column).to_pylist()), dtype=kind)
-
-        c = answered("c", "<i8")[asked]
-        all_lengths = answered("lengths", "<u4").astype(np.int64)
-        begins = (np.cumsum(all_lengths) - all_lengths)[asked]
-        lengths, ids = all_lengths[asked], answered("ids", "<u2")
-        logs, known = np.log10(c + 1.0), c > 0
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        score = np.empty(len(texts))
-        start = 0
-        while start < len(texts):
-            # About 50,000 words at once, a text at least.
-            stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), 50_000, "right")))
-            spelled = []
-            for at in texts[start:stop]:
-                at = at[lengths[at] > 0]
-                long = lengths[at]
-                offset = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
-                spelled.append((ids[np.repeat(begins[at], long) + offset], long, c[at]))
-            at = np.concatenate(texts[start:stop])
-            each = logs[at] - floor
-            each[lengths[at] > 0] = model.words(spelled) / np.log(10)
-            score[start:stop] = np.add.reduceat(each, np.cumsum(sizes[start:stop]) - sizes[start:stop])
-            start = stop
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"),
-                "held_out": docs.column("held_out"),
-                "n_tokens": pa.array(sizes),
-                "n_known": pa.array([int(known[at].sum()) for at in texts], pa.int64()),
-                "train_tokens": pa.array(np.full(len(texts), n)),
-                "base_score": pa.array([float(logs[at].sum()) - len(at) * floor for at in texts]),
-                "score": pa.array(score),
-            }
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in Chunk.each(batches):
+            logs, known, some = np.log10(chunk.c + 1.0), chunk.c > 0, chunk.lengths > 0
+            sizes = np.fromiter(map(len, chunk.texts), np.int64, len(chunk.texts))
+            start = 0
+            while start < len(sizes):
+                # About 50,000 words at once, a text at least.
+                stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), 50_000, "right")))
+                texts, size = chunk.texts[start:stop], sizes[start:stop]
+                spelled = []
+                for at in texts:
+                    at = at[some[at]]
+                    spelled.append((chunk.spelled(at), chunk.lengths[at], chunk.c[at]))
+                at = np.concatenate(texts)
+                begins = np.cumsum(size) - size
+                base = np.add.reduceat(logs[at], begins) - size * floor
+                each = logs[at] - floor
+                each[some[at]] = model.words(spelled) / np.log(10)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        chunk.doc_ids[start:stop],
+                        pa.array(chunk.held[start:stop]),
+                        pa.array(size),
+                        pa.array(np.add.reduceat(known[at].astype(np.int64), begins)),
+                        pa.array(np.full(len(size), n)),
+                        pa.array(base),
+                        pa.array(np.add.reduceat(each, begins)),
+                    ],
+                    names=_SCORE_NAMES,
+                )
+                start = stop
 
     return run
 
@@ -531,6 +604,7 @@ _SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
     "base_score double, score double"
 )
+_SCORE_NAMES = [column.split()[0] for column in _SCORES.split(", ")]
 
 
 def scored(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -542,16 +616,14 @@ def scored(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + total // BUCKET
-    chunks = write_out(rows.mapInArrow(_chunked(buckets), _CHUNKED), "lm-chunks")
-    texts = chunks.where("bucket IS NULL").select("chunk", "row", "doc_id", "held_out", "text")
+    chunks = write_out(rows.mapInArrow(_chunked(buckets), _CHUNKED), "lm-chunks", "zstd")
+    texts = chunks.where("bucket IS NULL").drop("bucket", "words", "counts")
     words = chunks.where("bucket IS NOT NULL").select("chunk", "bucket", "words", "counts")
     answers = write_out(
-        words.groupBy("bucket").applyInArrow(_answers(tokenizer), _ANSWERS), "lm-answers"
+        words.groupBy("bucket").applyInArrow(_answers(tokenizer), _ANSWERS), "lm-answers", "zstd"
     )
     counted = Counted.of(answers, subwords(tokenizer).size)
-    model = trained(sampled(texts, tokenizer), counted, tokenizer)
-    return (
-        texts.groupBy("chunk")
-        .cogroup(answers.where("chunk >= 0").groupBy("chunk"))
-        .applyInArrow(_scored(model, counted.tokens, counted.distinct, buckets), _SCORES)
-    )
+    met = texts.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk"))
+    read = write_out(met.applyInArrow(_met, _READ), "lm-read", "zstd")
+    model = trained(read, counted, tokenizer)
+    return read.mapInArrow(_scored(model, counted.tokens, counted.distinct), _SCORES)

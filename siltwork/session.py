@@ -42,7 +42,7 @@ def remove_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def write_out(df: DataFrame, label: str) -> DataFrame:
+def write_out(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
     The scan has no lineage to recompute after an executor is lost, and its file
@@ -50,7 +50,7 @@ def write_out(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

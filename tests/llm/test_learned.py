@@ -7,6 +7,7 @@ from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siltwork.llm import attention, language, language_model, neighbours, toxicity
@@ -424,6 +425,50 @@ def test_what_is_learned_grows_with_the_corpus(spark):
     assert many == pytest.approx(30_000 * 6 / 7 / language_model.ONE_IN, rel=0.1)
 
 
+def test_all_training_texts_are_learned_from_once(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text")
+    seen = []
+
+    def learned(sample, sums, path):
+        for turn in range(language_model.ROUNDS):
+            def run(batches, turn=turn):
+                ids = [ids.tobytes() for _, ids in language_model._learned(batches, turn)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
+
+            seen.extend(bytes(row.ids) for row in sample.mapInArrow(run, "ids binary").collect())
+        raise StopIteration
+
+    monkeypatch.setattr(language_model, "trained", learned)
+    with pytest.raises(StopIteration):
+        language_model.scored(docs)
+    encoder = subwords()
+    texts = [f"some words of text {i}" for i in range(3000) if not held(i, 7)]
+    ends = np.array([encoder.size - 1], dtype="<u2").tobytes()
+    assert sorted(seen) == sorted(ids.astype("<u2").tobytes() + ends for ids in encoder.ids(texts))
+
+
+def test_training_takes_all_windows_before_any_comes_again(monkeypatch):
+    model = attention.Attention.new(5)
+    inputs = np.repeat(np.arange(50)[:, None] % 5, attention.WINDOW, axis=1)
+    targets = np.arange(50)[:, None].repeat(attention.SCORED, axis=1)
+    rows = []
+    monkeypatch.setattr(
+        model, "gradients", lambda x, y: rows.extend(y[:, 0]) or (0.0, {k: 0 * v for k, v in model.p.items()})
+    )
+    model.train(inputs, targets, 5, batch=10)
+    assert sorted(rows) == list(range(50))
+
+
+def test_scores_too_large_for_a_power_of_e():
+    model = attention.Attention.new(7)
+    model.p["k"] *= 2000
+    model.p["out"] *= 300
+    classes = np.random.default_rng(4).integers(0, 7, 40)
+    x, y = attention.windows(classes, 7, 8)
+    assert np.isfinite(model.tables().log_chances(x, y)).all()
+    assert all(np.isfinite(g).all() for g in model.gradients(x, y)[1].values())
+
+
 def test_parts_learn_what_ids_go_together(spark):
     """Two kinds of texts, in several parts: their ids get different topics."""
     rng = np.random.default_rng(5)
