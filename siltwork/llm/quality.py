@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.llm.samples import first_rows
+from siltwork.llm.samples import some_rows
 from siltwork.llm.text import whole
 from siltwork.session import write_out
 
@@ -146,12 +146,12 @@ class Estimate:
 def estimate(
     docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", sample_rows: int = 500
 ) -> list[Estimate]:
-    """Cost and share of rejections of each rule on at most ``sample_rows`` rows.
+    """Cost and share of rejections of each rule on about ``sample_rows`` rows.
 
     The sample serves to choose an order only, so any rows do. Each rule is run
     alone, twice; the faster run counts, less that of reading the sample.
     """
-    sample = first_rows(docs.select(F.col(text)), sample_rows)
+    sample = some_rows(docs.select(F.col(text)), sample_rows)
     sample = write_out(sample, "quality-sample")
 
     def timed(rows: DataFrame, rejects: Column) -> tuple[float, float]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from siltwork.llm import licenses, mixing, personal_data, quality
 from siltwork.llm.queries import RUN, SQL
+from siltwork.llm.samples import some_rows
 from tests.llm.rows import no_docs, no_turns, odd_docs, odd_turns, prose, same_as_sql, stored
 from tests.oracle import connect, duck_rows, plan, spark_rows
 
@@ -292,3 +293,13 @@ def test_description_of_trees_becomes_an_expression(spark):
     got = [r[0] for r in rows.select(model.probability(F.col("f"))).collect()]
     margins = [-1.0 + 0.1, 0.5 + 0.1, 1.0 + 0.1]
     assert got == pytest.approx([1 / (1 + 2.718281828459045 ** (-2 * m)) for m in margins])
+
+
+def test_sampled_texts_stay_out_of_plans(spark):
+    """Texts held by the driver stay in the plans of its queries."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('secretword ', id) AS text")
+    some = some_rows(docs.select("text"), 500)
+    assert "secretword 1" not in some._jdf.queryExecution().toString()
+    texts = [int(row.text.split()[1]) for row in some.collect()]
+    assert 350 < len(texts) < 650 and max(texts) > 1500
+    assert some_rows(docs, 5000).count() == 2000
