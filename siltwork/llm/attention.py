@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from numpy.lib.stride_tricks import sliding_window_view
 
 BEFORE, SCORED = 16, 16
 WINDOW = BEFORE + SCORED
@@ -26,19 +27,54 @@ MASK = np.where(
 def windows(classes: np.ndarray, start: int, pad: int) -> tuple[np.ndarray, np.ndarray]:
     """Inputs (n x WINDOW) and targets (n x SCORED) of one text; -1 marks no target."""
     n = -(-len(classes) // SCORED)
-    inputs = np.full(BEFORE + n * SCORED, pad, dtype=np.int64)
+    inputs = np.full(BEFORE + n * SCORED, pad, dtype=classes.dtype)
     inputs[BEFORE] = start
     inputs[BEFORE + 1 : BEFORE + len(classes)] = classes[:-1]
-    targets = np.full(n * SCORED, -1, dtype=np.int64)
+    targets = np.full(n * SCORED, -1, dtype=np.result_type(classes.dtype, np.int8))
     targets[: len(classes)] = classes
-    places = np.arange(n)[:, None] * SCORED + np.arange(WINDOW)[None, :]
-    return inputs[places], targets.reshape(n, SCORED)
+    return sliding_window_view(inputs, WINDOW)[::SCORED], targets.reshape(n, SCORED)
 
 
-def _lowered(rows: np.ndarray) -> None:
-    """Take off the largest of each row in place, if any is too large for its power of e."""
-    if rows.max(initial=0) > 60:
+def _powers(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """e to the power of ``rows`` and its sums by row.
+
+    Where sums are extreme, the largest of each row is taken off ``rows`` first, in place.
+    """
+    ones = np.ones(rows.shape[-1], rows.dtype)
+    with np.errstate(over="ignore"):
+        powers = np.exp(rows)
+        sums = powers @ ones
+    if sums.size and not (sums.min() > 1e-20 and sums.max() < 1e25):
         rows -= rows.max(axis=-1, keepdims=True)
+        powers = np.exp(rows)
+        sums = powers @ ones
+    return powers, sums
+
+
+class _ByClass:
+    """Sums of rows by the class of their token; classes in one byte sort fastest."""
+
+    def __init__(self, inputs: np.ndarray, classes: int):
+        inputs = inputs.ravel()
+        self._order = np.argsort(inputs, kind="stable")
+        counts = np.bincount(inputs, minlength=classes)
+        self._found = np.flatnonzero(counts)
+        self._starts = (np.cumsum(counts) - counts)[self._found]
+        self._classes = classes
+
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        in_order = rows.reshape(-1, WIDTH).take(self._order, axis=0)
+        found = np.zeros((self._classes, WIDTH), rows.dtype)
+        found[self._found] = np.add.reduceat(in_order, self._starts, axis=0)
+        return found
+
+
+def keep_room() -> None:
+    """Free a large block, after which glibc keeps the memory of smaller ones.
+
+    Otherwise each step gives its arrays back and takes new pages for the next.
+    """
+    np.empty(8_000_000, np.uint8)
 
 
 @dataclass
@@ -71,64 +107,56 @@ class Attention:
         )
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean loss, in nats, and the slope of each parameter."""
+        """Mean loss, in nats, and the slope of each parameter.
+
+        Tokens of one class have one embedding, so slopes are summed by class before
+        they are multiplied.
+        """
         p, b, kind = self.p, len(inputs), self.p["embed"].dtype
-        root = kind.type(np.sqrt(WIDTH))
-
-        def flat(rows: np.ndarray) -> np.ndarray:
-            return rows.reshape(-1, rows.shape[-1])
-
-        # Products with one matrix are taken over all windows at once.
-        x = p["embed"][inputs]
-        xq = flat(x[:, BEFORE:] + p["place_q"])
-        xk = flat(x + p["place_k"])
-        q = (xq @ p["q"] / root).reshape(b, SCORED, WIDTH)
-        k = (xk @ p["k"]).reshape(b, WINDOW, WIDTH)
-        v = (flat(x) @ p["v"]).reshape(b, WINDOW, WIDTH)
-        weights = q @ k.transpose(0, 2, 1)
-        weights += MASK
-        padded = np.flatnonzero(inputs[:, 0] == self.classes + 1)
-        if len(padded):
-            hidden_places = inputs[padded] == self.classes + 1
-            weights[padded] += np.where(hidden_places, _LOWEST, 0).astype(kind)[:, None, :]
-        _lowered(weights)
-        np.exp(weights, out=weights)
-        weights /= (weights @ np.ones(WINDOW, kind))[:, :, None]
-        hidden = np.tanh(flat(weights @ v) + xq @ p["own"])
-        chance = hidden @ p["out"] + p["bias"]
-        _lowered(chance)
-        np.exp(chance, out=chance)
-        chance /= (chance @ np.ones(self.classes, kind))[:, None]
+        tables = self.tables()
+        q, k, v, weights, total, mixed, hidden = tables.hidden(inputs)
+        chance, sums = _powers(tables.logits(hidden))
 
         wanted = targets.ravel()
         real = np.flatnonzero(wanted >= 0)
         n = max(len(real), 1)
-        picked = chance[real, wanted[real]]
-        loss = float(-np.log(picked + 1e-12).sum() / n)
-        chance[real, wanted[real]] = picked - 1
-        chance[wanted < 0] = 0
-        chance /= kind.type(n)
-        g = {"out": hidden.T @ chance, "bias": np.ones(len(chance), kind) @ chance}
-        dsum = (chance @ p["out"].T) * (1 - hidden * hidden)
-        g["own"] = xq.T @ dsum
-        dmixed = dsum.reshape(b, SCORED, WIDTH)
+        places = real * self.classes + wanted[real]
+        picked = chance.ravel()[places]
+        loss = float(-np.log(picked / sums[real] + 1e-12).sum() / n)
+        # Chances stay multiples of their sums, which are divided out of narrower rows.
+        chance.ravel()[places] = picked - sums[real]
+        scale = np.zeros(len(wanted), kind)
+        scale[real] = 1 / (sums[real] * kind.type(n))
+        g = {"out": (chance.T @ (hidden * scale[:, None])).T, "bias": scale @ chance}
+        dsum = chance @ p["out"].T
+        dsum *= scale[:, None]
+        dsum *= 1 - hidden * hidden
+        dsum = dsum.reshape(b, SCORED, WIDTH)
+        dmixed = dsum / total[:, :, None]
         dscores = dmixed @ v.transpose(0, 2, 1)
-        dv = flat(weights.transpose(0, 2, 1) @ dmixed)
+        dscores -= np.einsum("bid,bid->bi", dmixed, mixed)[:, :, None]
         dscores *= weights
-        weights *= (dscores @ np.ones(WINDOW, kind))[:, :, None]
-        dscores -= weights
-        dq = flat(dscores @ k) / root
-        dk = flat(dscores.transpose(0, 2, 1) @ q)
-        g["q"], g["k"], g["v"] = xq.T @ dq, xk.T @ dk, flat(x).T @ dv
-        dxq = (dq @ p["q"].T + dsum @ p["own"].T).reshape(b, SCORED, WIDTH)
-        dxk = (dk @ p["k"].T).reshape(b, WINDOW, WIDTH)
-        g["place_q"], g["place_k"] = dxq.sum(axis=0), dxk.sum(axis=0)
-        dx = (dv @ p["v"].T).reshape(b, WINDOW, WIDTH)
-        dx += dxk
-        dx[:, BEFORE:] += dxq
-        which = np.zeros((inputs.size, self.classes + 2), kind)
-        which[np.arange(inputs.size), inputs.ravel()] = 1
-        g["embed"] = which.T @ flat(dx)
+        dq, dk = dscores @ k, dscores.transpose(0, 2, 1) @ q
+        dq /= kind.type(np.sqrt(WIDTH))
+        dv = weights.transpose(0, 2, 1) @ dmixed
+
+        ones = np.ones(b, kind)
+        by_query = _ByClass(inputs[:, BEFORE:], self.classes + 2)
+        by_key = _ByClass(inputs, self.classes + 2)
+        g["embed"] = np.zeros_like(p["embed"])
+        for name, rows, by, place in (
+            ("q", dq, by_query, "place_q"),
+            ("own", dsum, by_query, "place_q"),
+            ("k", dk, by_key, "place_k"),
+            ("v", dv, by_key, None),
+        ):
+            by_class = by.sums(rows)
+            g["embed"] += by_class @ p[name].T
+            g[name] = p["embed"].T @ by_class
+            if place:
+                by_place = (ones @ rows.reshape(b, -1)).reshape(-1, WIDTH)
+                g[name] += p[place].T @ by_place
+                g[place] = g.get(place, 0) + by_place @ p[name].T
         return loss, g
 
     def train(
@@ -145,6 +173,7 @@ class Attention:
 
         ``begin`` to ``end`` is this call's part of the training.
         """
+        keep_room()
         rng = np.random.default_rng(seed)
         # Parameters are views of one row, which a step changes as a whole.
         values = self.flat()
@@ -177,16 +206,17 @@ class Attention:
 
     def tables(self) -> Scorer:
         p = self.p
-        root = np.float32(np.sqrt(WIDTH))
+        root = p["q"].dtype.type(np.sqrt(WIDTH))
+
+        def placed(name: str, place: str) -> np.ndarray:
+            return ((p["embed"] @ p[name])[:, None] + p[place] @ p[name]).reshape(-1, WIDTH)
+
         return Scorer(
             self.classes,
-            p["embed"] @ p["q"] / root,
-            p["place_q"] @ p["q"] / root,
-            p["embed"] @ p["k"],
-            p["place_k"] @ p["k"],
+            placed("q", "place_q") / root,
+            placed("k", "place_k"),
             p["embed"] @ p["v"],
-            p["embed"] @ p["own"],
-            p["place_q"] @ p["own"],
+            placed("own", "place_q"),
             p["out"],
             p["bias"],
         )
@@ -194,41 +224,52 @@ class Attention:
 
 @dataclass(frozen=True)
 class Scorer:
-    """The model with embeddings multiplied out: one row per class."""
+    """The model with embeddings multiplied out.
+
+    Values have a row for each class; queries, keys and what a token adds itself have
+    one for each class and place.
+    """
 
     classes: int
     q: np.ndarray
-    q_place: np.ndarray
     k: np.ndarray
-    k_place: np.ndarray
     v: np.ndarray
     own: np.ndarray
-    own_place: np.ndarray
     out: np.ndarray
     bias: np.ndarray
 
-    def log_chances(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log of the chance of each target; 0 where there is none."""
-        asked = inputs[:, BEFORE:]
-        scores = (self.q[asked] + self.q_place) @ (self.k[inputs] + self.k_place).transpose(0, 2, 1)
+    def hidden(self, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Queries, keys, values, weights with their sums, mixed values; then a row for each target."""
+        places = inputs.astype(np.intp)
+        asked = places[:, BEFORE:] * SCORED + np.arange(SCORED)
+        q = self.q.take(asked, axis=0)
+        k = self.k.take(places * WINDOW + np.arange(WINDOW), axis=0)
+        v = self.v.take(places, axis=0)
+        scores = q @ k.transpose(0, 2, 1)
         scores += MASK
-        padded = np.flatnonzero(inputs[:, 0] == self.classes + 1)
+        pad = self.classes + 1
+        padded = np.flatnonzero(inputs[:, 0] == pad)
         if len(padded):
-            hidden_places = inputs[padded] == self.classes + 1
-            scores[padded] += np.where(hidden_places, _LOWEST, 0).astype(np.float32)[:, None, :]
-        _lowered(scores)
-        np.exp(scores, out=scores)
-        mixed = scores @ self.v[inputs]
-        mixed /= (scores @ np.ones(WINDOW, np.float32))[:, :, None]
-        mixed += self.own[asked]
-        mixed += self.own_place
-        np.tanh(mixed, out=mixed)
-        logits = mixed.reshape(-1, WIDTH) @ self.out
-        logits += self.bias
-        _lowered(logits)
-        flat = targets.ravel()
+            before = np.where(inputs[padded] == pad, _LOWEST, 0)
+            scores[padded] += before.astype(scores.dtype)[:, None, :]
+        weights, total = _powers(scores)
+        mixed = weights @ v
+        mixed /= total[:, :, None]
+        rows = self.own.take(asked, axis=0)
+        rows += mixed
+        return q, k, v, weights, total, mixed, np.tanh(rows, out=rows).reshape(-1, WIDTH)
+
+    def logits(self, hidden: np.ndarray) -> np.ndarray:
+        rows = hidden @ self.out
+        rows += self.bias
+        return rows
+
+    def log_chances(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """Natural log of the chance of each target; 0 where there is none."""
+        logits = self.logits(self.hidden(inputs)[-1])
+        _, sums = _powers(logits)
+        flat = targets.ravel().astype(np.intp)
         real = flat >= 0
-        picked = logits[np.arange(len(flat)), np.where(real, flat, 0)]
-        np.exp(logits, out=logits)
-        found = picked - np.log(logits @ np.ones(self.classes, np.float32))
+        picked = logits.ravel()[np.arange(len(flat)) * self.classes + np.where(real, flat, 0)]
+        found = picked - np.log(sums)
         return np.where(real, found, 0).reshape(targets.shape)

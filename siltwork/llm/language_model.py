@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.llm.attention import Attention, Scorer, windows
+from siltwork.llm.attention import Attention, Scorer, keep_room, windows
 from siltwork.llm.subwords import TOKENIZER, small_slices, subwords
 from siltwork.llm.text import fold
 from siltwork.session import write_out
@@ -177,11 +177,10 @@ def _answers(path: str):
             total[at] += np.frombuffer(counts, dtype="<i8")
         end = np.array([encoder.size - 1], dtype="<u2").tobytes()
         raw = [
-            end if w == END else ids.astype("<u2").tobytes()
-            for w, ids in zip(places, encoder.ids([w.decode() for w in places]))
+            end if w == END else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+            for w, ids in zip(places, encoder.distinct(list(places)))
         ]
-        lengths = np.fromiter(map(len, raw), "<u4", len(raw)) // 2
-        lengths = lengths.astype("<u4")
+        lengths = (np.fromiter(map(len, raw), np.int64, len(raw)) // 2).astype("<u4")
         ids = np.frombuffer(b"".join(raw), dtype="<u2")
         first = np.full(len(raw), encoder.size)
         some = lengths > 0
@@ -264,18 +263,21 @@ def _met(docs: pa.Table, answers: pa.Table) -> pa.Table:
     asked = np.empty_like(order)
     asked[order] = np.arange(len(order))
     lengths = answered("lengths", "<u4")
-    ids = answered("ids", "<u2")[_spans(lengths.astype(np.int64), asked)]
+    long = lengths.astype(np.int64)
+    ids = answered("ids", "<u2")[_spans(np.cumsum(long) - long, long[asked], asked)]
     made = [answered("c", "<i8")[asked], lengths[asked], ids]
     for name, values in zip(("c", "lengths", "ids"), made):
         docs = docs.append_column(name, pa.array([values.tobytes()], pa.binary()))
     return docs.drop_columns(["order"])
 
 
-def _spans(lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Places of what stands in the spans numbered ``at``, which lie one after the other."""
-    begins = np.cumsum(lengths) - lengths
-    long = lengths[at]
-    return np.arange(long.sum()) + np.repeat(begins[at] - np.cumsum(long) + long, long)
+def _spans(begins: np.ndarray, long: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of what stands in the spans numbered ``at``, one after the other.
+
+    ``begins`` are those of all spans; ``long`` is how long those in ``at`` are.
+    """
+    ends = np.cumsum(long)
+    return np.arange(long.sum()) + np.repeat(begins[at] - ends + long, long)
 
 
 @dataclass(frozen=True)
@@ -288,6 +290,7 @@ class Chunk:
     texts: list[np.ndarray]
     c: np.ndarray
     lengths: np.ndarray
+    begins: np.ndarray
     ids: np.ndarray
 
     @staticmethod
@@ -298,19 +301,21 @@ class Chunk:
                     return np.frombuffer(batch.column(column)[i].as_buffer(), dtype=kind)
 
                 ends = np.cumsum(values("sizes", "<i4").astype(np.int64))
+                lengths = values("lengths", "<u4").astype(np.int64)
                 yield Chunk(
                     batch.column("chunk")[i].as_py(),
                     batch.column("doc_ids")[i].values,
                     np.array(batch.column("held")[i].as_py(), dtype=bool),
                     np.split(values("places", "<i4"), ends[:-1]),
                     values("c", "<i8"),
-                    values("lengths", "<u4").astype(np.int64),
+                    lengths,
+                    np.cumsum(lengths) - lengths,
                     values("ids", "<u2"),
                 )
 
     def spelled(self, at: np.ndarray) -> np.ndarray:
         """Ids of words, one word after the other."""
-        return self.ids[_spans(self.lengths, at)]
+        return self.ids[_spans(self.begins, self.lengths[at], at)]
 
 
 def _learned(
@@ -355,7 +360,7 @@ class Model:
         """
         inputs, targets = [], []
         for ids, _, _ in texts:
-            a, b = windows(self.class_of[ids].astype(np.int64), CLASSES, CLASSES + 1)
+            a, b = windows(self.class_of[ids], CLASSES, CLASSES + 1)
             inputs.append(a)
             targets.append(b)
         x, y = np.concatenate(inputs), np.concatenate(targets)
@@ -510,11 +515,9 @@ def _round(model: Attention, class_of: np.ndarray, number: int):
 
     What a task makes of its parts is added up.
     """
-    as_input = class_of.astype(np.int64)
-
     def after(part: int, texts: Iterator[np.ndarray]) -> tuple[np.ndarray, float]:
-        pairs = [windows(as_input[ids], CLASSES, CLASSES + 1) for ids in texts]
-        inputs = np.concatenate([a.astype(np.uint8) for a, _ in pairs])
+        pairs = [windows(class_of[ids], CLASSES, CLASSES + 1) for ids in texts]
+        inputs = np.concatenate([a for a, _ in pairs])
         targets = np.concatenate([b.astype(np.int8) for _, b in pairs])
         own = Attention(model.classes, {name: v.copy() for name, v in model.p.items()})
         steps = max(LEAST_STEPS // ROUNDS, -(-len(inputs) // BATCH))
@@ -566,6 +569,7 @@ def _scored(model: Model, n: int, v: int):
     floor = float(np.log10(n + v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_room()
         for chunk in Chunk.each(batches):
             logs, known, some = np.log10(chunk.c + 1.0), chunk.c > 0, chunk.lengths > 0
             sizes = np.fromiter(map(len, chunk.texts), np.int64, len(chunk.texts))

@@ -111,6 +111,10 @@ class Subwords:
         of = self._known.__getitem__
         return [list(map(of, _folded((text or "").encode("utf-8", "replace")).split())) for text in texts]
 
+    def distinct(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are asked for once, so that whole words are not kept."""
+        return [self._ids(_folded(word)) for word in words]
+
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Per text, its ids."""
         return [np.frombuffer(b"".join(words), dtype="<u4") for words in self.words(texts)]

@@ -2,6 +2,7 @@
 
 import math
 import os
+import tracemalloc
 import zlib
 from collections import Counter
 from dataclasses import replace
@@ -469,6 +470,38 @@ def test_scores_too_large_for_a_power_of_e():
     assert all(np.isfinite(g).all() for g in model.gradients(x, y)[1].values())
 
 
+def test_scores_all_too_small_for_a_power_of_e():
+    """Every chance but one class's vanishes, and that class's logit is far below zero too."""
+    model = attention.Attention.new(7)
+    model.p["bias"] -= 200
+    classes = np.random.default_rng(4).integers(0, 7, 40)
+    x, y = attention.windows(classes, 7, 8)
+    got = model.tables().log_chances(x, y)
+    assert got[y >= 0] == pytest.approx(naive(attention.Attention.new(7), classes), abs=1e-3)
+    assert all(np.isfinite(g).all() for g in model.gradients(x, y)[1].values())
+
+
+def test_spelling_a_text_takes_room_for_that_text_alone():
+    """Not for all words of its chunk, which were gone through for each of its texts."""
+    n = 200_000
+    lengths = np.arange(n) % 3
+    ids = np.arange(lengths.sum()).astype("<u2")
+    row = {
+        "chunk": 0, "doc_ids": [1], "held": [False], "c": np.ones(n, "<i8").tobytes(),
+        "sizes": np.array([5], "<i4").tobytes(), "places": np.arange(5, dtype="<i4").tobytes(),
+        "lengths": lengths.astype("<u4").tobytes(), "ids": ids.tobytes(),
+    }
+    chunk = next(language_model.Chunk.each(iter([pa.RecordBatch.from_pylist([row])])))
+    at = np.array([5, 0, 199_999, 5, 4])
+    tracemalloc.start()
+    found = chunk.spelled(at)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    begins = np.cumsum(lengths) - lengths
+    assert found.tolist() == [int(ids[begins[w] + i]) for w in at for i in range(lengths[w])]
+    assert most < 100_000
+
+
 def test_parts_learn_what_ids_go_together(spark):
     """Two kinds of texts, in several parts: their ids get different topics."""
     rng = np.random.default_rng(5)
@@ -501,6 +534,25 @@ def test_cases_and_marks_of_a_word_are_encoded_once():
     assert list(encoder._plain) == ["stone"]
 
 
+def test_words_of_a_bucket_are_not_kept():
+    """They are distinct, so no word is asked for again."""
+    words = ["stone", "stones***", "caf\u00e9", "(not)", "12", "\u1e96", "don't"]
+    kept = len(subwords()._known)
+    bucket = pa.table(
+        {
+            "chunk": [0], "bucket": [0], "words": ["\n".join(words).encode()],
+            "counts": [np.ones(len(words), "<i8").tobytes()],
+        }
+    )
+    answers = language_model._answers(language_model.TOKENIZER)(bucket)
+    ids = np.frombuffer(answers.column("ids")[0].as_py(), "<u2").tolist()
+    encoder = subwords()
+    plain = [encoder.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert ids == sum(plain, [])
+    assert np.frombuffer(answers.column("lengths")[0].as_py(), "<u4").tolist() == [len(x) for x in plain]
+    assert len(encoder._known) == kept
+
+
 def test_ids_where_case_and_composed_marks_meet():
     texts = [
         "J\u030c \u01f0 H\u0331 T\u0308 W\u030a Y\u030a I\u0307 A\u030a J\u0323\u030c",
