@@ -29,10 +29,12 @@ class SkewPolicy:
 
     Whether a table has such keys is always counted. A list of them has at most
     ``rows / hot_rows`` entries and is written, so its size tells the planner how
-    to join it.
+    to join it. Where keys of a few rows are hot, many share a range of the sort order:
+    fewer than ``least_rows`` are not worth a task.
     """
 
     hot_rows: int = 2_000_000
+    least_rows: int = 50_000
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -49,7 +51,8 @@ class HotKeys:
 
     @property
     def slices(self) -> int:
-        return -(-self.rows // self.policy.hot_rows)
+        """Tasks that the rows of all hot keys are worth."""
+        return -(-self.rows // max(self.policy.hot_rows, self.policy.least_rows))
 
 
 def key_columns(key: str | Sequence[str]) -> tuple[str, ...]:

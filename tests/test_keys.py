@@ -177,3 +177,25 @@ def test_numbering_cuts_copies_of_one_row_into_many_ranges(spark):
     assert sorted(r.flag_latest_date for r in got.collect()) == list(range(1, 4001))
     scan = got.inputFiles()
     assert len(scan) >= 4  # one written file per range that received rows
+
+
+def test_keys_of_a_few_rows_share_ranges(spark):
+    rows = spark.range(0, 3000, 1, 4).selectExpr("id div 3 as k", "id as o", "-id as v")
+    followed = keys.following_value(rows, "k", "o", "v", "later", skew=MANY_HOT)
+    numbers = keys.number_rows(rows, "k", "o", skew=MANY_HOT)
+    for found in (followed, numbers):
+        written = [f for f in found.inputFiles() if "/numbered-" in f]
+        assert 1 < len(written) <= 8  # as many as shuffles have partitions, not one per key
+    assert bag(followed) == Counter(
+        (i // 3, i, -i, None if i % 3 == 2 else -i - 1) for i in range(3000)
+    )
+    assert bag(numbers) == Counter((i // 3, i, -i, 3 - i % 3) for i in range(3000))
+
+
+def test_keys_cut_by_ranges_of_a_few_rows(df):
+    """Ranges of about six rows, so that the larger keys lie in many."""
+    skew = SkewPolicy(hot_rows=3, least_rows=6)
+    assert find_hot(df, "k", skew).slices > 80
+    assert bag(keys.number_rows(df, "k", "o", skew=skew)) == Counter(numbered(ROWS))
+    plain = keys.following_value(df, "k", "o", "v", "later", skew=PLAIN)
+    assert bag(keys.following_value(df, "k", "o", "v", "later", skew=skew)) == bag(plain)
